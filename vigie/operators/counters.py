@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vigie import labels as L
 from vigie.functions.measures import ROWS, named, total, total_if
 from vigie.functions.outcomes import outcome_in, outcome_starts
-from vigie.sources.dataset import RescueData
+from vigie.sources.dataset import CATEGORY_FACTS, RescueData
 
 COUNTERS = [
     "nombre_saines_sauves",
@@ -58,6 +58,8 @@ def persons_by_case(persons: DataFrame, spelling: str) -> DataFrame:
 
 def attach_counters(data: RescueData, cases: DataFrame) -> DataFrame:
     """``cases`` with the eleven counters, 0 where a case has no person row."""
+    if set(COUNTERS) <= set(cases.columns):
+        return cases
     persons = data.persons("operation_id", "resultat_humain", "nombre", "dont_nombre_blesse")
     joined = cases.join(persons_by_case(persons, data.spelling), "operation_id", "left")
     filled = [f"coalesce({name}, 0L) AS {name}" for name in COUNTERS]
@@ -66,11 +68,13 @@ def attach_counters(data: RescueData, cases: DataFrame) -> DataFrame:
 
 def case_counters(data: RescueData) -> DataFrame:
     """One row per case: the counters every indicator is derived from."""
-    return attach_counters(data, data.cases("operation_id"))
+    return attach_counters(data, data.cases("operation_id")).select("operation_id", *COUNTERS)
 
 
 def persons_by_case_category(data: RescueData) -> DataFrame:
     """Person rows reduced to one row per case and person category."""
+    if CATEGORY_FACTS in data.stored:
+        return data.stored[CATEGORY_FACTS]
     persons = data.persons(
         "operation_id", "categorie_personne", "resultat_humain", "nombre", "dont_nombre_blesse"
     )

@@ -62,6 +62,20 @@ class TrailingYear:
         )
 
 
+def trailing_sums_by_join(months: DataFrame, values: list[str], period: str = "periode") -> DataFrame:
+    """The same twelve-month sums as an equality join instead of a window.
+
+    Every month offers itself to the twelve that follow it, so the range condition
+    becomes an equality on the month and the work stays linear.
+    """
+    later = months.select(
+        F.explode(F.expr(f"transform(sequence(1, 12), i -> add_months({period}, i))")).alias(period), *values
+    )
+    sums = [F.expr(f"cast(sum({v}) AS bigint)").alias(f"s_{v}") for v in values]
+    past = later.groupBy(period).agg(F.expr("cast(count(1) AS bigint)").alias("mois_connus"), *sums)
+    return months.join(past, period, "left").fillna(0, subset=["mois_connus"])
+
+
 def alert_level(score: str) -> str:
     """Only high values alert; an unknown score is calm."""
     branches = " ".join(f"WHEN {score} > {floor} THEN '{level}'" for level, floor in L.ALERT_LEVELS)

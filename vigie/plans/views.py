@@ -37,7 +37,11 @@ def monthly_safety(
     data: RescueData, active: bool = False, injuries_over_handled: bool = False
 ) -> DataFrame:
     """Totals and rates per month; injuries are a share of involved or of handled people."""
-    months = roll_up(data, dated_cases(data, active=active), BY_MONTH)
+    return monthly_rates(roll_up(data, dated_cases(data, active=active), BY_MONTH), injuries_over_handled)
+
+
+def monthly_rates(months: DataFrame, injuries_over_handled: bool = False) -> DataFrame:
+    """Published columns from monthly sums."""
     return months.selectExpr(
         "periode", "annee", "mois",
         *named(

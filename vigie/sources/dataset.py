@@ -12,14 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from vigie.functions.outcomes import FOLDED
 
 CASES, VESSELS, PERSONS, AUDIT = "operations", "flotteurs", "resultats_humain", "audit_log"
+CASE_FACTS, CATEGORY_FACTS = "case_facts", "category_facts"
 
 
 class RescueData:
-    """Access to the four business tables."""
+    """Access to the four business tables.
+
+    ``stored`` may hold facts that were computed before: cases that already carry their
+    counters, and person rows reduced by case and category. Reports then skip the join
+    and the reduction they would otherwise start with.
+    """
 
     def __init__(self, spark: SparkSession, spelling: str = FOLDED):
         self.spark = spark
         self.spelling = spelling
+        self.stored: dict[str, DataFrame] = {}
 
     def table(self, name: str, *columns: str) -> DataFrame:
         raise NotImplementedError
@@ -49,6 +56,22 @@ class FrameData(RescueData):
         return frame.select(*columns) if columns else frame
 
 
+class StoredFacts(RescueData):
+    """Another handle with stored facts in front of it."""
+
+    def __init__(self, source: RescueData, stored: dict[str, DataFrame]):
+        super().__init__(source.spark, source.spelling)
+        self.source = source
+        self.stored = stored
+
+    def table(self, name: str, *columns: str) -> DataFrame:
+        facts = self.stored.get(CASE_FACTS) if name == CASES else None
+        if facts is None:
+            return self.source.table(name, *columns)
+        counters = [c for c in facts.columns if c.startswith("nombre_")]
+        return facts.select(*columns, *counters) if columns else facts
+
+
 class CatalogData(FrameData):
     """Handle over catalog tables, optionally inside one database."""
 
