@@ -10,9 +10,14 @@ binary fraction.
 from __future__ import annotations
 
 
-def half_up(num: str, den: str, places: int, scale: int = 1) -> str:
-    """``num * scale / den`` rounded half away from zero; NULL unless ``den`` is positive."""
-    n, d = f"cast({num} AS decimal(38,0))", f"cast({den} AS decimal(38,0))"
+def half_up(num: str, den: str, places: int, scale: int = 1, wide: bool = False) -> str:
+    """``num * scale / den`` rounded half away from zero; NULL unless ``den`` is positive.
+
+    ``wide`` computes in 38 digits, for sums of seconds or micro-degrees; counts of people
+    and cases fit the plain form, which fails rather than wraps if they ever did not.
+    """
+    kind = "decimal(38,0)" if wide else "bigint"
+    n, d = f"cast({num} AS {kind})", f"cast({den} AS {kind})"
     rounded = f"((abs({n}) * {2 * scale * 10**places} + {d}) div ({d} * 2))"
     signed = f"CASE WHEN {n} < 0 THEN -{rounded} ELSE {rounded} END"
     return f"(CASE WHEN {d} > 0 THEN cast({signed} AS double) / {10**places}D END)"

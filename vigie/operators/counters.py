@@ -30,11 +30,31 @@ COUNTERS = [
 ]
 
 
-def counter_sums(spelling: str) -> list[str]:
-    """Aggregates turning person rows into the eleven counters."""
+# each known outcome by a small number, so its text is compared once per row
+_CODES = {
+    L.RESCUED: 1, L.ASSISTED: 2, L.FOUND: 3, L.MISSING: 4, L.DEAD: 5, L.DEAD_ACCIDENT: 6,
+    L.DEAD_NATURAL: 7, L.SELF_RESCUED: 8, L.FALSE_ALARM: 9,
+}
+
+
+def _codes(*wanted: str) -> str:
+    return ", ".join(str(_CODES[w]) for w in wanted)
+
+
+def with_outcome_code(persons: DataFrame, spelling: str, plain: bool = False) -> DataFrame:
+    """Add ``code``, the number of the outcome, 0 for any other text."""
+    branches = " ".join(
+        f"WHEN {outcome_in('resultat_humain', [label], spelling, plain)} THEN {code}"
+        for label, code in _CODES.items()
+    )
+    return persons.withColumn("code", F.expr(f"CASE {branches} ELSE 0 END"))
+
+
+def counter_sums() -> list[str]:
+    """Aggregates turning coded person rows into the eleven counters."""
 
     def people(*wanted: str) -> str:
-        return total_if(outcome_in("resultat_humain", list(wanted), spelling), "nombre")
+        return total_if(f"code IN ({_codes(*wanted)})", "nombre")
 
     sums = [
         people(*L.SAFE),
@@ -53,7 +73,8 @@ def counter_sums(spelling: str) -> list[str]:
 
 
 def persons_by_case(persons: DataFrame, spelling: str) -> DataFrame:
-    return persons.groupBy("operation_id").agg(*map(F.expr, counter_sums(spelling)))
+    coded = with_outcome_code(persons, spelling)
+    return coded.groupBy("operation_id").agg(*map(F.expr, counter_sums()))
 
 
 def attach_counters(data: RescueData, cases: DataFrame) -> DataFrame:
@@ -78,14 +99,17 @@ def persons_by_case_category(data: RescueData) -> DataFrame:
     persons = data.persons(
         "operation_id", "categorie_personne", "resultat_humain", "nombre", "dont_nombre_blesse"
     )
-    return persons.groupBy("operation_id", "categorie_personne").agg(
+    coded = with_outcome_code(persons, data.spelling, plain=True)
+    return coded.groupBy("operation_id", "categorie_personne").agg(
         *map(F.expr, category_sums(data.spelling))
     )
 
 
 def category_sums(spelling: str) -> list[str]:
+    """Deaths go by the beginning of the outcome here, so longer texts count too."""
+
     def people(*wanted: str) -> str:
-        return total_if(outcome_in("resultat_humain", list(wanted), spelling, plain=True), "nombre")
+        return total_if(f"code IN ({_codes(*wanted)})", "nombre")
 
     return named(
         person_rows=ROWS,
@@ -93,7 +117,10 @@ def category_sums(spelling: str) -> list[str]:
         blesses=total("dont_nombre_blesse"),
         ss=people(*L.SAFE),
         pec=people(*L.OFFICIAL),
-        dec=total_if(outcome_starts("resultat_humain", L.DEAD, spelling), "nombre"),
+        dec=total_if(
+            f"code IN ({_codes(*L.DEATHS)}) OR (code = 0 AND {outcome_starts('resultat_humain', L.DEAD, spelling)})",
+            "nombre",
+        ),
         dis=people(L.MISSING),
     )
 

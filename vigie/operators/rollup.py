@@ -78,4 +78,4 @@ def roll_up(
 
 def hours(seconds: str, divisor: str = "1", places: int = 2) -> str:
     """Seconds over ``divisor`` as rounded hours."""
-    return half_up(seconds, f"({divisor}) * 3600", places)
+    return half_up(seconds, f"({divisor}) * 3600", places, wide=True)

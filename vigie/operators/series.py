@@ -86,14 +86,15 @@ def rounded_score(score: str) -> str:
     return round_away(score, 2)
 
 
-def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add ``value`` as a percentage of its total over the whole frame.
+def share_of_total(groups: DataFrame, value: str, name: str) -> DataFrame:
+    """Add ``value`` as a percentage of its total over all groups.
 
-    The total is a scalar subquery: no single-task window and no cross product.
+    ``groups`` is a finished grouping by labels: its rows are as few as the label
+    combinations, so one task adds them up. Reading the source a second time for the
+    total would cost far more.
     """
-    whole = df.agg(F.sum(value).alias("whole")).scalar()
-    shared = df.withColumn("whole", whole)
-    return shared.selectExpr(*[f"`{x}`" for x in df.columns], f"{percent(value, 'whole')} AS {name}")
+    share = percent(value, f"sum({value}) OVER ()")
+    return groups.selectExpr(*[f"`{x}`" for x in groups.columns], f"{share} AS {name}")
 
 
 def fill_bins(binned: DataFrame, period: str, step: str, values: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from vigie.operators import filters
 from vigie.operators.counters import attach_counters
 from vigie.operators.paging import largest, smallest
 from vigie.operators.rollup import ALERT, dated_cases, grouped
-from vigie.operators.series import fill_bins
+from vigie.operators.series import fill_bins, share_of_total
 from vigie.sources.dataset import RescueData
 
 
@@ -69,9 +69,8 @@ def frame_by_centre(frame: DataFrame) -> DataFrame:
 
 def frame_by_kind(frame: DataFrame) -> DataFrame:
     groups = grouped(frame, ["type_operation"], f"{ROWS} AS total")
-    whole = groups.agg(F.sum("total").alias("whole")).scalar()
-    share = round_even("cast(total AS double) / cast(whole AS double) * 100D", 2)
-    return groups.withColumn("whole", whole).selectExpr(
+    share = round_even("cast(total AS double) / cast(sum(total) OVER () AS double) * 100D", 2)
+    return groups.selectExpr(
         "coalesce(type_operation, 'Autre') AS type_operation", "total", f"{share} AS pourcentage"
     ).orderBy(largest("total"), "type_operation")
 
@@ -152,10 +151,7 @@ def category_shares(counts: DataFrame) -> DataFrame:
     merged = grouped(merge_categories(counts), ["categorie_personne"], *named(
         total_personnes="cast(sum(total_personnes) AS bigint)", nb_operations="cast(sum(nb_operations) AS bigint)",
     ))
-    whole = merged.agg(F.sum("total_personnes").alias("whole")).scalar()
-    return merged.withColumn("whole", whole).selectExpr(
-        "categorie_personne", "total_personnes", "nb_operations", f"{percent('total_personnes', 'whole')} AS part"
-    ).orderBy(largest("total_personnes"), "categorie_personne")
+    return share_of_total(merged, "total_personnes", "part").orderBy(largest("total_personnes"), "categorie_personne")
 
 
 def category_rates(rescue: DataFrame) -> DataFrame:

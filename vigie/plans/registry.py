@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -108,8 +109,13 @@ def refresh(data: RescueData, root: str, names: list[str] | None = None) -> str:
     """
     folder = f"{root}/version-{uuid.uuid4().hex}"
     facts = store_facts(data, folder)
-    for name in names or STORED:
+
+    def write(name: str) -> None:
         STORED[name](facts).write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    # reports depend on the facts only: submit their jobs side by side
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(write, names or STORED))
     pointer = data.spark.createDataFrame([(folder,)], "folder string")
     pointer.coalesce(1).write.mode("overwrite").text(f"{root}/current")
     return folder

@@ -125,7 +125,7 @@ def _vessel_rollup(
 
 def _mean(column: str, unit: int, places: int) -> str:
     """Rounded mean of a fixed-point column summed as ``sum_`` and counted as ``count_``."""
-    return half_up(f"sum_{column}", f"count_{column} * {unit}", places)
+    return half_up(f"sum_{column}", f"count_{column} * {unit}", places, wide=True)
 
 
 def vessel_analysis(data: RescueData) -> DataFrame:

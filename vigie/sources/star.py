@@ -14,6 +14,16 @@ from vigie import labels as L
 from vigie.functions.outcomes import FOLDED, any_of, quoted
 from vigie.sources.dataset import AUDIT, CASES, PERSONS, VESSELS, RescueData
 
+SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+    " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
 TYPES = {"1": "SAR", "2": "MAS", "3": "SUR", "5": "DIV"}
 PHASES = ["Nuit", "Matin", "Apres-midi", "Soir", "Aube"]
 COMPASS = L.REFERENCE_LISTS["VENT_DIRECTION_CATEGORIE"]
@@ -133,9 +143,14 @@ class StarData(RescueData):
     def __init__(self, spark: SparkSession, root: str, spelling: str = FOLDED):
         super().__init__(spark, spelling)
         self.root = root
+        self._tables: dict[str, DataFrame] = {}
 
     def star(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """A star table under its known schema; no footer is read to plan a report."""
+        if name not in self._tables:
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.root}/{name}.parquet")
+        return self._tables[name]
 
     def widen_orders(self, orders: DataFrame, columns: set[str]) -> DataFrame:
         """Add the dimension columns that ``columns`` need to a frame of orders."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigie.functions.measures import ROWS, named, total
-from vigie.operators.counters import COUNTERS, counter_sums
+from vigie.operators.counters import COUNTERS, persons_by_case
 from vigie.operators.rollup import BY_MONTH, SUMS, grouped
 
 
@@ -80,7 +80,7 @@ def run_counters(persons: DataFrame, out: str, checkpoint: str, spelling: str) -
     """Keep per-case counters current from arriving person rows."""
 
     def reduce_batch(batch: DataFrame) -> DataFrame:
-        return grouped(batch, ["operation_id"], *counter_sums(spelling))
+        return persons_by_case(batch, spelling)
 
     return run_partials(persons, reduce_batch, out, checkpoint)
 
