@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vigie import labels as L
 from vigie.functions import temporal as T
 from vigie.functions.measures import (
-    ROWS, fixed_point, half_up, named, percent, total, total_if,
+    ROWS, fixed_point, half_up, named, percent, total, total_if, wide_sum,
 )
 from vigie.functions.outcomes import any_of
 from vigie.operators.counters import attach_counters, persons_by_case_category, vessels_by_case
@@ -294,8 +294,8 @@ def _position_sums(weight: str = "1") -> dict[str, str]:
     """Exact sums of micro-degrees over the valid positions, and their counts."""
     sums = {}
     for short, column in (("lat", "latitude"), ("lon", "longitude")):
-        units = f"cast({fixed_point(column, 6)} AS decimal(20,0))"
-        sums[f"sum_{short}"] = f"sum(CASE WHEN {VALID_POSITION} THEN {units} * {weight} END)"
+        units = f"CASE WHEN {VALID_POSITION} THEN {fixed_point(column, 6)} * {weight} END"
+        sums[f"sum_{short}"] = wide_sum(f"({units})")
         sums[f"count_{short}"] = f"sum(CASE WHEN {VALID_POSITION} THEN {weight} END)"
     return sums
 
@@ -314,10 +314,10 @@ def geography(data: RescueData) -> DataFrame:
     cases = dated_cases(
         data, *keys.values(), "latitude", "longitude", METRES, "est_dans_stm", "est_dans_dst", dated=False
     )
-    lat, lon = (f"cast({fixed_point(x, 6)} AS decimal(20,0))" for x in ("latitude", "longitude"))
+    lat, lon = (wide_sum(fixed_point(x, 6)) for x in ("latitude", "longitude"))
     groups = roll_up(
         data, cases, keys,
-        sum_lat=f"sum({lat})", count_lat="count(latitude)", sum_lon=f"sum({lon})",
+        sum_lat=lat, count_lat="count(latitude)", sum_lon=lon,
         count_lon="count(longitude)", sum_m=f"sum({fixed_point(METRES, 2)})", count_m=f"count({METRES})",
         stm="cast(count_if(est_dans_stm) AS bigint)", dst="cast(count_if(est_dans_dst) AS bigint)",
     )
