@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,18 +37,22 @@ def local_session(name: str, cores: int | str = 8) -> SparkSession:
     return spark
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``.
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="vigie-")
 
-    Only a local session without that setting falls back to a temporary folder of
-    this machine, and remembers it in the session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="vigie-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+def work_root(configured: str | None, master: str, application: str) -> str:
+    """The shared folder that the cluster names; a local session may make its own."""
+    if configured:
+        return configured.rstrip("/")
+    if not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _own_folder(application)
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``."""
+    context = spark.sparkContext
+    root = work_root(spark.conf.get("spark.checkpoint.dir", None), context.master, context.applicationId)
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
