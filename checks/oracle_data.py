@@ -248,7 +248,8 @@ DATA = {
     "audit_retention": with_(f"""SELECT id, table_name, operation_type, new_values, "timestamp" FROM au WHERE "timestamp" >= {EDGE}
  UNION ALL SELECT NULL, 'audit_log', 'ETL_LOAD', '{{"action":"cleanup","deleted_rows":' || {N}::VARCHAR || ',"retention_days":20}}', TIMESTAMP '2024-02-01' FROM au WHERE "timestamp" < {EDGE} HAVING count(*) > 0""", AU),
     "fk_orphans": with_("SELECT operation_id, numero_ordre FROM fl WHERE operation_id NOT IN (SELECT operation_id FROM ops WHERE NOT est_dans_stm)", FL, OPS),
-    "create_with_relations": with_("SELECT operation_id, categorie_personne, resultat_humain, nombre FROM rh", RH),
+    "create_with_relations": """SELECT o_orderkey AS operation_id, CASE WHEN i = 1 THEN 'Migrant' ELSE 'Autre' END AS categorie_personne, i * (o_custkey % 5) AS nombre
+ FROM (SELECT *, unnest(range(1, o_orderkey % 3 + 2)) AS i FROM orders)""",
     "join_range_selfjoin": with_("""SELECT m.*, count(p.periode)::BIGINT AS mois_connus, sum(p.nb_operations)::BIGINT AS s_nb_operations, sum(p.total_personnes)::BIGINT AS s_total_personnes
  FROM m LEFT JOIN m p ON p.periode < m.periode AND p.periode >= m.periode - INTERVAL 12 MONTH GROUP BY ALL""",
         OPS, RH, ST, BASE, f"m AS (SELECT periode, {N} AS nb_operations, sum(im)::BIGINT AS total_personnes FROM base WHERE {DATED} GROUP BY 1)"),

@@ -116,9 +116,9 @@ REPORTS = {
     "q_distinct_values": with_("SELECT DISTINCT evenement FROM ops", OPS),
     "q_children_by_fk": with_("SELECT operation_id, numero_ordre, type_flotteur, pavillon FROM fl WHERE operation_id = 77", FL),
     "q_by_result": with_("SELECT operation_id, categorie_personne, resultat_humain, nombre, dont_nombre_blesse FROM rh WHERE resultat_humain = 'Personne disparue'", RH),
-    "q_op_with_children": with_("""SELECT o.operation_id, type_operation, "cross", flotteurs, nb_resultats, personnes FROM ops o
- LEFT JOIN (SELECT operation_id, string_agg(numero_ordre::VARCHAR || '|' || coalesce(pavillon, '?') || '|' || resultat_flotteur, ';' ORDER BY numero_ordre, pavillon NULLS FIRST, resultat_flotteur) AS flotteurs FROM fl GROUP BY 1) f ON o.operation_id = f.operation_id
- LEFT JOIN (SELECT operation_id, count(*)::BIGINT AS nb_resultats, sum(nombre)::BIGINT AS personnes FROM rh GROUP BY 1) r ON o.operation_id = r.operation_id""", OPS, FL, RH),
+    "q_op_with_children": with_("""SELECT o.operation_id, type_operation, "cross", relation, rang, libelle, resultat, nombre FROM ops o LEFT JOIN (
+   SELECT operation_id, 'flotteur' AS relation, numero_ordre AS rang, pavillon AS libelle, resultat_flotteur AS resultat, NULL::BIGINT AS nombre FROM fl
+   UNION ALL SELECT operation_id, 'resultat', NULL, categorie_personne, resultat_humain, nombre FROM rh) c ON o.operation_id = c.operation_id""", OPS, FL, RH),
 }
 
 

@@ -315,8 +315,13 @@ def orphaned(spark, sf_dir) -> DataFrame:
 
 
 def related(spark, sf_dir) -> DataFrame:
-    nested = R.cases_with_children(StarData(spark, sf_dir))
-    return C.split_nested(nested, {"flotteurs": "flotteurs", "resultats_humain": "resultats"})["resultats_humain"]
+    """Requests that bring a case with a short list of people; the people become rows."""
+    requests = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey AS operation_id", "o_orderstatus AS zone_responsabilite",
+        "transform(sequence(1L, o_orderkey % 3 + 1), i -> named_struct('categorie_personne',"
+        " CASE WHEN i = 1 THEN 'Migrant' ELSE 'Autre' END, 'nombre', i * (o_custkey % 5))) AS resultats",
+    )
+    return C.split_nested(requests, {"resultats_humain": "resultats"})["resultats_humain"]
 
 
 # --- joins ------------------------------------------------------------------
@@ -362,7 +367,8 @@ def counter_stream(spark, sf_dir) -> DataFrame:
 def monthly_stream(spark, sf_dir) -> DataFrame:
     out, data = work_folder(spark, "monthly"), StarData(spark, sf_dir)
     cases = data.case_projection(jobs.file_stream(spark, f"{sf_dir}/orders.parquet"), "operation_id", ALERT)
-    counters = attach_counters(data, data.cases("operation_id"))
+    attach_counters(data, data.cases("operation_id")).write.parquet(f"{out}/counters")
+    counters = spark.read.parquet(f"{out}/counters")
     jobs.run_monthly(cases, counters, f"{out}/partials", f"{out}/checkpoint").awaitTermination()
     return V.monthly_rates(jobs.read_monthly(spark, f"{out}/partials"))
 

@@ -117,22 +117,9 @@ REPORTS = {
         StarData(spark, sf_dir).vessels("operation_id", "numero_ordre", "type_flotteur", "pavillon"), 77
     ),
     "q_by_result": on(R.persons_by_outcome, L.MISSING),
+    "q_op_with_children": on(R.cases_with_children),
 }
 
-
-def nested_as_text(spark, sf_dir):
-    """Children as one text per case, so both engines show the same value."""
-    nested = R.cases_with_children(StarData(spark, sf_dir))
-    return nested.selectExpr(
-        "operation_id", "type_operation", "cross",
-        "array_join(transform(flotteurs, f -> concat_ws('|', f.numero_ordre, coalesce(f.pavillon, '?'), f.resultat_flotteur)), ';') AS flotteurs",
-        "cast(size(resultats) AS bigint) AS nb_resultats",
-        "aggregate(resultats, 0L, (a, r) -> a + r.nombre) AS personnes",
-    )
-
-
-REPORTS["q_op_with_children"] = nested_as_text
-
 VIEW_QUESTIONS = {
     "qk_securite_mensuel": on(Q.latest_months),
     "qk_securite_mensuel_mois": on(Q.latest_months, month=7, active=True),

@@ -70,15 +70,19 @@ def test_audit_changes_and_list(spark):
     assert got == [("cross", "Corse", "Étel"), ("vent_force", "-", "3")]
 
 
-def test_nested_round_trip(make_data):
+def test_children_are_rows(make_data):
     data = make_data([{"operation_id": 1}, {"operation_id": 2}],
                      [{"operation_id": 1, "nombre": n, "resultat_humain": "Personne secourue"} for n in (1, 2)],
-                     [{"operation_id": 1, "numero_ordre": 1}])
-    nested = R.cases_with_children(data)
-    assert {r["operation_id"]: len(r["resultats"] or []) for r in rows(nested)} == {1: 2, 2: 0}
-    tables = C.split_nested(nested, {"flotteurs": "flotteurs", "resultats_humain": "resultats"})
-    assert tables["operations"].count() == 2 and tables["flotteurs"].count() == 1
-    assert sorted(r["nombre"] for r in rows(tables["resultats_humain"])) == [1, 2]
+                     [{"operation_id": 1, "numero_ordre": 1}, {"operation_id": 9}])
+    got = sorted((r["operation_id"], r["relation"] or "") for r in rows(R.cases_with_children(data)))
+    assert got == [(1, "flotteur"), (1, "resultat"), (1, "resultat"), (2, "")]
+
+
+def test_nested_rows_become_parent_and_child_tables(spark):
+    nested = spark.createDataFrame([(1, "Corse", [(2,), (3,)]), (2, None, [])], "operation_id long, cross string, resultats array<struct<nombre:long>>")
+    tables = C.split_nested(nested, {"resultats_humain": "resultats"})
+    assert tables["operations"].columns == ["operation_id", "cross"] and tables["operations"].count() == 2
+    assert sorted((r["operation_id"], r["nombre"]) for r in rows(tables["resultats_humain"])) == [(1, 2), (1, 3)]
 
 
 def test_sample_is_repeatable_and_sized(spark):

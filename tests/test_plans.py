@@ -65,3 +65,15 @@ def test_registry_and_sql_agree_on_names():
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert set(queries) == set(oracles)
     assert not [n for n in queries if "pipeline" in n or n.startswith("op")and n[2:3].isdigit()]
+
+
+def test_case_regrouping_after_the_join_needs_no_shuffle(spark, sf_dir):
+    """Persons by case and category, then cases, then by case: three exchanges and the final ones."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(views.case_map(StarData(spark, sf_dir)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    top_group = text[: text.index("Join")]
+    assert "Exchange" not in top_group

@@ -94,8 +94,6 @@ def case_counters(data: RescueData) -> DataFrame:
 
 def persons_by_case_category(data: RescueData) -> DataFrame:
     """Person rows reduced to one row per case and person category."""
-    if CATEGORY_FACTS in data.stored:
-        return data.stored[CATEGORY_FACTS]
     persons = data.persons(
         "operation_id", "categorie_personne", "resultat_humain", "nombre", "dont_nombre_blesse"
     )
@@ -105,6 +103,18 @@ def persons_by_case_category(data: RescueData) -> DataFrame:
     )
 
 
+def category_cases(data: RescueData, *columns: str, where: str = "true") -> DataFrame:
+    """One row per case and person category, with case columns, for the cases of ``where``.
+
+    Stored facts already carry the case columns and are only scanned.
+    """
+    wanted = dict.fromkeys(["operation_id", *columns])
+    if CATEGORY_FACTS in data.stored:
+        return data.stored[CATEGORY_FACTS].where(where)
+    cases = data.cases(*wanted).where(where).select(*wanted)
+    return persons_by_case_category(data).join(cases, "operation_id")
+
+
 def category_sums(spelling: str) -> list[str]:
     """Deaths go by the beginning of the outcome here, so longer texts count too."""
 

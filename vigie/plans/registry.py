@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.operators.counters import COUNTERS, attach_counters, persons_by_case_category
+from vigie.operators.counters import COUNTERS, attach_counters, category_cases
 from vigie.plans import view_queries as Q
 from vigie.plans import views as V
 from vigie.sources.dataset import CASE_FACTS, CATEGORY_FACTS, RescueData, StoredFacts
@@ -65,6 +65,7 @@ STORED: dict[str, Report] = {
     "v_kpi_carte_operations_categorie": V.case_map,
 }
 FACTS = ["operations_stats", CASE_FACTS, CATEGORY_FACTS]
+CATEGORY_COLUMNS = ["date_heure_reception_alerte", "cross", "prefecture_maritime", "latitude", "longitude"]
 
 
 def export(data: RescueData, name: str) -> DataFrame:
@@ -90,15 +91,21 @@ def export_bundle(data: RescueData) -> dict[str, DataFrame]:
 def store_facts(data: RescueData, root: str) -> StoredFacts:
     """Write the shared facts once and return a handle that reads them.
 
-    The case join and the person reduction then happen once, not once per report.
+    The case join and the person reduction then happen once, not once per report: the
+    category facts carry the case columns that reports group or filter by.
     """
     spark = data.spark
-    persons_by_case_category(data).write.mode("overwrite").parquet(f"{root}/{CATEGORY_FACTS}")
-    attach_counters(data, data.cases()).write.mode("overwrite").parquet(f"{root}/{CASE_FACTS}")
-    facts = spark.read.parquet(f"{root}/{CASE_FACTS}")
-    facts.select("operation_id", *COUNTERS).write.mode("overwrite").parquet(f"{root}/operations_stats")
-    stored = {CASE_FACTS: facts, CATEGORY_FACTS: spark.read.parquet(f"{root}/{CATEGORY_FACTS}")}
-    return StoredFacts(data, stored)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    facts = store(CASE_FACTS, attach_counters(data, data.cases()))
+    store("operations_stats", facts.select("operation_id", *COUNTERS))
+    joined = StoredFacts(data, {CASE_FACTS: facts})
+    return StoredFacts(
+        data, {CASE_FACTS: facts, CATEGORY_FACTS: store(CATEGORY_FACTS, category_cases(joined, *CATEGORY_COLUMNS))}
+    )
 
 
 def refresh(data: RescueData, root: str, names: list[str] | None = None) -> str:

@@ -218,27 +218,26 @@ def case_page_with_count(data: RescueData, skip: int = 0, limit: int = 100, **wa
 
 
 def cases_with_children(data: RescueData, where: str | None = None) -> DataFrame:
-    """Cases as nested rows with their vessels and person outcomes.
+    """Cases with their vessels and person outcomes, one row per child, childless cases once.
 
-    Nesting one case's children is bounded by the case; ask for the cases of interest
-    with ``where`` and only their children travel.
+    Children stay rows instead of lists: one case may own a large share of all children,
+    and an inner join lets Spark split it over tasks. Childless cases are added apart.
     """
     cases = data.cases("operation_id", "type_operation", "cross")
     if where:
         cases = cases.where(where)
-    keys = cases.select("operation_id")
-    vessels = data.vessels("operation_id", "numero_ordre", "pavillon", "resultat_flotteur")
-    persons = data.persons("operation_id", "categorie_personne", "resultat_humain", "nombre")
-
-    def nested(children: DataFrame, name: str) -> DataFrame:
-        fields = ", ".join(x for x in children.columns if x != "operation_id")
-        mine = children.join(keys, "operation_id", "left_semi") if where else children
-        return grouped(mine, ["operation_id"], f"sort_array(collect_list(struct({fields}))) AS {name}")
-
-    return (
-        cases.join(nested(vessels, "flotteurs"), "operation_id", "left")
-        .join(nested(persons, "resultats"), "operation_id", "left")
+    vessels = data.vessels("operation_id", "numero_ordre", "pavillon", "resultat_flotteur").selectExpr(
+        "operation_id", "'flotteur' AS relation", "numero_ordre AS rang", "pavillon AS libelle",
+        "resultat_flotteur AS resultat", "cast(NULL AS bigint) AS nombre",
     )
+    persons = data.persons("operation_id", "categorie_personne", "resultat_humain", "nombre").selectExpr(
+        "operation_id", "'resultat' AS relation", "cast(NULL AS bigint) AS rang", "categorie_personne AS libelle",
+        "resultat_humain AS resultat", "nombre",
+    )
+    children = vessels.unionByName(persons)
+    owners = children.groupBy("operation_id").agg(F.expr(ROWS).alias("children")).select("operation_id")
+    childless = cases.join(owners, "operation_id", "left_anti")
+    return children.join(cases, "operation_id").unionByName(childless, allowMissingColumns=True)
 
 
 def children_of(children: DataFrame, operation_id: int) -> DataFrame:

@@ -15,7 +15,7 @@ from vigie.functions.measures import (
     ROWS, fixed_point, half_up, named, percent, total, total_if, wide_sum,
 )
 from vigie.functions.outcomes import any_of
-from vigie.operators.counters import attach_counters, persons_by_case_category, vessels_by_case
+from vigie.operators.counters import attach_counters, category_cases, vessels_by_case
 from vigie.operators.quantiles import middle_values
 from vigie.operators.rollup import (
     ALERT, BY_MONTH, BY_YEAR, DEATH_RATE, DURATION, END, PEOPLE_PER_CASE, RESCUE_RATE, SEVERITY,
@@ -353,7 +353,7 @@ def _category_rollup(data: RescueData, keys: dict[str, str], *columns: str, wher
     Groups keep a missing category apart from a literal label for it, as the label is
     put on afterwards.
     """
-    facts = persons_by_case_category(data).join(dated_cases(data, *columns).where(where), "operation_id")
+    facts = category_cases(data, ALERT, *columns, where=f"{ALERT} IS NOT NULL AND ({where})")
     sums = {x: total(x) for x in ("blesses", "ss", "pec", "dec", "dis")}
     return grouped(
         facts, {**keys, CATEGORY: CATEGORY},
@@ -404,10 +404,11 @@ def official_months(data: RescueData) -> DataFrame:
         kept=total_if(kept, "personnes"), ss=total_if(kept, "ss"), pec=total_if(kept, "pec"),
         dec=total_if(kept, "dec"), everybody=total("personnes"), gone=total_if(gone, "personnes"),
     )
-    by_case = grouped(persons_by_case_category(data), ["operation_id"], *sums)
+    facts = category_cases(data, ALERT, "cross", where=f"{ALERT} IS NOT NULL")
+    # the join already placed each case in one partition, so this grouping moves nothing
+    by_case = grouped(facts, ["operation_id", ALERT, "cross"], *sums)
     groups = grouped(
-        by_case.join(dated_cases(data, "cross"), "operation_id"),
-        {**BY_MONTH, "cross_name": "cross"},
+        by_case, {**BY_MONTH, "cross_name": "cross"},
         *named(n=ROWS, **{x: total(x) for x in ("kept", "ss", "pec", "dec", "everybody", "gone")}),
     )
     return groups.selectExpr(*BY_MONTH, "cross_name", *named(
@@ -420,11 +421,12 @@ def official_months(data: RescueData) -> DataFrame:
 
 def category_places(data: RescueData) -> DataFrame:
     """Mean valid position per centre and category, each person row counting once."""
-    cases = dated_cases(data, "cross", "prefecture_maritime", "latitude", "longitude", dated=False).where(
-        "latitude IS NOT NULL AND longitude IS NOT NULL AND cross IS NOT NULL"
+    facts = category_cases(
+        data, "cross", "prefecture_maritime", "latitude", "longitude",
+        where="latitude IS NOT NULL AND longitude IS NOT NULL AND cross IS NOT NULL",
     )
     groups = grouped(
-        persons_by_case_category(data).join(cases, "operation_id"),
+        facts,
         {"cross_name": "cross", "prefecture_maritime": "prefecture_maritime", CATEGORY: CATEGORY},
         *named(n=ROWS, imp=total("personnes"), ss=total("ss"), **_position_sums("person_rows")),
     )
@@ -441,17 +443,13 @@ def case_map(data: RescueData) -> DataFrame:
     struct wins: an unknown sum first, then most people, then the category name with a
     missing name last.
     """
-    cases = dated_cases(data, "cross", "latitude", "longitude", dated=False).where(VALID_POSITION)
-    people = grouped(
-        data.persons("operation_id", CATEGORY, "nombre"), ["operation_id", CATEGORY],
-        "cast(sum(nombre) AS bigint) AS people",
-    )
+    facts = category_cases(data, "cross", "latitude", "longitude", where=VALID_POSITION)
     order = (
-        f"struct(people IS NOT NULL AS known, -people AS fewest,"
+        f"struct(personnes IS NOT NULL AS known, -personnes AS fewest,"
         f" {CATEGORY} IS NULL AS unnamed, {CATEGORY} AS name)"
     )
-    dominant = grouped(people, ["operation_id"], f"min({order}) AS best")
-    return dominant.join(cases, "operation_id").selectExpr(
+    place = ["operation_id", "cross", "latitude", "longitude"]
+    return grouped(facts, place, f"min({order}) AS best").selectExpr(
         "operation_id", "cross AS cross_name", "latitude", "longitude",
         f"coalesce(best.name, '{L.UNKNOWN_CATEGORY}') AS {CATEGORY}", "-best.fewest AS nb_personnes",
     )

@@ -23,6 +23,19 @@ def builder(name: str) -> SparkSession.Builder:
     )
 
 
+def cluster_session(name: str, shuffle_partitions: int = 20000) -> SparkSession:
+    """A session for large data: many small shuffle partitions that AQE merges as needed.
+
+    Master, memory, executors and ``spark.checkpoint.dir`` come from the cluster.
+    """
+    return (
+        builder(name)
+        .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .getOrCreate()
+    )
+
+
 def local_session(name: str, cores: int | str = 8) -> SparkSession:
     spark = (
         builder(name)
