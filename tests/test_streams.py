@@ -42,3 +42,16 @@ def test_audit_counts_over_several_batches(spark):
         jobs.run_audit_counts(log, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
     got = {(str(r["jour"]), r["operation_type"]): r["entrees"] for r in rows(jobs.read_audit_counts(spark, f"{root}/counts"))}
     assert got == {("2024-01-01", "INSERT"): 3, ("2024-01-02", "DELETE"): 1}
+
+
+def test_audit_days_do_not_depend_on_the_session_zone(spark):
+    root = work_folder(spark, "test")
+    schema = "table_name string, operation_type string, timestamp timestamp_ntz"
+    spark.createDataFrame([("operations", "INSERT", datetime(2024, 1, 1, h, 59)) for h in (0, 23)], schema).write.parquet(f"{root}/log")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Noumea")
+        jobs.run_audit_counts(jobs.file_stream(spark, f"{root}/log"), f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+        assert [(str(r["jour"]), r["entrees"]) for r in rows(jobs.read_audit_counts(spark, f"{root}/counts"))] == [("2024-01-01", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -233,6 +233,6 @@ def list_projection(entity: Entity, df: DataFrame, with_id: bool = True) -> Data
     for f in entity.listed():
         if f.name not in df.columns or (with_id and f.name == entity.key):
             continue
-        shown = f"date_format({Q.ident(f.name)}, 'yyyy-MM-dd HH:mm')" if f.kind == "datetime" else f"cast({Q.ident(f.name)} AS string)"
+        shown = f"substring(cast({Q.ident(f.name)} AS string), 1, 16)" if f.kind == "datetime" else f"cast({Q.ident(f.name)} AS string)"
         columns.append(f"coalesce({shown}, '-') AS {Q.ident(f.label)}")
     return df.selectExpr(*columns)

@@ -47,10 +47,16 @@ def run_partials(stream: DataFrame, reduce_batch: Callable[[DataFrame], DataFram
 
 # --- audit counts -----------------------------------------------------------
 def audit_daily(log: DataFrame, late: str = "1 day") -> DataFrame:
-    """Entries per day, table and action; rows later than ``late`` may be dropped."""
-    timed = log.withColumn("at", F.col("timestamp").cast("timestamp"))
+    """Entries per day, table and action; rows later than ``late`` may be dropped.
+
+    Zone-less times become instants as if they were UTC, so windows are calendar days
+    whatever the session time zone is.
+    """
+    epoch = "timestamp_ntz '1970-01-01 00:00:00'"
+    at = f"timestamp_seconds(cast(cast(`timestamp` - {epoch} AS interval second) AS bigint))"
     return (
-        timed.withWatermark("at", late)
+        log.withColumn("at", F.expr(at))
+        .withWatermark("at", late)
         .groupBy(F.window("at", "1 day").alias("jour"), "table_name", "operation_type")
         .agg(F.expr(ROWS).alias("entrees"))
     )
@@ -60,7 +66,7 @@ def run_audit_counts(log: DataFrame, out: str, checkpoint: str) -> StreamingQuer
     """Each batch stores the new totals of the windows it touched."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        flat = batch.selectExpr("cast(jour.start AS date) AS jour", "table_name", "operation_type", "entrees")
+        flat = batch.selectExpr("date_add(date '1970-01-01', cast(unix_seconds(jour.start) div 86400 AS int)) AS jour", "table_name", "operation_type", "entrees")
         _write_partial(flat, out, batch_id)
 
     return (
