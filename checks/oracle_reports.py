@@ -103,7 +103,7 @@ REPORTS = {
     "q_search_default": base(f"SELECT {LISTED} FROM base {NEWEST} LIMIT 100"),
     "q_operations_export": base(f"SELECT {EXTRACT} FROM base {NEWEST} LIMIT 10000"),
     "q_operations_export_cross": base(f"SELECT {EXTRACT} FROM base WHERE \"cross\" = 'Corse' AND {PERIOD} {NEWEST} LIMIT 10000"),
-    "q_audit_logs": with_("""SELECT * REPLACE (CASE WHEN changed_fields IS NOT NULL THEN [changed_fields] END AS changed_fields) FROM au WHERE operation_type = 'UPDATE' AND user_id ILIKE '%user_1%' AND "timestamp" >= TIMESTAMP '2024-01-10'
+    "q_audit_logs": with_("""SELECT * FROM au WHERE operation_type = 'UPDATE' AND user_id ILIKE '%user_1%' AND "timestamp" >= TIMESTAMP '2024-01-10'
  ORDER BY "timestamp" DESC, id LIMIT 500""", AU),
     "q_audit_stats": with_(f"""SELECT {N} AS total_entries, count(DISTINCT table_name)::BIGINT AS tables_tracked, count(DISTINCT user_id)::BIGINT AS users_active,
  count(*) FILTER (WHERE operation_type = 'INSERT')::BIGINT AS total_inserts, count(*) FILTER (WHERE operation_type = 'UPDATE')::BIGINT AS total_updates,

@@ -104,7 +104,9 @@ REPORTS = {
     "q_search_default": on(R.search_cases),
     "q_operations_export": on(R.case_extract),
     "q_operations_export_cross": on(R.case_extract, centre="Corse", start=D0, end=D1),
-    "q_audit_logs": on(R.audit_entries, action="UPDATE", user="user_1", since="2024-01-10"),
+    "q_audit_logs": lambda spark, sf_dir: R.audit_entries(
+        StarData(spark, sf_dir), action="UPDATE", user="user_1", since="2024-01-10"
+    ).selectExpr("* EXCEPT (changed_fields)", "array_join(changed_fields, ',') AS changed_fields"),
     "q_audit_stats": on(R.audit_summary),
     "q_audited_tables": on(R.audited_tables),
     "q_page": lambda spark, sf_dir: R.table_page(

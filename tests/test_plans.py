@@ -4,8 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 from checks import q_data, q_reports, q_views
+from vigie.operators.entities import CASE, data_dictionary
 from vigie.operators.filters import between_dates
-from vigie.plans import views
+from vigie.plans import view_queries, views
+from vigie.session import work_folder
+from vigie.sources.dataset import FolderData
+from vigie.sources.sinks import full_refresh
 from vigie.sources.star import StarData
 
 LAZY = {**q_views.QUERIES, **q_reports.QUERIES, **{k: v for k, v in q_data.QUERIES.items() if k.startswith(("dq_", "cdc_", "join_", "batch_", "fk_", "delete_"))}}
@@ -77,3 +81,31 @@ def test_case_regrouping_after_the_join_needs_no_shuffle(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     top_group = text[: text.index("Join")]
     assert "Exchange" not in top_group
+
+
+def test_a_year_reaches_the_scan_of_stored_cases(spark, sf_dir):
+    data, root = StarData(spark, sf_dir), work_folder(spark, "test")
+    full_refresh({"operations": data.cases(), "flotteurs": data.vessels(), "resultats_humain": data.persons()}, root)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # show whole filter lists
+    try:
+        text = plan(view_queries.latest_months(FolderData(spark, root), year=1998, active=True))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(date_heure_reception_alerte,1998" in text
+    assert "In(cross, [" in text
+
+
+def test_a_page_is_cut_before_people_are_summed(spark, sf_dir):
+    df = q_reports.QUERIES["q_search_default"](spark, sf_dir)
+    logical = optimized(df)
+    assert "LeftSemi" in logical
+    assert logical.index("Aggregate") < logical.index("LeftSemi")  # the sum sits above the cut
+
+
+def test_quick_dictionary_agrees_on_rows_and_missing_values(spark, sf_dir):
+    cases = StarData(spark, sf_dir).cases()
+
+    def counts(exact):
+        return {r["champ"]: (r["lignes"], r["manquantes"]) for r in data_dictionary(CASE, cases, exact).collect()}
+
+    assert counts(True) == counts(False)

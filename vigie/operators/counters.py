@@ -82,7 +82,24 @@ def attach_counters(data: RescueData, cases: DataFrame) -> DataFrame:
     if set(COUNTERS) <= set(cases.columns):
         return cases
     persons = data.persons("operation_id", "resultat_humain", "nombre", "dont_nombre_blesse")
-    joined = cases.join(persons_by_case(persons, data.spelling), "operation_id", "left")
+    return _fill(cases, cases.join(persons_by_case(persons, data.spelling), "operation_id", "left"))
+
+
+def attach_counters_to_few(data: RescueData, few: DataFrame) -> DataFrame:
+    """Counters for a short list of cases, such as a page.
+
+    Person rows are cut to these cases before they are summed, so neither the person
+    table nor the case table is shuffled whole. The list is planned twice and must be
+    the same both times: give it a unique order.
+    """
+    if set(COUNTERS) <= set(few.columns):
+        return few
+    persons = data.persons("operation_id", "resultat_humain", "nombre", "dont_nombre_blesse")
+    mine = persons.join(few.select("operation_id"), "operation_id", "left_semi")
+    return _fill(few, few.join(persons_by_case(mine, data.spelling), "operation_id", "left"))
+
+
+def _fill(cases: DataFrame, joined: DataFrame) -> DataFrame:
     filled = [f"coalesce({name}, 0L) AS {name}" for name in COUNTERS]
     return joined.selectExpr(*[f"`{name}`" for name in cases.columns], *filled)
 

@@ -188,11 +188,12 @@ def person_rules(columns: list[str], strict: bool = False) -> Q.RuleSet:
     return _entity_rules(columns, ["resultat_id", "operation_id"], ranges, lists, strict, together)
 
 
-def data_dictionary(entity: Entity, df: DataFrame) -> DataFrame:
+def data_dictionary(entity: Entity, df: DataFrame, exact: bool = True) -> DataFrame:
     """Fields with their constraints and the measured missing and distinct counts.
 
-    All counts come from one aggregate over long (field, value) rows: values are grouped
-    first and counted second, so no distinct set is held per task.
+    Exact counts come from long (field, value) rows: values are grouped first and counted
+    second, so no distinct set is held per task. On very large tables ``exact=False``
+    estimates distinct values in a single pass that shuffles only sketches.
     """
     there = [f for f in entity.fields if f.name in df.columns]
 
@@ -207,15 +208,7 @@ def data_dictionary(entity: Entity, df: DataFrame) -> DataFrame:
         values = L.REFERENCE_LISTS.get(f.reference or "", [])
         return (", ".join(values[:3]) + ("..." if len(values) > 3 else "")) or "-"
 
-    pairs = ", ".join(f"{quoted(f.name)}, cast({Q.ident(f.name)} AS string)" for f in there)
-    long = df.selectExpr(f"stack({len(there)}, {pairs}) AS (champ, valeur)")
-    values = grouped(long, ["champ", "valeur"], "count(1) AS k")
-    profile = grouped(
-        values, ["champ"],
-        "cast(sum(k) AS bigint) AS lignes",
-        "cast(sum(CASE WHEN valeur IS NULL THEN k ELSE 0 END) AS bigint) AS manquantes",
-        "cast(count(valeur) AS bigint) AS distinctes",
-    )
+    profile = _exact_profile(df, there) if exact else _quick_profile(df, there)
 
     def lookup(of) -> str:
         cases = " ".join(f"WHEN {quoted(f.name)} THEN {quoted(of(f))}" for f in there)
@@ -227,6 +220,27 @@ def data_dictionary(entity: Entity, df: DataFrame) -> DataFrame:
     )
 
 
+def _exact_profile(df: DataFrame, fields: list[Field]) -> DataFrame:
+    pairs = ", ".join(f"{quoted(f.name)}, cast({Q.ident(f.name)} AS string)" for f in fields)
+    long = df.selectExpr(f"stack({len(fields)}, {pairs}) AS (champ, valeur)")
+    return grouped(
+        grouped(long, ["champ", "valeur"], "count(1) AS k"), ["champ"],
+        "cast(sum(k) AS bigint) AS lignes",
+        "cast(sum(CASE WHEN valeur IS NULL THEN k ELSE 0 END) AS bigint) AS manquantes",
+        "cast(count(valeur) AS bigint) AS distinctes",
+    )
+
+
+def _quick_profile(df: DataFrame, fields: list[Field]) -> DataFrame:
+    wide = df.agg(
+        F.expr("count(1) AS lignes"),
+        *[F.expr(f"count({Q.ident(f.name)})").alias(f"n_{f.name}") for f in fields],
+        *[F.expr(f"approx_count_distinct({Q.ident(f.name)})").alias(f"d_{f.name}") for f in fields],
+    )
+    rows = ", ".join(f"{quoted(f.name)}, lignes - `n_{f.name}`, `d_{f.name}`" for f in fields)
+    return wide.selectExpr("lignes", f"stack({len(fields)}, {rows}) AS (champ, manquantes, distinctes)")
+
+
 def list_projection(entity: Entity, df: DataFrame, with_id: bool = True) -> DataFrame:
     """Listed fields in their order under their labels; '-' for missing, minutes for instants."""
     columns = [f"{Q.ident(entity.key)} AS `ID`"] if with_id and entity.key in df.columns else []

@@ -108,7 +108,7 @@ def store_facts(data: RescueData, root: str) -> StoredFacts:
     )
 
 
-def refresh(data: RescueData, root: str, names: list[str] | None = None) -> str:
+def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by_side: int = 8) -> str:
     """Recompute the stored reports in dependency order into a new version folder.
 
     Readers keep the previous version until the last report is written; the pointer to
@@ -121,7 +121,7 @@ def refresh(data: RescueData, root: str, names: list[str] | None = None) -> str:
         STORED[name](facts).write.mode("overwrite").parquet(f"{folder}/{name}")
 
     # reports depend on the facts only: submit their jobs side by side
-    with ThreadPoolExecutor(max_workers=8) as pool:
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         list(pool.map(write, names or STORED))
     pointer = data.spark.createDataFrame([(folder,)], "folder string")
     pointer.coalesce(1).write.mode("overwrite").text(f"{root}/current")

@@ -9,7 +9,7 @@ from vigie import labels as L
 from vigie.functions import temporal as T
 from vigie.functions.measures import ROWS, named, percent, total
 from vigie.operators import filters
-from vigie.operators.counters import attach_counters, case_counters
+from vigie.operators.counters import attach_counters, attach_counters_to_few, case_counters
 from vigie.operators.paging import largest, page, smallest, top
 from vigie.operators.rollup import ALERT, BY_YEAR, active_only, dated_cases, grouped, roll_up
 from vigie.operators.series import share_of_total
@@ -185,21 +185,24 @@ def search_cases(
         _cases(data, ALERT, "type_operation", "cross", "departement", start=start, end=end),
         cross=centre, type_operation=kind, departement=department,
     )
-    counted = filters.with_victims(filters.at_least_people(attach_counters(data, found), least_people), victims)
-    listed = counted.select(
+    shown = [
         "operation_id", ALERT, "type_operation", "cross", "departement", "nombre_impliques",
         "nombre_saines_sauves", "nombre_decedes", "nombre_disparus",
-    )
-    return page(listed, offset, limit, largest(ALERT), smallest("operation_id"))
+    ]
+    order = [largest(ALERT), smallest("operation_id")]
+    if least_people is None and victims is None:  # the page is known before the counters are
+        return attach_counters_to_few(data, page(found, offset, limit, *order)).select(*shown).orderBy(*order)
+    counted = filters.with_victims(filters.at_least_people(attach_counters(data, found), least_people), victims)
+    return page(counted.select(*shown), offset, limit, *order)
 
 
 def case_extract(data: RescueData, centre=None, start=None, end=None, limit: int = 10000) -> DataFrame:
     columns = ["operation_id", ALERT, "type_operation", "sous_type_operation", "cross", "departement", "latitude", "longitude"]
     found = filters.equals(_cases(data, *columns[1:], start=start, end=end), cross=centre)
-    listed = attach_counters(data, found).select(
+    order = [largest(ALERT), smallest("operation_id")]
+    return attach_counters_to_few(data, top(found, limit, *order)).select(
         *columns, "nombre_impliques", "nombre_saines_sauves", "nombre_decedes", "nombre_disparus", "nombre_blesses"
-    )
-    return top(listed, limit, largest(ALERT), smallest("operation_id"))
+    ).orderBy(*order)
 
 
 def listed_cases(data: RescueData, centre=None, department=None, kind=None, start=None, end=None) -> DataFrame:

@@ -26,12 +26,12 @@ def _mean_of(column: str, places: int, digits: int) -> str:
 
 
 # --- safety -----------------------------------------------------------------
-def _months(data: RescueData, active: bool) -> DataFrame:
-    return V.monthly_safety(data, active=active, injuries_over_handled=True)
+def _months(data: RescueData, active: bool, year: int | None = None) -> DataFrame:
+    return V.monthly_safety(data, active=active, injuries_over_handled=True, year=year)
 
 
 def latest_months(data: RescueData, year=None, month=None, limit: int = 24, active: bool = False) -> DataFrame:
-    return top(filters.equals(_months(data, active), annee=year, mois=month), limit, largest("periode"))
+    return top(filters.equals(_months(data, active, year), mois=month), limit, largest("periode"))
 
 
 def safety_total(data: RescueData, start=None, end=None, active: bool = False) -> DataFrame:
@@ -56,7 +56,7 @@ def safety_total(data: RescueData, start=None, end=None, active: bool = False) -
 
 
 def lives_saved(data: RescueData, year: int | None = None, active: bool = False) -> DataFrame:
-    months = filters.equals(_months(data, active), annee=year)
+    months = _months(data, active, year)
     sums = months.agg(*map(F.expr, named(
         saines_sauves=_sum("total_saines_sauves"), prises_en_compte=_sum("total_prises_en_compte"),
         total_operations=_sum("nb_operations"),
@@ -121,15 +121,14 @@ def water_sports(data: RescueData, vessel_class=None, active: bool = False) -> D
 # --- calendar ---------------------------------------------------------------
 def calendar(data: RescueData, year=None, phase=None, school_holidays=None, holiday=None) -> DataFrame:
     found = filters.equals(
-        V.calendar_profile(data), annee=year, phase_journee=phase,
+        V.calendar_profile(data, year), phase_journee=phase,
         est_vacances_scolaires=school_holidays, est_jour_ferie=holiday,
     )
     return found.orderBy(largest("annee"), smallest("mois"), largest("nb_operations"))
 
 
-def _second_level(source: DataFrame, key: str, operations: str, index: str, year=None, extra: dict[str, str] | None = None) -> DataFrame:
-    known = filters.equals(source, annee=year)
-    return grouped(known, [key], *named(
+def _second_level(source: DataFrame, key: str, operations: str, index: str, extra: dict[str, str] | None = None) -> DataFrame:
+    return grouped(source, [key], *named(
         total_operations=_sum(operations), total_personnes=_sum("total_personnes"),
         total_victimes=_sum("total_victimes"), **(extra or {}),
         indice_gravite_moyen=_mean_of(index, 3, 3),
@@ -139,18 +138,18 @@ def _second_level(source: DataFrame, key: str, operations: str, index: str, year
 def season(data: RescueData, year=None, active: bool = False) -> DataFrame:
     """By month. Severity is the plain mean of the groups' indices."""
     if active:
-        months = _second_level(V.season_active(data), "mois", "nb_operations", "indice_gravite_moyen", year)
+        months = _second_level(V.season_active(data, year), "mois", "nb_operations", "indice_gravite_moyen")
     else:
-        months = _second_level(V.calendar_profile(data), "mois", "nb_operations", "indice_gravite", year)
+        months = _second_level(V.calendar_profile(data, year), "mois", "nb_operations", "indice_gravite")
     return months.orderBy("mois")
 
 
 def day_phases(data: RescueData, year=None, active: bool = False) -> DataFrame:
     if active:
-        phases = _second_level(V.day_phase_active(data), "phase_journee", "total_operations", "indice_gravite_moyen", year)
+        phases = _second_level(V.day_phase_active(data, year), "phase_journee", "total_operations", "indice_gravite_moyen")
     else:
-        profile = V.calendar_profile(data).where("phase_journee IS NOT NULL")
-        phases = _second_level(profile, "phase_journee", "nb_operations", "indice_gravite", year)
+        profile = V.calendar_profile(data, year).where("phase_journee IS NOT NULL")
+        phases = _second_level(profile, "phase_journee", "nb_operations", "indice_gravite")
     return share_of_total(phases, "total_operations", "pct_operations").orderBy(
         largest("total_operations"), "phase_journee"
     )
@@ -160,12 +159,12 @@ def school_holidays(data: RescueData, year=None, active: bool = False) -> DataFr
     mean = {"moy_personnes_par_op": _mean_of("moy_personnes_par_op", 2, 2)}
     if active:
         return _second_level(
-            V.school_holidays_active(data), "en_vacances", "total_operations", "indice_gravite_moyen", year, mean
+            V.school_holidays_active(data, year), "en_vacances", "total_operations", "indice_gravite_moyen", mean
         )
-    profile = V.calendar_profile(data).where("est_vacances_scolaires IS NOT NULL")
+    profile = V.calendar_profile(data, year).where("est_vacances_scolaires IS NOT NULL")
     return _second_level(
         profile.withColumnRenamed("est_vacances_scolaires", "en_vacances"),
-        "en_vacances", "nb_operations", "indice_gravite", year, mean,
+        "en_vacances", "nb_operations", "indice_gravite", mean,
     )
 
 
@@ -174,16 +173,16 @@ def weather(
     data: RescueData, wind_min=None, wind_max=None, sea_min=None, sea_max=None, year=None, active: bool = False
 ) -> DataFrame:
     """``year`` matters only for the active centres; the general report has no year."""
-    report = filters.equals(V.weather_profile_active(data), annee=year) if active else V.weather_profile(data)
+    report = V.weather_profile_active(data, year) if active else V.weather_profile(data)
     ranged = filters.in_range(filters.in_range(report, "vent_force", wind_min, wind_max), "mer_force", sea_min, sea_max)
     return ranged.orderBy(largest("nb_operations"))
 
 
 def _by_force(data: RescueData, force: str, year, active: bool) -> DataFrame:
-    source = V.weather_profile_active(data) if active else V.weather_profile(data)
+    source = V.weather_profile_active(data, year) if active else V.weather_profile(data)
     known = source.where(F.col(force).isNotNull())
     mean = {"taux_mortalite_moyen": _mean_of("taux_mortalite", 2, 2)}
-    return _second_level(known, force, "nb_operations", "indice_gravite", year if active else None, mean).orderBy(force)
+    return _second_level(known, force, "nb_operations", "indice_gravite", mean).orderBy(force)
 
 
 def by_wind(data: RescueData, year=None, active: bool = False) -> DataFrame:
@@ -264,12 +263,12 @@ def by_kind(data: RescueData, kind=None, event_class=None) -> DataFrame:
 
 # --- person categories ------------------------------------------------------
 def category_counts(data: RescueData, year=None, category=None) -> DataFrame:
-    found = filters.equals(V.category_counts(data), annee=year, categorie_personne=category)
+    found = filters.equals(V.category_counts(data, year), categorie_personne=category)
     return found.orderBy(largest("annee"), largest("total_personnes"), "categorie_personne")
 
 
 def category_rescue(data: RescueData, year=None, category=None, official: bool = False) -> DataFrame:
-    found = filters.equals(V.category_rescue(data), annee=year, categorie_personne=category)
+    found = filters.equals(V.category_rescue(data, year), categorie_personne=category)
     if official:
         found = found.where(filters.official_population())
     return found.orderBy(largest("annee"), largest("nombre_impliques"), "categorie_personne")
@@ -285,7 +284,7 @@ def category_centres(data: RescueData, category=None, centre=None) -> DataFrame:
 
 
 def official_months(data: RescueData, year=None, centre=None) -> DataFrame:
-    found = filters.equals(V.official_months(data), annee=year, cross_name=centre)
+    found = filters.equals(V.official_months(data, year), cross_name=centre)
     return found.orderBy(largest("periode"), smallest("cross_name"))
 
 

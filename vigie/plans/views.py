@@ -19,7 +19,7 @@ from vigie.operators.counters import attach_counters, category_cases, vessels_by
 from vigie.operators.quantiles import middle_values
 from vigie.operators.rollup import (
     ALERT, BY_MONTH, BY_YEAR, DEATH_RATE, DURATION, END, PEOPLE_PER_CASE, RESCUE_RATE, SEVERITY,
-    VICTIMS, dated_cases, grouped, hours, roll_up,
+    VICTIMS, dated_cases, grouped, hours, roll_up, year_range,
 )
 from vigie.operators.series import (
     TrailingYear, alert_level, change_percent, previous, rounded_score, share_of_total,
@@ -34,10 +34,11 @@ VALID_POSITION = "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
 
 # --- monthly safety ---------------------------------------------------------
 def monthly_safety(
-    data: RescueData, active: bool = False, injuries_over_handled: bool = False
+    data: RescueData, active: bool = False, injuries_over_handled: bool = False, year: int | None = None
 ) -> DataFrame:
     """Totals and rates per month; injuries are a share of involved or of handled people."""
-    return monthly_rates(roll_up(data, dated_cases(data, active=active), BY_MONTH), injuries_over_handled)
+    months = roll_up(data, dated_cases(data, active=active, year=year), BY_MONTH)
+    return monthly_rates(months, injuries_over_handled)
 
 
 def monthly_rates(months: DataFrame, injuries_over_handled: bool = False) -> DataFrame:
@@ -165,7 +166,7 @@ def vessel_classes(data: RescueData, active: bool = False) -> DataFrame:
 
 
 # --- calendar ---------------------------------------------------------------
-def calendar_profile(data: RescueData) -> DataFrame:
+def calendar_profile(data: RescueData, year: int | None = None) -> DataFrame:
     """Year, month, weekday, phase of day, holidays and tide, all crossed."""
     dims = ["phase_journee", "est_jour_ferie", "est_vacances_scolaires", "maree_categorie"]
     keys = {
@@ -173,7 +174,7 @@ def calendar_profile(data: RescueData) -> DataFrame:
         "jour_semaine": T.weekday_sunday0(ALERT), "nom_jour": T.weekday_padded(ALERT),
         **{d: d for d in dims},
     }
-    return roll_up(data, dated_cases(data, *dims), keys).selectExpr(*keys, *named(
+    return roll_up(data, dated_cases(data, *dims, year=year), keys).selectExpr(*keys, *named(
         nb_operations="n", total_saines_sauves="ss", total_prises_en_compte="pec",
         total_personnes="imp", total_decedes="dec", total_disparus="dis",
         total_victimes=VICTIMS, moy_personnes_par_op=PEOPLE_PER_CASE,
@@ -181,17 +182,17 @@ def calendar_profile(data: RescueData) -> DataFrame:
     ))
 
 
-def season_active(data: RescueData) -> DataFrame:
+def season_active(data: RescueData, year: int | None = None) -> DataFrame:
     keys = {k: BY_MONTH[k] for k in ("annee", "mois")}
-    return roll_up(data, dated_cases(data, active=True), keys).selectExpr(*keys, *named(
+    return roll_up(data, dated_cases(data, active=True, year=year), keys).selectExpr(*keys, *named(
         nb_operations="n", total_personnes="imp", total_victimes=VICTIMS,
         indice_gravite_moyen=SEVERITY,
     ))
 
 
-def day_phase_active(data: RescueData) -> DataFrame:
+def day_phase_active(data: RescueData, year: int | None = None) -> DataFrame:
     """Undated cases count under a missing year."""
-    cases = dated_cases(data, ALERT, "phase_journee", active=True, dated=False)
+    cases = dated_cases(data, ALERT, "phase_journee", active=True, dated=False, year=year)
     keys = {**BY_YEAR, "phase_journee": "phase_journee"}
     return roll_up(data, cases.where("phase_journee IS NOT NULL"), keys).selectExpr(*keys, *named(
         total_operations="n", total_personnes="imp", total_victimes=VICTIMS,
@@ -199,9 +200,9 @@ def day_phase_active(data: RescueData) -> DataFrame:
     ))
 
 
-def school_holidays_active(data: RescueData) -> DataFrame:
+def school_holidays_active(data: RescueData, year: int | None = None) -> DataFrame:
     flag = "est_vacances_scolaires"
-    cases = dated_cases(data, ALERT, flag, active=True, dated=False)
+    cases = dated_cases(data, ALERT, flag, active=True, dated=False, year=year)
     keys = {**BY_YEAR, "en_vacances": flag}
     return roll_up(data, cases.where(f"{flag} IS NOT NULL"), keys).selectExpr(*keys, *named(
         total_operations="n", total_personnes="imp", total_victimes=VICTIMS,
@@ -224,8 +225,8 @@ def weather_profile(data: RescueData) -> DataFrame:
     ))
 
 
-def weather_profile_active(data: RescueData) -> DataFrame:
-    cases = dated_cases(data, ALERT, "vent_force", "mer_force", active=True, dated=False)
+def weather_profile_active(data: RescueData, year: int | None = None) -> DataFrame:
+    cases = dated_cases(data, ALERT, "vent_force", "mer_force", active=True, dated=False, year=year)
     keys = {**BY_YEAR, "vent_force": "vent_force", "mer_force": "mer_force"}
     return roll_up(data, cases.where(_HAS_WEATHER), keys).selectExpr(*keys, *named(
         nb_operations="n", total_personnes="imp", total_victimes=VICTIMS,
@@ -347,13 +348,19 @@ _LABEL = f"coalesce({CATEGORY}, '{L.UNKNOWN_CATEGORY}') AS {CATEGORY}"
 _PEOPLE = "coalesce(imp, 0L)"
 
 
-def _category_rollup(data: RescueData, keys: dict[str, str], *columns: str, where: str = "true") -> DataFrame:
+def _dated(year: int | None) -> str:
+    return f"{ALERT} IS NOT NULL" if year is None else year_range(year)
+
+
+def _category_rollup(
+    data: RescueData, keys: dict[str, str], *columns: str, where: str = "true", year: int | None = None
+) -> DataFrame:
     """Group person rows by case columns and category; cases are counted once each.
 
     Groups keep a missing category apart from a literal label for it, as the label is
     put on afterwards.
     """
-    facts = category_cases(data, ALERT, *columns, where=f"{ALERT} IS NOT NULL AND ({where})")
+    facts = category_cases(data, ALERT, *columns, where=f"{_dated(year)} AND ({where})")
     sums = {x: total(x) for x in ("blesses", "ss", "pec", "dec", "dis")}
     return grouped(
         facts, {**keys, CATEGORY: CATEGORY},
@@ -361,16 +368,16 @@ def _category_rollup(data: RescueData, keys: dict[str, str], *columns: str, wher
     )
 
 
-def category_counts(data: RescueData) -> DataFrame:
-    return _category_rollup(data, BY_YEAR).selectExpr(_LABEL, "annee", *named(
+def category_counts(data: RescueData, year: int | None = None) -> DataFrame:
+    return _category_rollup(data, BY_YEAR, year=year).selectExpr(_LABEL, "annee", *named(
         nb_operations="n", total_personnes=_PEOPLE, total_blesses="blesses",
         saines_sauves="ss", decedes="dec", disparus="dis",
         pct_total_annee=percent("imp", "sum(imp) OVER (PARTITION BY annee)"),
     ))
 
 
-def category_rescue(data: RescueData) -> DataFrame:
-    return _category_rollup(data, BY_YEAR).selectExpr(_LABEL, "annee", *named(
+def category_rescue(data: RescueData, year: int | None = None) -> DataFrame:
+    return _category_rollup(data, BY_YEAR, year=year).selectExpr(_LABEL, "annee", *named(
         nombre_saines_sauves="ss", nombre_prises_en_compte="pec", nombre_decedes="dec",
         nombre_disparus="dis", nombre_blesses="blesses", nombre_impliques=_PEOPLE,
     ))
@@ -393,7 +400,7 @@ def category_centres(data: RescueData) -> DataFrame:
     ))
 
 
-def official_months(data: RescueData) -> DataFrame:
+def official_months(data: RescueData, year: int | None = None) -> DataFrame:
     """Month and centre, with and without the categories left out of ministry figures.
 
     A missing category is neither official nor left out, but counts in the totals.
@@ -404,7 +411,7 @@ def official_months(data: RescueData) -> DataFrame:
         kept=total_if(kept, "personnes"), ss=total_if(kept, "ss"), pec=total_if(kept, "pec"),
         dec=total_if(kept, "dec"), everybody=total("personnes"), gone=total_if(gone, "personnes"),
     )
-    facts = category_cases(data, ALERT, "cross", where=f"{ALERT} IS NOT NULL")
+    facts = category_cases(data, ALERT, "cross", where=_dated(year))
     # the join already placed each case in one partition, so this grouping moves nothing
     by_case = grouped(facts, ["operation_id", ALERT, "cross"], *sums)
     groups = grouped(
