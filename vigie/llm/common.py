@@ -62,6 +62,22 @@ def small_enough(rows: int, row_bytes: int) -> bool:
     return rows * row_bytes <= BROADCAST_BYTES
 
 
+def light(df: DataFrame, row_bytes: int = 16) -> DataFrame:
+    """A stored table, marked for broadcast if its counted rows are few enough."""
+    return F.broadcast(df) if small_enough(df.count(), row_bytes) else df
+
+
+def where_made(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter by columns that cost much to make.
+
+    A plain filter is moved below the projections that make its columns, and their expressions are
+    then written out and computed once more for each mention. A row number that the filter looks
+    at keeps it in its place.
+    """
+    row = fresh(df, "row_number")
+    return df.withColumn(row, F.monotonically_increasing_id()).where(condition & (F.col(row) >= 0)).drop(row)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     taken = {c.lower() for c in df.columns}

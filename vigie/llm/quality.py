@@ -139,5 +139,5 @@ def measure(documents: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
 def clean(documents: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The documents that are kept, their text without the lines that fail; same columns."""
-    judged = measure(documents, rules).where("kept")
+    judged = common.where_made(measure(documents, rules), F.col("kept"))
     return judged.withColumn("text", F.col("clean_text")).select(*documents.columns)

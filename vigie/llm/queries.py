@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm import common, grammar_store, mix, quality, token_counts
+from vigie.llm import (
+    common, decontaminate, grammar_store, licenses, line_templates, mix, near_dups, preference, quality, token_counts, toxicity,
+)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """A place for intermediate tables where none is set, and this package for the workers."""
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vigie-llm-"))  # unset: a local session
     common.ship(spark)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return common.read(spark, sf_dir, "documents")
 
 
@@ -23,14 +30,46 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = common.read(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    lexicon = toxicity.learn(docs.join(labels, "doc_id"), common.shared_folder(spark, "toxicity"))
+    return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return decontaminate.contaminated(docs, common.read(spark, sf_dir, "benchmark"), common.shared_folder(spark, "decontaminate"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.classes(documents(spark, sf_dir), common.shared_folder(spark, "near-dups"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "clean_text")
 
 
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = common.read(spark, sf_dir, "conversations")
+    return preference.format_pairs(turns, preference.neighbours(turns))
+
+
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = line_templates.without_recurring(docs, common.shared_folder(spark, "line-templates"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.crc32(F.col("clean_text").cast("binary")).alias("clean_crc32"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     folder = common.shared_folder(spark, "token-store")
@@ -40,7 +79,13 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
+    "op6_near_dups": op6_near_dups,
     "op7_quality_rules": op7_quality_rules,
+    "op8_preference": op8_preference,
+    "op9_line_templates": op9_line_templates,
     "op10_token_store": op10_token_store,
 }
