@@ -14,6 +14,7 @@ counted size is small; beyond that every window goes into the join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ UNITS = frozenset(
     " usd eur gbp degree degrees mph kmh watt watts volt volts".split()
 )
 EDGES = "\"'`()[]{}<>.,;:!?…«»“”‘’*_"
+WHITE = "\t\n\x0b\x0c\r "
+BLANK = re.compile(r"[\t-\r ]+")
 NUMBER = regex.compile(r"[+\-±]?[$€£]?\d[\d.,:/]*%?")
 BARE, NUM, UNIT, NAME = 0, 1, 2, 3
 SLOT_HASH = shingles.mix64(np.arange(101, 105, dtype=np.uint64))
@@ -44,60 +47,90 @@ HITS = "doc_id long, hash long, at int, slots array<string>"
 
 
 class Words:
-    """What the template needs to know of each word form, kept once per task."""
+    """What the template needs to know of each word form: its hash and its kind, kept once per task."""
 
-    def __init__(self, most: int = 500_000):
+    NUMBER, UNIT, NAME, ENDS = 1, 2, 4, 8
+
+    def __init__(self, most: int = 200_000):
         self.most = most
         self.place: dict[str, int] = {}
-        self.rows: list[tuple] = []
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self.rows) > self.most:
-            self.place, self.rows = {}, []
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
+        self.hash = np.empty(0, np.uint64)
+        self.flags = np.empty(0, np.uint8)
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and flags of each word."""
+        if len(self.place) > self.most:
+            self.place, self.hash, self.flags = {}, self.hash[:0], self.flags[:0]
+        place = self.place
+        new = list(set(words).difference(place))
         if new:
             bare = [w.strip(EDGES) or w for w in new]
-            hashes, starts = shingles.word_hashes([w.replace("\x1c", " ") for w in bare])
-            for k, (word, core) in enumerate(zip(new, bare)):
-                number = NUMBER.fullmatch(core) is not None
-                unit = core.lower() in UNITS
-                name = core[:1].isupper() and not core.isupper() and not number
-                ends = word.rstrip("\"')]}»”’")[-1:] in ".!?:…"
-                self.place[word] = len(self.rows)
-                self.rows.append((int(hashes[starts[k]]), number, unit, name, ends))
-        return np.array([self.rows[self.place[w]] for w in words], dtype=[("h", "u8"), ("num", "?"), ("unit", "?"), ("name", "?"), ("ends", "?")])
-
-
-def template(words: list[str], line_starts: np.ndarray, known: Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Template hashes and slot kinds of the words: with names as slots, and with names as words."""
-    info = known.of(words)
-    after_number = np.concatenate([[False], info["num"][:-1]])
-    opens = np.concatenate([[True], info["ends"][:-1]]) | line_starts
-    kinds = np.where(info["num"], NUM, np.where(info["unit"] & after_number, UNIT, BARE)).astype(np.int8)
-    named = np.where((kinds == BARE) & info["name"] & ~opens, NAME, kinds).astype(np.int8)
-    return [(np.where(k > 0, SLOT_HASH[k], info["h"]), k) for k in (named, kinds)]
-
-
-def windows(text: str, widths: list[int], known: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[str], int]]:
-    """For each form and width: hashes and places of the windows, slot kinds, words, width."""
-    lines = [line.split() for line in text.split("\n")]
-    words = [w for line in lines for w in line]
-    if not words:
-        return
-    starts = np.zeros(len(words), bool)
-    first = np.cumsum([0, *[len(line) for line in lines]])[:-1]
-    starts[first[[bool(line) for line in lines]]] = True
-    for form, (hashes, kinds) in enumerate(template(words, starts, known)):
-        slots = np.concatenate([[0], np.cumsum(kinds > 0)])
-        for width in widths:
-            n = len(words) - width + 1
-            if n <= 0:
-                continue
-            value = np.full(n, form * 64 + width, np.uint64)
-            for k in range(width):
-                value += hashes[k:k + n] * shingles.PLACES[k]
-            mostly_words = np.flatnonzero((slots[width:] - slots[:n]) * 2 <= width)  # a row of slots says nothing
-            yield shingles.mix64(value[mostly_words]).view(np.int64), mostly_words, kinds, words, width
+            # Cores hold no ASCII white space, so each is one word.
+            hashes, _ = shingles.word_hashes(bare)
+            flags = np.fromiter(map(self._flags, new, bare), np.uint8, len(new))
+            place.update(zip(new, range(len(self.hash), len(self.hash) + len(new))))
+            self.hash, self.flags = np.concatenate([self.hash, hashes]), np.concatenate([self.flags, flags])
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        return self.hash[at], self.flags[at]
+
+    def _flags(self, word: str, core: str) -> int:
+        number = core[:1] in "+-±$€£0123456789" and NUMBER.fullmatch(core) is not None
+        return (
+            self.NUMBER * number + self.UNIT * (core.lower() in UNITS)
+            + self.NAME * (core[:1].isupper() and not core.isupper())
+            + self.ENDS * (word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", "…"))
+        )
+
+
+class Batch:
+    """The words of some texts as templates: with names as words, and with names as slots."""
+
+    def __init__(self, texts: list[str], known: Words):
+        self.words: list[str] = []
+        opens, sizes = [], []
+        for text in texts:
+            before = len(self.words)
+            for line in text.split("\n"):
+                own = BLANK.split(line.strip(WHITE)) if line.strip(WHITE) else ()
+                if own:
+                    opens.append(len(self.words))
+                    self.words += own
+            sizes.append(len(self.words) - before)
+        self.text = np.repeat(np.arange(len(texts)), sizes)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        hashes, flags = known.of(self.words)
+        number = flags & Words.NUMBER > 0
+        follows = np.concatenate([[False], number[:-1]])[:len(number)]
+        start = np.concatenate([[True], flags[:-1] & Words.ENDS > 0])[:len(flags)]
+        start[opens] = True
+        self.kinds = np.where(number, NUM, np.where((flags & Words.UNIT > 0) & follows, UNIT, BARE)).astype(np.int8)
+        self.named = np.where((self.kinds == BARE) & (flags & Words.NAME > 0) & ~start, NAME, self.kinds).astype(np.int8)
+        self.plain_hash = np.where(self.kinds > 0, SLOT_HASH[self.kinds], hashes)
+        self.named_hash = np.where(self.named > 0, SLOT_HASH[self.named], hashes)
+
+    def windows(self, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Hashes, places and slot kinds of all windows, and again of those that hold a name."""
+        n = len(self.words) - width + 1
+        if n <= 0:
+            return
+        inside = np.flatnonzero(self.text[:n] == self.text[width - 1:])
+        for kinds, hashes in ((self.kinds, self.plain_hash), (self.named, self.named_hash)):
+            at = inside
+            if kinds is self.named:
+                names = np.concatenate([[0], np.cumsum(kinds == NAME)])
+                at = at[names[at + width] > names[at]]
+            slots = np.concatenate([[0], np.cumsum(kinds > 0)])
+            at = at[(slots[at + width] - slots[at]) * 2 <= width]  # a row of slots says nothing
+            if len(at) * 4 > n:  # most places: by slices, then pick
+                value = np.full(n, width, np.uint64)
+                for k in range(width):
+                    value += hashes[k:k + n] * shingles.PLACES[k]
+                value = value[at]
+            else:
+                value = np.full(len(at), width, np.uint64)
+                for k in range(width):
+                    value += hashes[at + k] * shingles.PLACES[k]
+            yield shingles.mix64(value).view(np.int64), at, kinds
 
 
 def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str]:
@@ -106,27 +139,28 @@ def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str
 
 def _window_rows(texts: DataFrame, widths: list[int], wanted) -> DataFrame:
     """Windows of every text, as ``HITS``; with ``wanted``, only windows of these hashes."""
+    names = ["doc_id", "hash", "at", "slots"]
+    kinds_of = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
-            ids, hashes, places, slots = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for value, at, kinds, words, width in windows(text.as_py(), widths, known):
-                    if wanted is not None:
-                        spot = np.searchsorted(wanted.value, value)
-                        spot[spot == len(wanted.value)] = 0
-                        hit = wanted.value[spot] == value
-                        value, at = value[hit], at[hit]
-                    for v, a in zip(value.tolist(), at.tolist()):
-                        ids.append(doc_id)
-                        hashes.append(v)
-                        places.append(a)
-                        slots.append(_slots(words, kinds, a, width))
-                if len(ids) >= 20_000:
-                    yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.string()))], ["doc_id", "hash", "at", "slots"])
-                    ids, hashes, places, slots = [], [], [], []
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.string()))], ["doc_id", "hash", "at", "slots"])
+            for start in range(0, batch.num_rows, 64):
+                ids = batch.column(0).slice(start, 64).to_pylist()
+                some = Batch(batch.column(1).slice(start, 64).to_pylist(), known)
+                rows = []
+                for width in widths:
+                    for value, at, kinds in some.windows(width):
+                        if wanted is not None:
+                            spot = np.searchsorted(wanted.value, value)
+                            spot[spot == len(wanted.value)] = 0
+                            hit = wanted.value[spot] == value
+                            value, at = value[hit], at[hit]
+                        for v, a in zip(value.tolist(), at.tolist()):
+                            text = some.text[a]
+                            rows.append((ids[text], v, a - int(some.first[text]), _slots(some.words, kinds, a, width)))
+                if rows:
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds_of)], names)
 
     return texts.mapInArrow(work, HITS)
 

@@ -112,7 +112,7 @@ class Encoder:
 
     CHUNK = regex.compile(rf"[{blank_of()}]*[^{blank_of()}]+|[{blank_of()}]+")
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -51,7 +51,7 @@ def _differences(counts: list[int]) -> bytes:
 class PrefixCounter:
     """Counts of all prefixes under a BPE vocabulary file with word ends."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 120_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -104,7 +104,7 @@ class PrefixCounter:
     def _fit(self, first: int, second: int) -> bool:
         """True if the merges leave two neighbouring tokens apart: while both grow, no merge of the
         parts that meet at the seam comes before the merges that take these parts up."""
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > 400_000:
             self.fits.clear()
         a, b = self._history(self.names[first]) if first else ((), ()), self._history(self.names[second])
         apart = a is not None and b is not None
