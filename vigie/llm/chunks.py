@@ -10,6 +10,16 @@ def blank_of() -> str:
     return "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
+_KEPT: dict = {}
+
+
+def kept(make: Callable, *key):
+    """One object for each key in a worker process: later tasks go on with what it remembers."""
+    if (make, key) not in _KEPT:
+        _KEPT[make, key] = make(*key)
+    return _KEPT[make, key]
+
+
 class Remembered:
     """Solves pieces in bulk and keeps the last ``most`` to twice as many answers."""
 

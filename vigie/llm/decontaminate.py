@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigie.llm import common, shingles
+from vigie.llm.chunks import kept
 
 WIDTH = 8
 LEAST_WINDOWS = 6
@@ -143,7 +144,7 @@ def _window_rows(texts: DataFrame, widths: list[int], wanted) -> DataFrame:
     kinds_of = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
+        known = kept(Words)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 ids = batch.column(0).slice(start, 64).to_pylist()

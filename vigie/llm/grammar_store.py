@@ -15,18 +15,19 @@ are nonterminals. A shard is written by one task and can be written again.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigie.llm import common
-from vigie.llm.chunks import Remembered, blank_of
+from vigie.llm.chunks import Remembered, blank_of, kept
 
 BASE = 1 << 16
 BLOCK_IDS = 1 << 18
@@ -110,9 +111,9 @@ class Encoder:
     the vocabulary's cutting pattern crosses a chunk's end, so chunks are encoded once and remembered.
     """
 
-    CHUNK = regex.compile(rf"[{blank_of()}]*[^{blank_of()}]+|[{blank_of()}]+")
+    CHUNK = re.compile(rf"[{blank_of()}]*[^{blank_of()}]+|[{blank_of()}]+")
 
-    def __init__(self, path: str, remembered: int = 150_000):
+    def __init__(self, path: str, remembered: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -120,7 +121,7 @@ class Encoder:
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def of(self, text: str) -> bytes:
         return b"".join(self.chunks.get(self.CHUNK.findall(text)))
@@ -134,7 +135,7 @@ def write_store(documents: DataFrame, path: str, folder: str) -> None:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block, before = Encoder(path), TaskContext.get().partitionId(), 0, 0
+        encoder, shard, block, before = kept(Encoder, path), TaskContext.get().partitionId(), 0, 0
         ids: list = []
         ends: list[int] = []
         held: list[bytes] = []

@@ -15,6 +15,7 @@ Every chunk is solved once per task and kept in a bounded memory; texts are neve
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigie.llm.chunks import Remembered, blank_of
+from vigie.llm.chunks import Remembered, blank_of, kept
 
 #: Fixed value: how the vocabulary's library cuts text without white space into pieces.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+")
-CHUNK = regex.compile(rf"[^{blank_of()}]+")
+CHUNK = re.compile(rf"[^{blank_of()}]+")
 LIMIT = 2048
 NEVER = 1 << 60
 
@@ -51,7 +52,7 @@ def _differences(counts: list[int]) -> bytes:
 class PrefixCounter:
     """Counts of all prefixes under a BPE vocabulary file with word ends."""
 
-    def __init__(self, path: str, remembered: int = 120_000):
+    def __init__(self, path: str, remembered: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -218,7 +219,7 @@ def prefix_tables(documents: DataFrame, path: str) -> DataFrame:
     schema = "doc_id long, n_bytes long, n_tokens long, steps binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(path)
+        counter = kept(PrefixCounter, path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, batch.num_rows, 256):
