@@ -113,7 +113,7 @@ class Encoder:
 
     CHUNK = re.compile(rf"[{blank_of()}]*[^{blank_of()}]+|[{blank_of()}]+")
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
