@@ -37,7 +37,6 @@ FILTERS = {
     "flt_prefix_like": with_("SELECT operation_id, resultat_humain, nombre FROM rh WHERE resultat_humain LIKE 'Personne décédée%'", RH),
     "flt_wind_sea_range": ops("vent_force, mer_force", "vent_force BETWEEN 4 AND 8 AND mer_force >= 2"),
     "flt_category_group": with_("SELECT operation_id, categorie_personne, nombre FROM rh WHERE categorie_personne IN ('Pêcheur français','Pêcheur amateur','Commerce français')", RH),
-    "flt_category_group_none": with_("SELECT operation_id, categorie_personne, nombre FROM rh WHERE false", RH),
     "flt_not_in_null": with_("SELECT operation_id, categorie_personne, nombre FROM rh WHERE categorie_personne NOT IN ('Clandestin', 'Migrant')", RH),
     "prj_recent_since": ops(A, f"{A} >= DATE '2001-08-01' - INTERVAL 3 YEAR"),
 }
@@ -101,8 +100,8 @@ REPORTS = {
  FROM base WHERE de > 0 OR di > 0 ORDER BY total_victimes DESC, {A} DESC NULLS FIRST, operation_id LIMIT 50"""),
     "q_search": base(f"SELECT {LISTED} FROM base WHERE type_operation = 'SAR' AND {A} >= {D0} AND im >= 3 AND (de > 0 OR di > 0) {NEWEST} LIMIT 40 OFFSET 15"),
     "q_search_default": base(f"SELECT {LISTED} FROM base {NEWEST} LIMIT 100"),
-    "q_operations_export": base(f"SELECT {EXTRACT} FROM base {NEWEST} LIMIT 10000"),
-    "q_operations_export_cross": base(f"SELECT {EXTRACT} FROM base WHERE \"cross\" = 'Corse' AND {PERIOD} {NEWEST} LIMIT 10000"),
+    "q_operations_export": base(f"SELECT {EXTRACT} FROM base"),
+    "q_operations_export_cross": base(f"SELECT {EXTRACT} FROM base WHERE \"cross\" = 'Corse' AND {PERIOD}"),
     "q_audit_logs": with_("""SELECT * FROM au WHERE operation_type = 'UPDATE' AND user_id ILIKE '%user_1%' AND "timestamp" >= TIMESTAMP '2024-01-10'
  ORDER BY "timestamp" DESC, id LIMIT 500""", AU),
     "q_audit_stats": with_(f"""SELECT {N} AS total_entries, count(DISTINCT table_name)::BIGINT AS tables_tracked, count(DISTINCT user_id)::BIGINT AS users_active,

@@ -64,9 +64,6 @@ FILTERS = {
     "flt_category_group": lambda spark, sf_dir: filters.in_category_groups(
         StarData(spark, sf_dir).persons("operation_id", "categorie_personne", "nombre"), ["Pêcheur", "Commerce"]
     ),
-    "flt_category_group_none": lambda spark, sf_dir: filters.in_category_groups(
-        StarData(spark, sf_dir).persons("operation_id", "categorie_personne", "nombre"), []
-    ),
     "flt_not_in_null": lambda spark, sf_dir: StarData(spark, sf_dir).persons("operation_id", "categorie_personne", "nombre").where(
         filters.official_population()
     ),
@@ -82,7 +79,7 @@ REPORTS = {
     "q_by_cross": on(R.by_centre),
     "q_by_cross_actifs": on(R.by_centre, active=True),
     "q_by_type": on(R.by_kind),
-    "q_by_department": on(R.by_department),
+    "q_by_department": on(R.by_department, limit=20),
     "q_cross_list": on(R.centre_names),
     "q_type_list": on(R.kind_names),
     "q_timeline": on(R.timeline),
@@ -96,16 +93,16 @@ REPORTS = {
     "q_bilan_by_cross_filtered": on(R.toll_by_centre, D0, D1, True),
     "q_bilan_by_period": on(R.toll_of_period, D0, D1),
     "q_resultats_stats": on(R.outcome_table),
-    "q_flotteurs_stats": on(R.vessel_kinds),
+    "q_flotteurs_stats": on(R.vessel_kinds, limit=15),
     "q_flotteurs_pavillon": on(R.vessel_flags, 2),
     "q_top_operations": on(R.largest_cases),
-    "q_casualties": on(R.cases_with_victims),
+    "q_casualties": on(R.cases_with_victims, limit=50),
     "q_search": on(R.search_cases, kind="SAR", start=D0, least_people=3, victims=True, limit=40, offset=15),
     "q_search_default": on(R.search_cases),
     "q_operations_export": on(R.case_extract),
     "q_operations_export_cross": on(R.case_extract, centre="Corse", start=D0, end=D1),
     "q_audit_logs": lambda spark, sf_dir: R.audit_entries(
-        StarData(spark, sf_dir), action="UPDATE", user="user_1", since="2024-01-10"
+        StarData(spark, sf_dir), action="UPDATE", user="user_1", since="2024-01-10", limit=500
     ).selectExpr("* EXCEPT (changed_fields)", "array_join(changed_fields, ',') AS changed_fields"),
     "q_audit_stats": on(R.audit_summary),
     "q_audited_tables": on(R.audited_tables),
@@ -123,8 +120,8 @@ REPORTS = {
 }
 
 VIEW_QUESTIONS = {
-    "qk_securite_mensuel": on(Q.latest_months),
-    "qk_securite_mensuel_mois": on(Q.latest_months, month=7, active=True),
+    "qk_securite_mensuel": on(Q.latest_months, limit=24),
+    "qk_securite_mensuel_mois": on(Q.latest_months, month=7, limit=24, active=True),
     "qk_securite_global": on(Q.safety_total),
     "qk_securite_global_periode": on(Q.safety_total, D0, D1, True),
     "qk_lives_saved": on(Q.lives_saved),
@@ -133,8 +130,8 @@ VIEW_QUESTIONS = {
     "qk_cross_benchmark_actifs": on(Q.benchmark, active=True),
     "qk_cross_detail": on(Q.centre_detail, "Corse"),
     "qk_cross_ranking": on(Q.ranking, "rapidite"),
-    "qk_flotteurs_analyse": on(Q.vessels),
-    "qk_flotteurs_analyse_actifs": on(Q.vessels, vessel_class="Pêche", active=True),
+    "qk_flotteurs_analyse": on(Q.vessels, limit=50),
+    "qk_flotteurs_analyse_actifs": on(Q.vessels, vessel_class="Pêche", limit=50, active=True),
     "qk_flotteurs_categorie": on(Q.vessel_class_totals),
     "qk_sports_nautiques": on(Q.water_sports),
     "qk_sports_nautiques_actifs": on(Q.water_sports, active=True),
@@ -151,17 +148,17 @@ VIEW_QUESTIONS = {
     "qk_meteo_mer": on(Q.by_sea, 1998, True),
     "qk_yoy": on(Q.yoy, 2000, 4),
     "qk_yoy_latest": on(Q.yoy_latest),
-    "qk_alertes": on(Q.alerts),
+    "qk_alertes": on(Q.alerts, limit=12),
     "qk_alertes_cross": on(Q.alerts, centre="Corse", limit=24),
     "qk_alertes_niveau": on(Q.alerts, "ATTENTION", 40, active=True),
     "qk_alertes_actives": on(Q.active_alerts),
-    "qk_alertes_actives_cross": on(Q.active_alerts, centre="Jobourg"),
+    "qk_alertes_actives_cross": on(Q.active_alerts, centre="Jobourg", limit=24),
     "qk_geographique": on(Q.places, centre="Jobourg"),
     "qk_par_prefecture": on(Q.by_prefecture),
     "qk_type_operation": on(Q.by_kind, "SAR", "CE1"),
     "qk_comptage_categorie": on(Q.category_counts, 1999),
     "qk_taux_categorie": on(Q.category_rescue, official=True),
-    "qk_evolution_categorie": on(Q.category_trend, "Migrant"),
+    "qk_evolution_categorie": on(Q.category_trend, "Migrant", limit=24),
     "qk_cross_categorie": on(Q.category_centres, centre="Corse"),
     "qk_sans_clandestins": on(Q.official_months, 1998, "Corse"),
     "qk_carte_categories": on(Q.category_places, category="Marin étranger"),

@@ -27,7 +27,7 @@ def optimized(df):
 def test_no_product_joins_and_no_python_rows(spark, sf_dir, name):
     text = plan(LAZY[name](spark, sf_dir))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CollectLimit"):
-        assert word not in text or (word == "CollectLimit" and name == "flt_category_group_none"), (name, word)
+        assert word not in text, (name, word)
 
 
 def test_monthly_report_reads_four_line_columns_and_no_customer(spark, sf_dir):

@@ -86,3 +86,13 @@ def test_work_folders_follow_the_cluster_setting(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_root(None, "yarn", "app")
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_csv_keeps_text(spark):
+    from vigie.sources.files import read_csv
+
+    root = work_folder(spark, "test")
+    texts = [" pad ", 'say "yes"', 'a,"b" c', "line\nbreak", "", None, "\\back\\"]
+    spark.createDataFrame(list(enumerate(texts)), "k int, t string").transform(lambda df: sinks.export_csv(df, f"{root}/out") or df)
+    got = {r["k"]: r["t"] for r in rows(read_csv(spark, f"{root}/out", {"k": "int", "t": "str"}, multi_line=True))}
+    assert [got[k] for k in range(len(texts))] == [t or None for t in texts] or [got[k] for k in range(len(texts))] == texts

@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from conftest import PERSON_COLUMNS, frame, rows
 from vigie.operators.counters import persons_by_case
 from vigie.session import work_folder
@@ -55,3 +57,16 @@ def test_audit_days_do_not_depend_on_the_session_zone(spark):
         assert [(str(r["jour"]), r["entrees"]) for r in rows(jobs.read_audit_counts(spark, f"{root}/counts"))] == [("2024-01-01", 2)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_old_entries_count_and_a_new_checkpoint_is_refused(spark):
+    root = work_folder(spark, "test")
+    schema = "table_name string, operation_type string, timestamp timestamp_ntz"
+    for turn, day in enumerate((20, 22, 5)):
+        spark.createDataFrame([("operations", "INSERT", datetime(2024, 1, day, h)) for h in (1, 2)], schema).write.parquet(f"{root}/log/part{turn}")
+        log = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/log")
+        jobs.run_audit_counts(log, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+    got = {str(r["jour"]): r["entrees"] for r in rows(jobs.read_audit_counts(spark, f"{root}/counts"))}
+    assert got == {"2024-01-20": 2, "2024-01-22": 2, "2024-01-05": 2}
+    with pytest.raises(ValueError):
+        jobs.run_audit_counts(log, f"{root}/counts", f"{root}/fresh")

@@ -69,7 +69,7 @@ def by_kind(data: RescueData, active: bool = False) -> DataFrame:
     return share_of_total(groups, "total", "pourcentage").orderBy(largest("total"), "type_operation")
 
 
-def by_department(data: RescueData, limit: int = 20) -> DataFrame:
+def by_department(data: RescueData, limit: int | None = None) -> DataFrame:
     cases = _cases(data, "departement").where("departement IS NOT NULL")
     groups = roll_up(data, cases, ["departement"])
     listed = groups.selectExpr("departement", *named(total_operations="n", total_personnes="imp"))
@@ -142,13 +142,13 @@ def outcome_table(data: RescueData) -> DataFrame:
 
 
 # --- vessels ----------------------------------------------------------------
-def vessel_kinds(data: RescueData, limit: int = 15) -> DataFrame:
+def vessel_kinds(data: RescueData, limit: int | None = None) -> DataFrame:
     keys = {k: f"coalesce({k}, 'Non renseigné')" for k in ("type_flotteur", "categorie_flotteur")}
     groups = grouped(data.vessels("type_flotteur", "categorie_flotteur"), keys, f"{ROWS} AS total")
     return top(groups, limit, largest("total"), *map(smallest, keys))
 
 
-def vessel_flags(data: RescueData, limit: int = 10) -> DataFrame:
+def vessel_flags(data: RescueData, limit: int | None = None) -> DataFrame:
     """Shares are of all vessels, not of the listed flags."""
     groups = grouped(data.vessels("pavillon"), {"pavillon": "coalesce(pavillon, 'Inconnu')"}, f"{ROWS} AS total")
     return top(share_of_total(groups, "total", "pourcentage"), limit, largest("total"), smallest("pavillon"))
@@ -168,7 +168,7 @@ def largest_cases(data: RescueData, limit: int = 10) -> DataFrame:
     return kept.selectExpr("*", f"cast({place} AS bigint) AS rang")
 
 
-def cases_with_victims(data: RescueData, limit: int = 50) -> DataFrame:
+def cases_with_victims(data: RescueData, limit: int | None = None) -> DataFrame:
     cases = attach_counters(data, data.cases("operation_id", ALERT, "type_operation", "cross", "departement"))
     listed = cases.where("nombre_decedes > 0 OR nombre_disparus > 0").selectExpr(
         "operation_id", ALERT, "type_operation", "cross", "departement", "nombre_decedes",
@@ -196,11 +196,13 @@ def search_cases(
     return page(counted.select(*shown), offset, limit, *order)
 
 
-def case_extract(data: RescueData, centre=None, start=None, end=None, limit: int = 10000) -> DataFrame:
+def case_extract(data: RescueData, centre=None, start=None, end=None, limit: int | None = None) -> DataFrame:
+    """All cases with their counters, or the newest ``limit`` of them."""
     columns = ["operation_id", ALERT, "type_operation", "sous_type_operation", "cross", "departement", "latitude", "longitude"]
     found = filters.equals(_cases(data, *columns[1:], start=start, end=end), cross=centre)
     order = [largest(ALERT), smallest("operation_id")]
-    return attach_counters_to_few(data, top(found, limit, *order)).select(
+    counted = attach_counters(data, found) if limit is None else attach_counters_to_few(data, top(found, limit, *order))
+    return counted.select(
         *columns, "nombre_impliques", "nombre_saines_sauves", "nombre_decedes", "nombre_disparus", "nombre_blesses"
     ).orderBy(*order)
 
@@ -265,7 +267,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 # --- audit ------------------------------------------------------------------
-def audit_entries(data: RescueData, table=None, action=None, user=None, since=None, limit: int = 500) -> DataFrame:
+def audit_entries(data: RescueData, table=None, action=None, user=None, since=None, limit: int | None = None) -> DataFrame:
     found = filters.equals(data.audit(), table_name=table, operation_type=action)
     found = filters.between_dates(filters.contains_text(found, "user_id", user), since, column="timestamp")
     return top(found, limit, largest("timestamp"), smallest("id"))

@@ -30,7 +30,7 @@ def _months(data: RescueData, active: bool, year: int | None = None) -> DataFram
     return V.monthly_safety(data, active=active, injuries_over_handled=True, year=year)
 
 
-def latest_months(data: RescueData, year=None, month=None, limit: int = 24, active: bool = False) -> DataFrame:
+def latest_months(data: RescueData, year=None, month=None, limit: int | None = None, active: bool = False) -> DataFrame:
     return top(filters.equals(_months(data, active, year), mois=month), limit, largest("periode"))
 
 
@@ -94,7 +94,7 @@ def ranking(data: RescueData, metric: str = "sauvetage", centre=None, active: bo
 
 
 # --- vessels ----------------------------------------------------------------
-def vessels(data: RescueData, vessel_class=None, kind=None, limit: int = 50, active: bool = False) -> DataFrame:
+def vessels(data: RescueData, vessel_class=None, kind=None, limit: int | None = None, active: bool = False) -> DataFrame:
     report = V.vessel_analysis_active(data) if active else V.vessel_analysis(data)
     found = filters.equals(report, categorie_flotteur=vessel_class, type_flotteur=kind)
     return top(found, limit, largest("nb_operations"), *map(smallest, V.VESSEL_KEYS))
@@ -194,7 +194,7 @@ def by_sea(data: RescueData, year=None, active: bool = False) -> DataFrame:
 
 
 # --- trends -----------------------------------------------------------------
-def yoy(data: RescueData, up_to: int | None = None, limit: int = 10, active: bool = False) -> DataFrame:
+def yoy(data: RescueData, up_to: int | None = None, limit: int | None = None, active: bool = False) -> DataFrame:
     years = filters.in_range(V.year_over_year(data, active), "annee", high=up_to)
     return top(years, limit, largest("annee"))
 
@@ -220,7 +220,7 @@ def _at_level(df: DataFrame, *levels: str) -> DataFrame:
     return df.where(f"niveau_alerte_victimes IN {any_of(list(levels))} OR niveau_alerte_operations IN {any_of(list(levels))}")
 
 
-def alerts(data: RescueData, level=None, limit: int = 12, year=None, centre=None, active: bool = False) -> DataFrame:
+def alerts(data: RescueData, level=None, limit: int | None = None, year=None, centre=None, active: bool = False) -> DataFrame:
     """For a named centre the past is its own and ``level`` has no effect."""
     months = _alert_months(data, year, centre, active)
     if level is not None and not centre:
@@ -228,9 +228,9 @@ def alerts(data: RescueData, level=None, limit: int = 12, year=None, centre=None
     return top(months, limit, largest("periode"))
 
 
-def active_alerts(data: RescueData, year=None, centre=None, active: bool = False) -> DataFrame:
+def active_alerts(data: RescueData, year=None, centre=None, active: bool = False, limit: int | None = None) -> DataFrame:
     months = _at_level(_alert_months(data, year, centre, active), "ALERTE", "ATTENTION")
-    return top(months, 24 if centre else None, largest("periode"))
+    return top(months, limit, largest("periode"))
 
 
 # --- place and kind ---------------------------------------------------------
@@ -274,7 +274,7 @@ def category_rescue(data: RescueData, year=None, category=None, official: bool =
     return found.orderBy(largest("annee"), largest("nombre_impliques"), "categorie_personne")
 
 
-def category_trend(data: RescueData, category: str, limit: int = 24) -> DataFrame:
+def category_trend(data: RescueData, category: str, limit: int | None = None) -> DataFrame:
     return top(filters.equals(V.category_months(data), categorie_personne=category), limit, largest("periode"))
 
 
@@ -295,7 +295,7 @@ def category_places(data: RescueData, category=None, centre=None) -> DataFrame:
 
 def case_map(
     data: RescueData, category=None, centre=None, lat_min=None, lat_max=None, lon_min=None, lon_max=None,
-    limit: int = 10000,
+    limit: int | None = None,
 ) -> DataFrame:
     found = filters.equals(V.case_map(data), categorie_personne=category, cross_name=centre)
     boxed = filters.in_box(found, lat_min, lat_max, lon_min, lon_max)

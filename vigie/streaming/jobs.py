@@ -2,7 +2,8 @@
 
 Inputs are file streams. Every micro-batch writes a small additive partial result into
 its own ``batch_id`` partition, replacing that partition if the batch is retried, so a
-restart neither loses nor doubles anything. Readers add the partials up. A batch costs
+restart neither loses nor doubles anything. A new checkpoint would number its batches anew and
+replace old partials, so it is refused over an output that has some. Readers add the partials up. A batch costs
 what it brings, not what was stored before; ``compact`` folds old partials together.
 """
 
@@ -33,8 +34,15 @@ def _write_partial(partial: DataFrame, out: str, batch_id: int) -> None:
     partial.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def run_partials(stream: DataFrame, reduce_batch: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
     """Reduce each micro-batch and store it as that batch's partial result."""
+    if _exists(stream.sparkSession, out) and not _exists(stream.sparkSession, f"{checkpoint}/metadata"):
+        raise ValueError(f"{out} holds results of another checkpoint than {checkpoint}; give each its own output")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         _write_partial(reduce_batch(batch), out, batch_id)
@@ -46,39 +54,24 @@ def run_partials(stream: DataFrame, reduce_batch: Callable[[DataFrame], DataFram
 
 
 # --- audit counts -----------------------------------------------------------
-def audit_daily(log: DataFrame, late: str = "1 day") -> DataFrame:
-    """Entries per day, table and action; rows later than ``late`` may be dropped.
-
-    Zone-less times become instants as if they were UTC, so windows are calendar days
-    whatever the session time zone is.
-    """
-    epoch = "timestamp_ntz '1970-01-01 00:00:00'"
-    at = f"timestamp_seconds(cast(cast(`timestamp` - {epoch} AS interval second) AS bigint))"
-    return (
-        log.withColumn("at", F.expr(at))
-        .withWatermark("at", late)
-        .groupBy(F.window("at", "1 day").alias("jour"), "table_name", "operation_type")
-        .agg(F.expr(ROWS).alias("entrees"))
-    )
+AUDIT_KEYS = ["jour", "table_name", "operation_type"]
 
 
 def run_audit_counts(log: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Each batch stores the new totals of the windows it touched."""
+    """Entries per calendar day, table and action, whenever they arrive.
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        flat = batch.selectExpr("date_add(date '1970-01-01', cast(unix_seconds(jour.start) div 86400 AS int)) AS jour", "table_name", "operation_type", "entrees")
-        _write_partial(flat, out, batch_id)
+    Counts add up, so a batch stores its own and no state or watermark is needed: an entry of any
+    age counts.
+    """
 
-    return (
-        audit_daily(log).writeStream.outputMode("update").foreachBatch(store)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    def reduce_batch(batch: DataFrame) -> DataFrame:
+        return grouped(batch, {"jour": "cast(`timestamp` AS date)", "table_name": "table_name", "operation_type": "operation_type"}, f"{ROWS} AS entrees")
+
+    return run_partials(log, reduce_batch, out, checkpoint)
 
 
 def read_audit_counts(spark: SparkSession, out: str) -> DataFrame:
-    """Totals only grow, so the newest total of a window is the one of its last batch."""
-    keys = ["jour", "table_name", "operation_type"]
-    return grouped(spark.read.parquet(out), keys, "max_by(entrees, batch_id) AS entrees")
+    return grouped(spark.read.parquet(out), AUDIT_KEYS, *named(entrees=total("entrees")))
 
 
 # --- case counters ----------------------------------------------------------
