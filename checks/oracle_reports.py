@@ -251,6 +251,9 @@ _cell = ", ".join(
     + ("IN ('Migrant','Clandestin')" if m == "Migrant" else f"= '{m}'")
     + f'), 0)::BIGINT AS "{m}"'
     for m in MATRIX
+) + (
+    ", coalesce(sum(total_personnes) FILTER (WHERE categorie_personne NOT IN ('Migrant','Clandestin','Migrant/Clandestin','Toutes catégories',"
+    + ", ".join(f"'{m}'" for m in MATRIX) + ')), 0)::BIGINT AS "Autres catégories"'
 )
 H3 = "categorie_flotteur, type_flotteur, resultat_flotteur"
 LABELLED = " AND ".join(f"{k} IS NOT NULL" for k in H3.split(", "))
@@ -272,7 +275,8 @@ PAGES = {
     "df_bilan_by_cross": base(f"SELECT {LABEL}, {s('ss')} AS saines_sauves, {s('de')} AS decedes, {s('di')} AS disparus, {s('bl')} AS blesses FROM base WHERE {SINCE} GROUP BY base.\"cross\""),
     "pg_severity_heatmap": of(O.MONTHLY["kpi_securite_mensuel"], "GROUP BY annee", "annee, " + ", ".join(f"avg(indice_gravite) FILTER (WHERE mois = {m}) AS m{m:02d}" for m in range(1, 13))),
     "pg_wind_sea_matrix": of(O.WEATHER, "WHERE vent_force IS NOT NULL AND mer_force IS NOT NULL AND indice_gravite IS NOT NULL GROUP BY vent_force", "vent_force, " + ", ".join(
-        hu(f"sum(round(indice_gravite * 1000)::BIGINT) FILTER (WHERE mer_force = {m})", f"count(*) FILTER (WHERE mer_force = {m}) * 1000", 6) + f" AS mer_{m}" for m in range(10))),
+        hu(f"sum(round(indice_gravite * 1000)::BIGINT) FILTER (WHERE mer_force = {m})", f"count(*) FILTER (WHERE mer_force = {m}) * 1000", 6) + f" AS mer_{m}" for m in range(10)) + ", "
+        + hu("sum(round(indice_gravite * 1000)::BIGINT) FILTER (WHERE mer_force NOT BETWEEN 0 AND 9)", "count(*) FILTER (WHERE mer_force NOT BETWEEN 0 AND 9) * 1000", 6) + " AS mer_autre"),
     "pg_cross_category_matrix": person(O.CAT_CENTRE, "GROUP BY cross_name", f"cross_name, {_cell}"),
     "pg_category_recode_share": person(f"SELECT {MERGED}, sum(total_personnes)::BIGINT AS total_personnes, sum(nb_operations)::BIGINT AS nb_operations FROM ({O.CAT_COUNT}) GROUP BY 1", "", f"*, {pct('total_personnes', 'sum(total_personnes) OVER ()')} AS part"),
     "pg_category_rate": person(f"""SELECT {MERGED}, sum(nombre_saines_sauves)::BIGINT AS nombre_saines_sauves, sum(nombre_prises_en_compte)::BIGINT AS nombre_prises_en_compte,

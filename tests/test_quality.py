@@ -69,6 +69,12 @@ def test_split_partitions_the_rows(spark):
     assert rows(Q.failure_cases(flagged, "i")) == [{"i": 1, "column": "id", "check": "type(int)", "value": "invalid"}]
 
 
+def test_a_whole_number_with_a_point_is_an_integer(spark):
+    df = table(spark, "id string", ("12.0",), ("12.5",), ("7",))
+    flagged = Q.flag(df, Q.rules_from_config({"id": {"type": "int", "check": "x > 10"}}))
+    assert [r["id"] for r in rows(Q.valid_rows(flagged))] == ["12.0"]
+
+
 def test_fail_fast(spark):
     rules = Q.rules_from_config({"i": {"type": "int"}, "age": {"type": "int", "check": "x >= 0"}}, strict=True)
     good = table(spark, "age string", ("1",))

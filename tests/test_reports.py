@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from conftest import rows
 from vigie.functions.outcomes import LITERAL
 from vigie.operators.counters import case_counters
@@ -138,6 +139,23 @@ def test_dominant_category_breaks_ties_by_name(make_data):
     assert [(r["operation_id"], r["categorie_personne"], r["nb_personnes"]) for r in rows(V.case_map(data))] == [(1, "Autre", 2)]
 
 
+def test_pivots_keep_what_is_beyond_their_columns(spark):
+    weather = spark.createDataFrame([(3, 2, 1.0), (3, 12, 2.0), (3, 11, 4.0)], "vent_force long, mer_force long, indice_gravite double")
+    row = rows(P.wind_sea_matrix(weather))[0]
+    assert (row["mer_2"], row["mer_3"], row["mer_autre"]) == (1.0, None, 3.0)
+    people = [("Corse", "Migrant", 2), ("Corse", "Clandestin", 3), ("Corse", "Autre", 4), ("Corse", "Inconnue au bataillon", 5), ("Corse", "Encore une", 6), ("Corse", "Toutes catégories", 20)]
+    row = rows(P.centre_category_matrix(spark.createDataFrame(people, "cross_name string, categorie_personne string, total_personnes long")))[0]
+    assert row["Migrant"] == 5 and row["Autres catégories"] == 11
+    assert sum(v for k, v in row.items() if k != "cross_name") == 20
+
+
+def test_years_back_needs_its_day(make_data):
+    data = make_data([case(1, datetime(2001, 1, 1)), case(2, datetime(2020, 2, 12))])
+    assert P.case_frame(data).count() == 2 and P.case_frame(data, 3, anchor="2021-01-01").count() == 1
+    with pytest.raises(ValueError, match="anchor"):
+        P.case_frame(data, 3)
+
+
 def test_timeline_fills_empty_bins(make_data):
     data = make_data([case(1, datetime(2020, 1, 30, 23)), case(2, datetime(2020, 2, 12)), case(3, datetime(2020, 2, 12, 5))], [person(2, "Personne secourue", 4)])
     frame = P.case_frame(data, 0)

@@ -3,10 +3,10 @@ import pytest
 from checks.q_data import damaged, flagged
 from conftest import rows
 from vigie.operators import quality as Q
-from vigie.plans import registry, views
+from vigie.plans import registry, reports, views
 from vigie.session import work_folder, work_root
 from vigie.sources import files, sinks
-from vigie.sources.dataset import FolderData
+from vigie.sources.dataset import CatalogData, FolderData
 from vigie.sources.star import StarData
 
 
@@ -23,6 +23,29 @@ def test_every_stored_report_equals_its_direct_computation(spark, sf_dir):
         assert same(registry.stored_report(spark, root, name), report(data)), name
 
 
+def test_a_named_refresh_keeps_the_other_reports(spark, sf_dir):
+    data, root = StarData(spark, sf_dir), work_folder(spark, "test")
+    first = registry.refresh(data, root, ["v_kpi_annuel", "v_kpi_cross"])
+    second = registry.refresh(data, root, ["v_kpi_annuel"])
+    assert registry._current(spark, root) == (2, {"v_kpi_annuel": f"{second}/v_kpi_annuel", "v_kpi_cross": f"{first}/v_kpi_cross"})
+    assert same(registry.stored_report(spark, root, "v_kpi_cross"), registry.STORED["v_kpi_cross"](data))
+    with pytest.raises(KeyError):
+        registry.refresh(data, root, ["v_inconnue"])
+    assert registry._current(spark, root)[0] == 2
+
+
+def test_audit_questions_on_folders_and_catalogs(spark, sf_dir):
+    data, root = StarData(spark, sf_dir), work_folder(spark, "test")
+    data.audit().write.parquet(f"{root}/audit_log")
+    spark.sql(f"CREATE TABLE audit_log USING parquet LOCATION '{root}/audit_log'")
+    try:
+        for handle in (FolderData(spark, root), CatalogData(spark)):
+            for question in (reports.audit_entries, reports.audit_summary, reports.audited_tables):
+                assert same(question(handle), question(data))
+    finally:
+        spark.sql("DROP TABLE audit_log")
+
+
 def test_reports_on_folders_equal_reports_on_the_source(spark, sf_dir):
     data, root = StarData(spark, sf_dir), work_folder(spark, "test")
     sinks.full_refresh({"operations": data.cases(), "flotteurs": data.vessels(), "resultats_humain": data.persons()}, root)

@@ -34,6 +34,7 @@ FALSE_ALARM = "Personne impliquée dans fausse alerte"
 UNKNOWN_CENTRE = "Non renseigné"
 UNKNOWN_CATEGORY = "Non renseigné"
 ALL_CATEGORIES = "Toutes catégories"
+OTHER_CATEGORIES = "Autres catégories"
 NON_OFFICIAL_CATEGORIES = ["Clandestin", "Migrant"]
 NO_FILTER = ("Tous", "Tous les CROSS")
 

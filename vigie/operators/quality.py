@@ -56,8 +56,19 @@ def ident(name: str) -> str:
     return f"`{name}`"
 
 
+def whole_number(column: str) -> str:
+    """Text or number as an integer, ``12.0`` included; anything else, fractions included, is missing."""
+    number = f"try_cast({ident(column)} AS double)"
+    return (
+        f"coalesce(try_cast(cast({ident(column)} AS string) AS bigint),"
+        f" CASE WHEN {number} % 1 = 0 THEN try_cast({number} AS bigint) END)"
+    )
+
+
 def typed(column: str, kind: str) -> str:
     target = SPARK_TYPES[kind]
+    if target == "bigint":
+        return whole_number(column)
     return ident(column) if target == "string" else f"try_cast({ident(column)} AS {target})"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -20,13 +21,18 @@ from vigie.sources.dataset import RescueData
 
 
 # --- extracts ---------------------------------------------------------------
-def case_frame(data: RescueData, years_back: int = 3, start=None, anchor: date | str | None = None) -> DataFrame:
-    """Dated cases with their counters; an explicit start wins over ``years_back``."""
+def case_frame(data: RescueData, years_back: int = 0, start=None, anchor: date | str | None = None) -> DataFrame:
+    """Dated cases with their counters, of all years unless a start is given.
+
+    ``years_back`` counts from the day ``anchor``; an explicit start wins over it.
+    """
     cases = dated_cases(data, ALERT, "type_operation", "cross", "departement", "latitude", "longitude", "evenement", "categorie_evenement")
     if start is not None:
         cases = filters.between_dates(cases, start)
     elif years_back > 0:
-        cases = filters.since_years(cases, years_back, anchor or date.today())
+        if anchor is None:
+            raise ValueError("years_back needs the day it counts from: anchor")
+        cases = filters.since_years(cases, years_back, anchor)
     return attach_counters(data, cases).select(
         "operation_id", ALERT, "type_operation", "cross", "departement", "latitude", "longitude",
         "evenement", "categorie_evenement", "nombre_impliques", "nombre_saines_sauves",
@@ -122,11 +128,13 @@ def severity_heatmap(months: DataFrame) -> DataFrame:
 
 
 def wind_sea_matrix(profile: DataFrame) -> DataFrame:
-    """Mean severity by wind force (rows) and sea force 0 to 9 (columns)."""
+    """Mean severity by wind force (rows) and sea force 0 to 9 (columns); ``mer_autre`` for other sea forces."""
     mean = half_up("sum(cast(round(indice_gravite * 1000D) AS bigint))", "count(indice_gravite) * 1000", 6)
     known = profile.where("vent_force IS NOT NULL AND mer_force IS NOT NULL AND indice_gravite IS NOT NULL")
-    pivot = known.groupBy("vent_force").pivot("mer_force", list(range(10))).agg(F.expr(mean))
-    return pivot.select("vent_force", *[F.col(str(s)).alias(f"mer_{s}") for s in range(10)])
+    columns = [*map(str, range(10)), "autre"]
+    sea = F.when(F.col("mer_force").isin(*range(10)), F.col("mer_force").cast("int").cast("string")).otherwise("autre")
+    pivot = known.withColumn("mer", sea).groupBy("vent_force").pivot("mer", columns).agg(F.expr(mean))
+    return pivot.select("vent_force", *[F.col(s).alias(f"mer_{s}") for s in columns])
 
 
 def merge_categories(df: DataFrame, into: str = "Migrant/Clandestin") -> DataFrame:
@@ -139,11 +147,16 @@ def merge_categories(df: DataFrame, into: str = "Migrant/Clandestin") -> DataFra
 
 
 def centre_category_matrix(centres: DataFrame) -> DataFrame:
-    """People by centre and category, both names of one population merged, 0 where none."""
+    """People by centre and category, both names of one population merged, 0 where none.
+
+    Categories beyond the list share the last column, so a row adds up to the people of its centre.
+    """
     columns = [x for x in L.REFERENCE_LISTS["CATEGORIE_PERSONNE"] if x not in (L.ALL_CATEGORIES, "Clandestin")]
     columns.append(L.UNKNOWN_CATEGORY)
     merged = merge_categories(centres, "Migrant").where(F.col("categorie_personne") != L.ALL_CATEGORIES)
-    pivot = merged.groupBy("cross_name").pivot("categorie_personne", columns).agg(F.sum("total_personnes"))
+    listed = F.when(F.col("categorie_personne").isin(columns), F.col("categorie_personne")).otherwise(L.OTHER_CATEGORIES)
+    pivot = merged.withColumn("categorie_personne", listed).groupBy("cross_name").pivot(
+        "categorie_personne", [*columns, L.OTHER_CATEGORIES]).agg(F.sum("total_personnes"))
     return pivot.fillna(0)
 
 

@@ -72,19 +72,28 @@ class StoredFacts(RescueData):
         return facts.select(*columns, *counters) if columns else facts
 
 
-class CatalogData(FrameData):
-    """Handle over catalog tables, optionally inside one database."""
+class CatalogData(RescueData):
+    """Handle over catalog tables, optionally inside one database; a table is opened when it is asked for."""
 
     def __init__(self, spark: SparkSession, database: str | None = None, spelling: str = FOLDED):
-        prefix = f"{database}." if database else ""
-        super().__init__(
-            spark, {n: spark.table(prefix + n) for n in (CASES, VESSELS, PERSONS)}, spelling
-        )
+        super().__init__(spark, spelling)
+        self.prefix = f"{database}." if database else ""
+
+    def table(self, name: str, *columns: str) -> DataFrame:
+        frame = self.spark.table(self.prefix + name)
+        return frame.select(*columns) if columns else frame
 
 
-class FolderData(FrameData):
-    """Handle over one Parquet folder per business table."""
+class FolderData(RescueData):
+    """Handle over one Parquet folder per business table; a folder is opened when it is first asked for."""
 
     def __init__(self, spark: SparkSession, root: str, spelling: str = FOLDED):
-        names = (CASES, VESSELS, PERSONS)
-        super().__init__(spark, {n: spark.read.parquet(f"{root}/{n}") for n in names}, spelling)
+        super().__init__(spark, spelling)
+        self.root = root
+        self.opened: dict[str, DataFrame] = {}
+
+    def table(self, name: str, *columns: str) -> DataFrame:
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        frame = self.opened[name]
+        return frame.select(*columns) if columns else frame
