@@ -27,7 +27,8 @@ def test_a_named_refresh_keeps_the_other_reports(spark, sf_dir):
     data, root = StarData(spark, sf_dir), work_folder(spark, "test")
     first = registry.refresh(data, root, ["v_kpi_annuel", "v_kpi_cross"])
     second = registry.refresh(data, root, ["v_kpi_annuel"])
-    assert registry._current(spark, root) == (2, {"v_kpi_annuel": f"{second}/v_kpi_annuel", "v_kpi_cross": f"{first}/v_kpi_cross"})
+    assert registry._current(spark, root) == (2, {
+        "operations_stats": f"{second}/operations_stats", "v_kpi_annuel": f"{second}/v_kpi_annuel", "v_kpi_cross": f"{first}/v_kpi_cross"})
     assert same(registry.stored_report(spark, root, "v_kpi_cross"), registry.STORED["v_kpi_cross"](data))
     with pytest.raises(KeyError):
         registry.refresh(data, root, ["v_inconnue"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from datetime import date
 
 from pyspark.sql import DataFrame

@@ -15,6 +15,7 @@ from vigie.plans import views as V
 from vigie.sources.dataset import CASE_FACTS, CATEGORY_FACTS, RescueData, StoredFacts
 
 Report = Callable[[RescueData], DataFrame]
+COUNTER_TABLE = "operations_stats"
 
 # The public names of the exportable reports
 EXPORTS: dict[str, Report] = {
@@ -102,7 +103,7 @@ def store_facts(data: RescueData, root: str) -> StoredFacts:
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     facts = store(CASE_FACTS, attach_counters(data, data.cases()))
-    store("operations_stats", facts.select("operation_id", *COUNTERS))
+    store(COUNTER_TABLE, facts.select("operation_id", *COUNTERS))
     joined = StoredFacts(data, {CASE_FACTS: facts})
     return StoredFacts(
         data, {CASE_FACTS: facts, CATEGORY_FACTS: store(CATEGORY_FACTS, category_cases(joined, *CATEGORY_COLUMNS))}
@@ -147,7 +148,7 @@ def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by
     # reports depend on the facts only: submit their jobs side by side
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         list(pool.map(write, names))
-    places |= {name: f"{folder}/{name}" for name in names}
+    places |= {name: f"{folder}/{name}" for name in [COUNTER_TABLE, *names]}
     manifest = data.spark.createDataFrame(sorted(places.items()), "name string, folder string")
     manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/manifests/number={number + 1}")
     return folder
