@@ -27,8 +27,9 @@ def test_a_named_refresh_keeps_the_other_reports(spark, sf_dir):
     data, root = StarData(spark, sf_dir), work_folder(spark, "test")
     first = registry.refresh(data, root, ["v_kpi_annuel", "v_kpi_cross"])
     second = registry.refresh(data, root, ["v_kpi_annuel"])
-    assert registry._current(spark, root) == (2, {
-        "operations_stats": f"{second}/operations_stats", "v_kpi_annuel": f"{second}/v_kpi_annuel", "v_kpi_cross": f"{first}/v_kpi_cross"})
+    number, places = registry._current(spark, root)
+    assert (number, places["v_kpi_annuel"], places["v_kpi_cross"]) == (2, f"{second}/v_kpi_annuel", f"{first}/v_kpi_cross")
+    assert all(places[fact] == f"{second}/{fact}" for fact in ("operations_stats", "case_facts", "category_facts"))
     assert same(registry.stored_report(spark, root, "v_kpi_cross"), registry.STORED["v_kpi_cross"](data))
     with pytest.raises(KeyError):
         registry.refresh(data, root, ["v_inconnue"])

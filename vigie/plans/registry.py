@@ -148,7 +148,7 @@ def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by
     # reports depend on the facts only: submit their jobs side by side
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         list(pool.map(write, names))
-    places |= {name: f"{folder}/{name}" for name in [COUNTER_TABLE, *names]}
+    places |= {name: f"{folder}/{name}" for name in [COUNTER_TABLE, CASE_FACTS, CATEGORY_FACTS, *names]}
     manifest = data.spark.createDataFrame(sorted(places.items()), "name string, folder string")
     manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/manifests/number={number + 1}")
     return folder
