@@ -31,19 +31,19 @@ class Remembered:
     def get(self, pieces: list[str]) -> list:
         new = self.new
         try:
-            return [new[p] for p in pieces]
+            return list(map(new.__getitem__, pieces))
         except KeyError:
             pass
-        old, missing = self.old, {}
-        for p in pieces:
-            if p not in new:
-                if p in old:
-                    new[p] = old[p]
-                else:
-                    missing[p] = None
-        if missing:
-            new.update(zip(missing, self.solve(list(missing)), strict=True))
-        found = [new[p] for p in pieces]
+        missing = set(pieces).difference(new)
+        old, unsolved = self.old, []
+        for p in missing:
+            if p in old:
+                new[p] = old[p]
+            else:
+                unsolved.append(p)
+        if unsolved:
+            new.update(zip(unsolved, self.solve(unsolved), strict=True))
+        found = list(map(new.__getitem__, pieces))
         if len(new) > self.most:
             self.old, self.new = new, {}
         return found
