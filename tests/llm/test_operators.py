@@ -181,4 +181,13 @@ def test_line_templates(spark, odd, nothing):
     got = {r["doc_id"]: r for r in line_templates.without_recurring(docs, common.shared_folder(spark, "test"), constant_share=0.9).collect()}
     assert all(got[i]["n_dropped"] == 2 and got[i]["clean_text"].startswith("own line") for i in range(6)) and got[9]["n_dropped"] == 0
     assert line_templates.without_recurring(odd, common.shared_folder(spark, "test")).count() == len(ODD)
+    assert odd.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
     assert line_templates.without_recurring(nothing, common.shared_folder(spark, "test")).count() == 0
+
+
+def test_line_templates_beyond_the_bound(spark, odd, sf_dir, monkeypatch):
+    docs = common.read(spark, sf_dir, "documents").unionByName(odd, allowMissingColumns=True)
+    few = sorted(map(repr, line_templates.without_recurring(docs, common.shared_folder(spark, "test")).collect()))
+    monkeypatch.setattr(common, "small_enough", lambda rows, row_bytes: False)
+    many = sorted(map(repr, line_templates.without_recurring(docs, common.shared_folder(spark, "test")).collect()))
+    assert few == many

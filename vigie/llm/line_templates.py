@@ -7,29 +7,72 @@ otherwise. A line with too few words left is its own template. Templates that re
 documents are boilerplate, and their lines are dropped everywhere.
 
 Leaves are counted, never gathered: equal lines become one row with its number of documents before
-words are looked at, and words are counted by (leaf, place, word).
+words are looked at, and words are counted by (leaf, place, word). Texts are parsed once into a
+table of lines, and once more when lines are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vigie.llm import common
 
 DEPTH = 3
 LEAST_DOCUMENTS = 5
 CONSTANT_SHARE = 0.6
-VARIABLE = "<*>"
+VARIABLE = b"<*>"
+DIGIT = re.compile(rb"[0-9]")
+TEXTS_AT_ONCE = 256
+LINES = "doc_id long, text_key binary, place int, leaf long, mark binary, line string"
+
+
+def masked(line: bytes) -> list[bytes]:
+    """The line's words, those with a digit as variables; ``bytes.split`` cuts at ASCII white space alone."""
+    words = line.split()
+    if DIGIT.search(line):
+        words = [VARIABLE if DIGIT.search(w) else w for w in words]
+    return words
+
+
+def digest(data: bytes) -> bytes:
+    return hashlib.md5(data, usedforsecurity=False).digest()
 
 
-def masked(line: Column) -> Column:
-    """The line's words, those with a digit as variables."""
-    return F.transform(common.words(line), lambda w: F.when(F.rlike(w, F.lit("[0-9]")), F.lit(VARIABLE)).otherwise(w))
+def _leaf(words: list[bytes], depth: int) -> int:
+    head = b"%d\n%b" % (len(words), b"\n".join(words[:depth]))
+    return int.from_bytes(hashlib.blake2b(head, digest_size=8).digest(), "little", signed=True)
 
 
-def _digest(text: Column) -> Column:
-    return F.unhex(F.md5(text.cast("binary")))
+def _parsed(documents: DataFrame, depth: int) -> DataFrame:
+    """A row for each line with a word: its text's digest, its leaf, and its masked words with their digest."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in LINES.split(", ")]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.string()]
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
+                rows = []
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1)):
+                    data = text.as_py()
+                    key = digest(data)
+                    for place, line in enumerate(data.split(b"\n")):
+                        words = masked(line)
+                        if words:
+                            joined = b" ".join(words)
+                            rows.append((doc_id, key, place, _leaf(words, depth), digest(joined), joined.decode()))
+                columns = zip(*rows) if rows else [[]] * len(names)
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    texts = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(work, LINES)
 
 
 def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_documents: int = LEAST_DOCUMENTS, constant_share: float = CONSTANT_SHARE) -> DataFrame:
@@ -38,11 +81,8 @@ def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_docum
     Only rows with an id count as documents; a document counts once, however often it has a line.
     Lines without a word are never templates.
     """
-    lines = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    words = lines.select("doc_id", masked(F.col("line")).alias("words")).where(F.size("words") > 0)
-    leaf = F.xxhash64(F.size("words"), F.concat_ws("\n", F.slice("words", 1, depth)))
-    parsed = words.select("doc_id", leaf.alias("leaf"), _digest(F.concat_ws("\n", "words")).alias("mark"))
-    parsed = common.stored(parsed, folder, "parsed")
+    lines = common.stored(_parsed(documents, depth), folder, "parsed").where("doc_id IS NOT NULL")
+    parsed = lines.select("leaf", "mark", "doc_id")
 
     # Leaves with enough documents, then their distinct lines.
     busy = parsed.select("leaf", "doc_id").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= least_documents)
@@ -55,9 +95,9 @@ def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_docum
         "leaf", "mark", F.col("mark").alias("template"), F.col("n").alias("documents"))
 
     # Where a leaf has several lines, a word stays if enough of its documents have it there.
-    texts = words.select(leaf.alias("leaf"), "words").join(several, "leaf", "left_semi")
-    texts = texts.select("leaf", "words", _digest(F.concat_ws("\n", "words")).alias("mark")).dropDuplicates(["leaf", "mark"])
-    texts = common.stored(texts.join(marks, ["leaf", "mark"]), folder, "texts")
+    texts = lines.join(several, "leaf", "left_semi").select("leaf", "mark", "line").dropDuplicates(["leaf", "mark"])
+    texts = texts.join(marks, ["leaf", "mark"]).select("leaf", "mark", "n", F.split("line", " ").alias("words"))
+    texts = common.stored(texts, folder, "texts")
     placed = texts.select("leaf", "mark", F.size("words").alias("size"), "n", F.posexplode("words").alias("place", "word"))
     common_words = placed.groupBy("leaf", "place", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_documents)
     common_words = common.stored(common_words.select("leaf", "place", "word"), folder, "words")
@@ -68,7 +108,8 @@ def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_docum
         F.sum(F.when(F.col("stays"), F.xxhash64("place", "word").cast("decimal(38,0)"))).alias("code"),
         F.sum(F.when(F.col("stays"), F.xxhash64("word", F.lit("second"), "place").cast("decimal(38,0)"))).alias("code2"),
     )
-    template = F.when(F.col("constants") >= F.col("size") * constant_share, _digest(F.concat_ws(" ", "code", "code2", "size"))).otherwise(F.col("mark"))
+    pattern = F.unhex(F.md5(F.concat_ws(" ", "code", "code2", "size").cast("binary")))
+    template = F.when(F.col("constants") >= F.col("size") * constant_share, pattern).otherwise(F.col("mark"))
     templates = common.stored(held.select("leaf", "mark", template.alias("template")), folder, "templates")
     counted = (
         seen.join(several, "leaf", "left_semi").join(templates, ["leaf", "mark"])
@@ -79,6 +120,37 @@ def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_docum
     return common.stored(literal.union(general), folder, "recurring")
 
 
+def _dropped(documents: DataFrame, bad: frozenset) -> DataFrame:
+    """The result where the recurring lines are few enough to be in every worker: texts stay where they are."""
+    known = documents.sparkSession.sparkContext.broadcast(bad)
+    text = documents.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gone = known.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
+                n_lines, n_dropped, clean = [], [], []
+                for value in some.column(text).cast(pa.binary()):
+                    data = value.as_py()
+                    seen, left = 0, []
+                    lines = [] if data is None else data.split(b"\n")
+                    for line in lines:
+                        words = masked(line)
+                        seen += bool(words)
+                        if not words or digest(b" ".join(words)) not in gone:
+                            left.append(line)
+                    n_lines.append(seen)
+                    n_dropped.append(len(lines) - len(left))
+                    clean.append(None if data is None else b"\n".join(left).decode())
+                more = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(clean, pa.string())]
+                yield pa.record_batch([*some.columns, *more], [*some.schema.names, "n_lines", "n_dropped", "clean_text"])
+
+    more = StructType().add("n_lines", "long").add("n_dropped", "long").add("clean_text", "string")
+    schema = StructType([*documents.schema.fields, *more.fields])
+    return documents.mapInArrow(work, schema)
+
+
 def without_recurring(documents: DataFrame, folder: str, depth: int = DEPTH, **limits) -> DataFrame:
     """Every document with ``n_lines`` (with a word), ``n_dropped`` and ``clean_text``.
 
@@ -86,19 +158,18 @@ def without_recurring(documents: DataFrame, folder: str, depth: int = DEPTH, **l
     without an id. Null texts stay null. Columns of these names are replaced.
     """
     documents = documents.drop("n_lines", "n_dropped", "clean_text")
+    bad = common.stored(recurring(documents, folder, depth, **limits).select("mark").distinct(), folder, "bad")
+    if common.small_enough(bad.count(), 16):  # counted: at most 8 MB of digests
+        return _dropped(documents, frozenset(bytes(r[0]) for r in bad.toLocalIterator()))
     names = {n: common.fresh(documents, n) for n in ("text_key", "gone")}
-    bad = common.light(recurring(documents, folder, depth, **limits).select("mark").distinct(), 64)
-    lines = documents.where("text IS NOT NULL").select(_digest(F.col("text")).alias(names["text_key"]), F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    marked = lines.select(names["text_key"], "place", masked(F.col("line")).alias("words")).where(F.size("words") > 0)
-    marked = marked.select(names["text_key"], "place", _digest(F.concat_ws("\n", "words")).alias("mark"))
-    gone = marked.join(bad, "mark", "left_semi").groupBy(names["text_key"]).agg(F.sort_array(F.collect_set("place")).alias(names["gone"]))
-    gone = common.stored(gone, folder, "gone")
-    gone = common.light(gone, 128)
+    lines = documents.sparkSession.read.schema(LINES).parquet(f"{folder}/parsed")
+    gone = lines.join(bad, "mark", "left_semi").groupBy(F.col("text_key").alias(names["text_key"])).agg(
+        F.sort_array(F.collect_set("place")).alias(names["gone"]))
     split = F.split("text", "\n")
     none = F.array().cast("array<int>")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.coalesce(F.col(names["gone"]), none))
     return (
-        documents.withColumn(names["text_key"], _digest(F.col("text"))).join(gone, names["text_key"], "left")
+        documents.withColumn(names["text_key"], F.unhex(F.md5(F.col("text").cast("binary")))).join(gone, names["text_key"], "left")
         .withColumns({
             "n_lines": F.coalesce(F.size(F.filter(split, lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))), F.lit(0)).cast("long"),
             "n_dropped": F.coalesce(F.size(names["gone"]), F.lit(0)).cast("long"),
