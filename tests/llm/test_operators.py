@@ -1,6 +1,7 @@
 """The text operators against plain versions and on odd rows."""
 
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -163,6 +164,19 @@ def test_licenses_of_odd_rows(spark, odd, nothing):
     assert licenses.scan(odd).count() == 0 and licenses.scan(nothing).count() == 0
 
 
+def test_licenses_wrapped_and_embedded(spark, odd):
+    mit, gpl = licenses.CLAUSES[0][1], licenses.TEMPLATES[5][1]
+    wrap = lambda text, width: "\n".join(textwrap.wrap(" ".join(text.split()), width))
+    story = " ".join(f"ship{i} left the harbour of the town{i} in the morning" for i in range(60))
+    docs = spark.createDataFrame([
+        (1, "This library is released under the MIT License. See the file LICENSE."), (2, f"{story}\n{wrap(mit, 80)}\n{story}"),
+        (3, f"Copyright (c) A\n{' '.join(mit.split())}"), (4, f"{wrap(gpl, 70)}\nimport os\n{story}\n{wrap(gpl, 60)}"),
+        (5, f"{story} {' '.join(licenses.CLAUSES[2][1].split())} {story}"), (6, story), (7, "Released under the MIT License.\n" * 2 + story),
+    ], "doc_id long, text string")
+    got = {(r["doc_id"], r["license"], r["notices"]) for r in licenses.scan(docs).collect()}
+    assert got == {(1, "MIT", 1), (2, "MIT", 1), (3, "MIT", 1), (4, "GPL-3.0", 2), (5, "ISC", 1), (7, "MIT", 2)}
+
+
 def test_preference_prefix(spark):
     turns = spark.createDataFrame([
         (0, 0, "user", "hi"), (0, 1, "assistant", "good"), (1, 0, "user", "hi"), (1, 1, "assistant", "bad"), (1, 2, "user", None),
