@@ -112,4 +112,28 @@ SELECT pair_id, part, turn, role,
 FROM parts
 """
 
-ORACLES = {"op1_mix": MIX, "op3_licenses": _licenses(), "op7_quality_rules": QUALITY, "op8_preference": PREFERENCE}
+#: Every window of every positive searched by itself.
+HARD_NEGATIVES = """
+WITH vectors AS (
+  SELECT vec_id::BIGINT AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS codes
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS same, list_inner_product(a.codes, b.codes)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.id <> b.id WHERE a.id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER best)::INT AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+ORACLES = {
+    "op1_mix": MIX, "op3_licenses": _licenses(), "op7_quality_rules": QUALITY, "op8_preference": PREFERENCE,
+    "op12_hard_negatives": HARD_NEGATIVES,
+}

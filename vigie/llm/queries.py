@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigie.llm import (
-    common, decontaminate, grammar_store, licenses, line_templates, mix, near_dups, preference, quality, token_counts, toxicity,
+    alignment, common, decontaminate, grammar_store, hard_negatives, licenses, line_templates, mix, near_dups, preference, quality,
+    secrets, token_counts, toxicity,
 )
 
 
 def prepare(spark: SparkSession) -> None:
-    """A place for intermediate tables where none is set, and this package for the workers."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vigie-llm-"))  # unset: a local session
+    """This package for the workers and, in a session of one process, a place for intermediate tables if none is set."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()) and context.master.split("[")[0] == "local":
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="vigie-llm-"))
     common.ship(spark)
 
 
@@ -77,6 +79,26 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_store.read_store(spark, folder)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    base = secrets.of_kind(F.col("secrets"), *secrets.BASE)
+    counts = [F.size(secrets.of_kind(F.col("secrets"), k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    vectors = hard_negatives.quantised(common.read(spark, sf_dir, "embeddings"), "embedding")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", noisy), F.col("vec_id") % 50 == 0, common.shared_folder(spark, "hard-negatives"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(documents(spark, sf_dir), *paths, common.shared_folder(spark, "alignment"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_toxicity": op2_toxicity,
@@ -88,4 +110,7 @@ QUERIES = {
     "op8_preference": op8_preference,
     "op9_line_templates": op9_line_templates,
     "op10_token_store": op10_token_store,
+    "op11_secrets": op11_secrets,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_alignment": op13_alignment,
 }
