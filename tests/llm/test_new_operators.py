@@ -282,17 +282,18 @@ def test_chunks_solved_alone_equal_whole_texts(spark, sf_dir, plain):
     rng = random.Random(5)
     parts = list("abcdeéßñ中文😀①.,;:'\"$%!-_0123456789") + [" ", "\n", "  ", "\n\n", "\t", " ", " ", "\x1c", "\x85", "​", "'s", "'ll ", "<|endoftext|>", "<s>", "<0x0A>", " the", " Straße", "́", "﻿", "\r\n", "\x00"]
     aligner = kept(alignment.Aligner, *PATHS)
-    for _ in range(4000):
-        text = "".join(rng.choices(parts, k=rng.randint(1, 25)))
-        own, want = alignment.chunks(text), plain(text)
-        assert "".join(own) == f" {text}"
-        found = list(aligner.aligned(own))
-        if want is None:
-            assert None in found
-            continue
-        assert [i for f in found for i in f[0]] == want[0] and [i for f in found for i in f[1]] == want[1]
-        assert [(p >> 32, p & 0xFFFFFFFF) for f in found for p in f[2]] == want[2]
-        assert ";".join(alignment.groups_text(f[0], f[1], f[3]) for f in found) == ";".join(want[3])
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(4000)]
+    texts += [r["text"] for r in common.read(spark, sf_dir, "documents").collect()]
+    assert aligner.words_end
+    for at in range(0, len(texts), 64):
+        some = texts[at:at + 64]
+        want = [plain(t) for t in some]
+        own = alignment.Aligned(aligner, some)
+        assert own.places == [i for i, w in enumerate(want) if w]
+        want = [w for w in want if w]
+        assert own.a.tolist() == [i for w in want for i in w[0]] and own.b.tolist() == [i for w in want for i in w[1]]
+        assert [(p >> 32, p & 0xFFFFFFFF) for p in own.pairs().tolist()] == [p for w in want for p in w[2]]
+        assert own.digests() == [hashlib.sha256(";".join(w[3]).encode()).hexdigest() for w in want]
 
 
 def test_every_entry_of_the_byte_vocabulary_encodes_itself():

@@ -12,15 +12,16 @@ their counted size is under a bound; beyond it the documents' pairs are joined w
 
 Neither tokenizer joins anything across a single space or line break between two visible characters,
 which the loaded vocabularies are checked for. So a text falls into short chunks whose ends are ends of
-tokens on both sides; a chunk is aligned once and remembered, in bounded memory.
+tokens on both sides; a chunk is encoded once and remembered, in bounded memory, and so are its word
+and the signs behind it where no token joins the two. Batches of documents are then aligned as arrays.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,29 +40,38 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 ODD = r"\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
 CUT = re.compile(rf"(?<=[^ \n{ODD}])(?=[ \n][^ \n{ODD}])")
 RARE = re.compile(rf"[{ODD}]")
+WORD_AND_SIGNS = regex.compile(r"(\n?\p{L}+)([^\p{L}\p{N}\s]+)")
 MARK = "▁"
 LONG = 256
 
 SHARD_PAIRS = 1 << 18
 BRANCH_ROWS = 1 << 22
 FAN_IN = 8
-TASK_PAIRS = 1 << 20
+TASK_PAIRS = 1 << 22
+#: Characters that are aligned at once.
+BATCH_CHARS = 1 << 21
 #: The shards of all pairs may be broadcast up to this size.
 TABLE_BYTES = 128 << 20
 PAIR_BYTES = 32
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 
-def chunks(text: str) -> list[str]:
-    """The text with a space in front, cut before every single space or line break between visible characters."""
+def chunks(text: str) -> list:
+    """The text cut before every single space or line break between visible characters.
+
+    A chunk that starts with a line break stands for itself, any other for a space and itself; the
+    text as a whole stands for a space and itself. A first chunk that starts with a line break of
+    the text is a tuple, to be told from the others.
+    """
     if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or RARE.search(text):
-        return CUT.split(f" {text}")
-    parts = text.replace("\n", " \n").split(" ")
-    return [p if p[0] == "\n" else f" {p}" for p in parts]
+        first, *others = CUT.split(f" {text}")
+        first = first[1:]
+        return [(first,) if first[:1] == "\n" else first, *(c[1:] if c[0] == " " else c for c in others)]
+    return text.replace("\n", " \n").split(" ")
 
 
 class Aligner:
-    """Both tokenizers, and the alignments of chunks."""
+    """Both tokenizers, and what they make of chunks: ids as bytes of 32-bit integers."""
 
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
@@ -75,66 +85,150 @@ class Aligner:
         ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocabulary.items() if all(c in letters for c in t)}
         #: Merges by rank give the same ids as the file's merge list, as every entry is its own encoding; tests check it.
         self.ranked = tiktoken.Encoding("ranked", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
-        self.a_bytes = {i: t for t, i in ranks.items()}
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        self.b_bytes: dict[int, bytes] = {}
-        crossing = regex.compile(rf"[^{MARK}]{MARK}|\n")
-        for i in range(self.pieces.get_piece_size()):
-            piece = self.pieces.id_to_piece(i)
-            if crossing.search(piece):
-                raise ValueError(f"a piece joins across white space: {piece!r}")
-            self.b_bytes[i] = bytes([int(piece[1:-1], 16)]) if self.pieces.is_byte(i) else piece.replace(MARK, " ").encode()
-
-    def tokens(self, some: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of chunks on both sides. A chunk starts with one space or line break."""
-        a = [
-            self.ranked.encode_ordinary(c) if len(c) <= LONG else self.whole.encode(c, add_special_tokens=False).ids for c in some
+        names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
+        self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.pieces.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
+        if any(re.search(rf"[^{MARK}]{MARK}|\n", p) for p in names):
+            raise ValueError("a piece joins across white space")
+        plain = [p for i, p in enumerate(names) if not self.pieces.is_byte(i) and not self.pieces.is_control(i) and not self.pieces.is_unknown(i)]
+        #: Whether a word may be cut from the signs behind it.
+        self.words_end = not any(regex.search(rf"\p{{L}}[^\p{{L}}{MARK}]", p) for p in plain)
+        self.n_a, self.n_b = max(ranks.values()) + 1, len(names)
+        self.a_size = np.zeros(self.n_a, np.int64)
+        for token, i in ranks.items():
+            self.a_size[i] = len(token)
+        self.b_size = np.array([len(p) for p in self.b_bytes], np.int64)
+        self.memory = Remembered(self._chunks, REMEMBERED)
+        self.heads = Remembered(self._heads, REMEMBERED)
+        self.tails = Remembered(self._tails, REMEMBERED // 4)
+        # Decimal ids with what follows them: first side inside and at the end of a group, then the second side.
+        self.written = [f"{i}{sign}" for n, signs in ((self.n_a, ",|"), (self.n_b, ",;")) for sign in signs for i in range(n)]
+
+    def _first(self, text: str) -> list[int]:
+        return self.ranked.encode_ordinary(text) if len(text) <= LONG else self.whole.encode(text, add_special_tokens=False).ids
+
+    def _bytes(self, a: list[int], b: list[int], text: str) -> tuple[bytes, bytes] | None:
+        """None if the second side's bytes are not the text's; the first side's always are."""
+        return (array("i", a).tobytes(), array("i", b).tobytes()) if b"".join([self.b_bytes[i] for i in b]) == text.encode() else None
+
+    def _heads(self, some: list) -> list:
+        # The piece model adds a space: it stands for the space in front, and goes away before a line break.
+        bare = [c if isinstance(c, str) else c[0] for c in some]
+        spaced = [not isinstance(c, str) or c[:1] != "\n" for c in some]
+        second = self.pieces.encode(bare, num_threads=1)
+        whole = [f" {c}" if space else c for c, space in zip(bare, spaced)]
+        return [self._bytes(self._first(c), b if space else b[1:], c) for c, b, space in zip(whole, second, spaced)]
+
+    def _tails(self, some: list[str]) -> list:
+        second = self.pieces.encode([f"\n{c}" for c in some], num_threads=1)  # a space and a line break in front
+        return [self._bytes(self._first(c), b[2:], c) for c, b in zip(some, second)]
+
+    def _chunks(self, some: list) -> list:
+        """Most chunks are a word and signs behind it, which no token of either side joins."""
+        cut = [WORD_AND_SIGNS.fullmatch(c) if self.words_end and isinstance(c, str) else None for c in some]
+        heads = self.heads.get([m.group(1) if m else c for c, m in zip(some, cut)])
+        tails = iter(self.tails.get([m.group(2) for m in cut if m]))
+        out = []
+        for head, m in zip(heads, cut):
+            if m:
+                tail = next(tails)
+                head = (head[0] + tail[0], head[1] + tail[1]) if head and tail else None
+            out.append(head)
+        return out
+
+    def solved(self, parts: list) -> list:
+        """Ids of chunks; long ones and tuples are not remembered."""
+        rare = {i for i, p in enumerate(parts) if len(p) > LONG or p.__class__ is tuple}
+        if not rare:
+            return self.memory.get(parts)
+        found = iter(self.memory.get([p for i, p in enumerate(parts) if i not in rare]))
+        return [self._heads([p])[0] if i in rare else next(found) for i, p in enumerate(parts)]
+
+
+class Aligned:
+    """The tokens of some texts end to end, their links and groups. Texts without tokens are left out."""
+
+    def __init__(self, aligner: Aligner, texts: list[str | None]):
+        parts, edges = [], [0]
+        for text in texts:
+            if text:
+                parts += chunks(text)
+            edges.append(len(parts))
+        own = aligner.solved(parts)
+        bad = {i for i, f in enumerate(own) if f is None} if None in own else ()
+        self.places = [p for p, (x, y) in enumerate(zip(edges, edges[1:])) if x < y and not (bad and any(i in bad for i in range(x, y)))]
+        if len(self.places) < len(texts):
+            own = [f for p in self.places for f in own[edges[p]:edges[p + 1]]]
+        sizes = [len(texts[p].encode()) + 1 for p in self.places]
+        self.aligner, self.n = aligner, len(sizes)
+        self.a, self.b = (np.frombuffer(b"".join([f[side] for f in own]), "<i4").astype(np.int64) for side in (0, 1))
+        stops = np.cumsum(sizes, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(aligner.a_size[self.a]), np.cumsum(aligner.b_size[self.b])
+        total = int(stops[-1]) if sizes else 0
+        in_a, in_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        in_a[ends_a], in_b[ends_b] = True, True
+        # Between two neighbouring ends of either side lies exactly one link.
+        ends = np.flatnonzero(in_a | in_b)
+        self.link_a = np.cumsum(in_a[ends]) - in_a[ends]
+        self.link_b = np.cumsum(in_b[ends]) - in_b[ends]
+        self.group_end = in_a[ends] & in_b[ends]
+        self.links_upto = np.concatenate([[0], np.searchsorted(ends, stops, "right")])
+        self.a_upto = np.concatenate([[0], np.searchsorted(ends_a, stops, "right")])
+        self.b_upto = np.concatenate([[0], np.searchsorted(ends_b, stops, "right")])
+
+    def sums(self, of_links: np.ndarray) -> np.ndarray:
+        """Sums over the links of each text."""
+        return np.diff(np.concatenate([[0], np.cumsum(of_links, dtype=np.int64)])[self.links_upto])
+
+    def pairs(self) -> np.ndarray:
+        """Of each link, first id << 32 | second id."""
+        return self.a[self.link_a] << 32 | self.b[self.link_b]
+
+    def text_of_link(self) -> np.ndarray:
+        return np.repeat(np.arange(self.n), np.diff(self.links_upto))
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text number, pair and number of links for every pair of every text."""
+        per_text = self.aligner.n_a * self.aligner.n_b
+        key = self.text_of_link() * per_text + self.a[self.link_a] * self.aligner.n_b + self.b[self.link_b]
+        key, times = np.unique(key, return_counts=True)
+        text, code = np.divmod(key, per_text)
+        return text, code // self.aligner.n_b << 32 | code % self.aligner.n_b, times
+
+    def digests(self) -> list[str]:
+        """SHA-256 of each text's groups: first ids, a bar, second ids; groups by semicolons."""
+        before = np.cumsum(self.group_end) - self.group_end  # groups that ended before a link
+        group_a, group_b = np.empty(len(self.a), np.int64), np.empty(len(self.b), np.int64)
+        group_a[self.link_a], group_b[self.link_b] = before, before
+        n_groups = int(self.group_end.sum())
+        upto_a, upto_b = (np.searchsorted(g, np.arange(n_groups + 1)) for g in (group_a, group_b))
+        last_a, last_b = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
+        last_a[upto_a[1:] - 1], last_b[upto_b[1:] - 1] = True, True
+        entry = np.empty(len(self.a) + len(self.b), np.int64)
+        n_a, n_b = self.aligner.n_a, self.aligner.n_b
+        entry[np.arange(len(self.a)) + upto_b[group_a]] = self.a + n_a * last_a
+        entry[np.arange(len(self.b)) + upto_a[group_b + 1]] = self.b + n_b * last_b + 2 * n_a
+        written, edges = self.aligner.written, (self.a_upto + self.b_upto).tolist()
+        entry = entry.tolist()
+        return [
+            hashlib.sha256("".join(map(written.__getitem__, entry[x:y])).encode()[:-1]).hexdigest() for x, y in zip(edges, edges[1:])
         ]
-        # The piece model adds a space: it stands for a leading space, and goes away before a line break.
-        b = self.pieces.encode([c[1:] if c[0] == " " else c for c in some], num_threads=1)
-        return a, [ids if c[0] == " " else ids[1:] for c, ids in zip(some, b)]
-
-    def aligned(self, some: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[tuple[int, int]]] | None]:
-        """Per chunk: ids of both sides, the linked pairs (first id << 32 | second id) in order, and the
-        group ends; None where the bytes of a side differ from the chunk."""
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        for chunk, a, b in zip(some, *self.tokens(some)):
-            want = chunk.encode()
-            if not a or not b or b"".join(map(b_bytes.__getitem__, b)) != want or b"".join(map(a_bytes.__getitem__, a)) != want:
-                yield None
-                continue
-            i = j = 0
-            x, y, nx, ny = a[0], b[0], len(a_bytes[a[0]]), len(b_bytes[b[0]])
-            pairs, ends = [x << 32 | y], []
-            while True:
-                if nx == ny:
-                    i, j = i + 1, j + 1
-                    ends.append((i, j))
-                    if i == len(a):
-                        break
-                    x, y = a[i], b[j]
-                    nx, ny = nx + len(a_bytes[x]), ny + len(b_bytes[y])
-                elif nx < ny:
-                    i += 1
-                    x = a[i]
-                    nx += len(a_bytes[x])
-                else:
-                    j += 1
-                    y = b[j]
-                    ny += len(b_bytes[y])
-                pairs.append(x << 32 | y)
-            yield a, b, pairs, ends
-
-
-class PairSets(Remembered):
-    """The distinct pairs of chunks."""
 
-    def __init__(self, byte_path: str, piece_path: str):
-        self.aligner = kept(Aligner, byte_path, piece_path)
-        super().__init__(self._solve, REMEMBERED)
 
-    def _solve(self, some: list[str]) -> list:
-        return [None if found is None else tuple(set(found[2])) for found in self.aligner.aligned(some)]
+def pieces_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of batches whose texts together have a bounded size, or a single text."""
+    for batch in batches:
+        start, size, some = 0, 0, []
+        for at, value in enumerate(batch.column(column)):
+            text = value.as_py()
+            length = len(text or "")
+            if some and size + length > BATCH_CHARS:
+                yield batch.slice(start, at - start), some
+                start, size, some = at, 0, []
+            some.append(text)
+            size += length
+        if some:
+            yield batch.slice(start), some
 
 
 class Table:
@@ -159,42 +253,6 @@ class Table:
         return count, best
 
 
-class Answers(Remembered):
-    """Per chunk: token, group and link numbers, links at their id's best, sum of counts, the groups."""
-
-    def __init__(self, aligner: Aligner, table: Table):
-        self.aligner, self.table = aligner, table
-        super().__init__(self._solve, REMEMBERED)
-
-    def _solve(self, some: list[str]) -> list:
-        found = list(self.aligner.aligned(some))
-        sizes = [len(f[2]) if f else 0 for f in found]
-        count, best = self.table.look_up(np.fromiter(chain.from_iterable(f[2] for f in found if f), np.int64, sum(sizes)))
-        edge = np.concatenate([[0], np.cumsum(sizes)])
-        sums, bests = (np.concatenate([[0], np.cumsum(v, dtype=np.int64)])[edge] for v in (count, best))
-        sums, bests = np.diff(sums).tolist(), np.diff(bests).tolist()
-        return [
-            None if f is None else (len(f[0]), len(f[1]), len(f[3]), len(f[2]), bests[k], sums[k], groups_text(f[0], f[1], f[3]))
-            for k, f in enumerate(found)
-        ]
-
-
-def groups_text(a: list[int], b: list[int], ends: list[tuple[int, int]]) -> str:
-    out, i, j = [], 0, 0
-    for x, y in ends:
-        out.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-        i, j = x, y
-    return ";".join(out)
-
-
-def _solved(memory: Remembered, parts: list[str]) -> list:
-    """Answers of chunks; long ones are worked out anew, not remembered."""
-    if max(map(len, parts)) <= LONG:
-        return memory.get(parts)
-    short = iter(memory.get([p for p in parts if len(p) <= LONG]))
-    return [next(short) if len(p) <= LONG else memory.solve([p])[0] for p in parts]
-
-
 def shard_of(pairs: np.ndarray, n_shards: int) -> np.ndarray:
     """All pairs of a first id are in one shard."""
     return (np.asarray(pairs, np.int64) >> 32) % n_shards
@@ -204,32 +262,27 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and the sums of their numbers."""
+    pairs, place = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+    return pairs, np.bincount(place, np.concatenate([n for _, n in parts]), len(pairs)).astype(np.int64)
+
+
 def document_pairs(documents: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     """``pair, n``: in how many documents of a part of a task a pair is linked; add up ``n`` by pair."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = kept(PairSets, byte_path, piece_path)
-        counts: dict[int, int] = {}
-
-        def out() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["pair", "n"])
-
-        for batch in batches:
-            for value in batch.column(0):
-                text = value.as_py()
-                if not text:
-                    continue
-                found = _solved(memory, list(set(chunks(text))))
-                if None in found:
-                    continue
-                get = counts.get
-                for pair in set(chain.from_iterable(found)):
-                    counts[pair] = get(pair, 0) + 1
-                if len(counts) > TASK_PAIRS:
-                    yield out()
-                    counts = {}
-        if counts:
-            yield out()
+        aligner = kept(Aligner, byte_path, piece_path)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, texts in pieces_of(batches, 0):
+            _, pairs, _ = Aligned(aligner, texts).distinct()
+            parts.append(np.unique(pairs, return_counts=True))
+            if sum(len(p) for p, _ in parts) > TASK_PAIRS:
+                parts = [_added(parts)]
+                if len(parts[0][0]) > TASK_PAIRS // 2:
+                    yield pa.record_batch(list(map(pa.array, parts.pop())), ["pair", "n"])
+        if parts:
+            yield pa.record_batch(list(map(pa.array, _added(parts))), ["pair", "n"])
 
     return _texts(documents).select("text").mapInArrow(work, "pair long, n long")
 
@@ -324,44 +377,50 @@ MEASURES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 def _measured(documents: DataFrame, byte_path: str, piece_path: str, shared) -> DataFrame:
     names = [c.split()[0] for c in MEASURES.split(", ")]
-    kinds = [pa.int64()] * 7 + [pa.string()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Answers(kept(Aligner, byte_path, piece_path), _load(*shared.value))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, rows = batch.column(0).slice(at, 256).to_pylist(), []
-                for doc_id, text in zip(ids, batch.column(1).slice(at, 256).to_pylist()):
-                    found = _solved(memory, chunks(text)) if text else [None]
-                    if None in found:
-                        rows.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
-                        continue
-                    *sums, groups = zip(*found)
-                    rows.append((doc_id, *map(sum, sums), hashlib.sha256(";".join(groups).encode()).hexdigest()))
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        aligner, table = kept(Aligner, byte_path, piece_path), _load(*shared.value)
+        for batch, texts in pieces_of(batches, 1):
+            own = Aligned(aligner, texts)
+            pairs, place = np.unique(own.pairs(), return_inverse=True)
+            count, best = table.look_up(pairs)
+            columns = _figures(own) + [own.sums(best[place]), own.sums(count[place])]
+            yield _placed(batch, own, columns, names)
 
     return _texts(documents).mapInArrow(work, MEASURES)
 
 
+def _figures(own: Aligned) -> list[np.ndarray]:
+    return [np.diff(own.a_upto), np.diff(own.b_upto), own.sums(own.group_end), np.diff(own.links_upto)]
+
+
+def _placed(batch: pa.RecordBatch, own: Aligned, columns: list[np.ndarray], names: list[str], *more: pa.Array) -> pa.RecordBatch:
+    """A row for every text of a batch; zeros and an empty digest for those without tokens."""
+    n, figures = batch.num_rows, []
+    for column in columns:
+        figures.append(np.zeros(n, np.int64))
+        figures[-1][own.places] = column
+    digests = [""] * n
+    for place, digest in zip(own.places, own.digests()):
+        digests[place] = digest
+    return pa.record_batch([batch.column(0), *map(pa.array, figures), pa.array(digests, pa.string()), *more], names)
+
+
 def _joined(documents: DataFrame, byte_path: str, piece_path: str, table: DataFrame, folder: str) -> DataFrame:
     """The same by a join of the documents' distinct pairs with the counts."""
-    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
-    kinds = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Remembered(lambda some: list(aligner.aligned(some)), REMEMBERED // 4)
         aligner = kept(Aligner, byte_path, piece_path)
-        for batch in batches:
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = value.as_py()
-                found = _solved(memory, chunks(text)) if text else [None]
-                row = (doc_id, 0, 0, 0, 0, "", [], [])
-                if None not in found:
-                    pairs, times = np.unique(np.fromiter(chain.from_iterable(f[2] for f in found), np.int64), return_counts=True)
-                    digest = hashlib.sha256(";".join(groups_text(f[0], f[1], f[3]) for f in found).encode()).hexdigest()
-                    sums = [sum(len(f[k]) for f in found) for k in (0, 1, 3, 2)]
-                    row = (doc_id, *sums, digest, pairs.tolist(), times.tolist())
-                yield pa.record_batch([pa.array([c], k) for c, k in zip(row, kinds)], [c.split()[0] for c in schema.split(", ")])
+        for batch, texts in pieces_of(batches, 1):
+            own = Aligned(aligner, texts)
+            text, pairs, times = own.distinct()
+            sizes = np.zeros(batch.num_rows, np.int64)
+            sizes[own.places] = np.bincount(text, minlength=own.n)
+            edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(edges, pa.array(v.astype(np.int64))) for v in (pairs, times)]
+            yield _placed(batch, own, _figures(own), names, *lists)
 
     aligned = _texts(documents).mapInArrow(work, schema).withColumn("row", F.monotonically_increasing_id())
     aligned = common.stored(aligned, folder, "aligned")
