@@ -39,7 +39,6 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: White space, and characters that some tables count as white space, as the inside of a pattern's set.
 ODD = r"\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
 CUT = re.compile(rf"(?<=[^ \n{ODD}])(?=[ \n][^ \n{ODD}])")
-RARE = re.compile(rf"[{ODD}]")
 WORD_AND_SIGNS = regex.compile(r"(\n?\p{L}+)([^\p{L}\p{N}\s]+)")
 MARK = "▁"
 LONG = 256
@@ -63,7 +62,9 @@ def chunks(text: str) -> list:
     text as a whole stands for a space and itself. A first chunk that starts with a line break of
     the text is a tuple, to be told from the others.
     """
-    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or RARE.search(text):
+    spaced = text.replace("\n", " ")
+    # Any other white space is not printable, as are some characters that do no harm.
+    if "  " in spaced or spaced[0] == " " or spaced[-1] == " " or not spaced.isprintable():
         first, *others = CUT.split(f" {text}")
         first = first[1:]
         return [(first,) if first[:1] == "\n" else first, *(c[1:] if c[0] == " " else c for c in others)]
@@ -99,7 +100,7 @@ class Aligner:
             self.a_size[i] = len(token)
         self.b_size = np.array([len(p) for p in self.b_bytes], np.int64)
         self.memory = Remembered(self._chunks, REMEMBERED)
-        self.heads = Remembered(self._heads, REMEMBERED)
+        self.heads = Remembered(self._heads, REMEMBERED * 3 // 2)
         self.tails = Remembered(self._tails, REMEMBERED // 4)
         # Decimal ids with what follows them: first side inside and at the end of a group, then the second side.
         self.written = [f"{i}{sign}" for n, signs in ((self.n_a, ",|"), (self.n_b, ",;")) for sign in signs for i in range(n)]
@@ -138,9 +139,9 @@ class Aligner:
 
     def solved(self, parts: list) -> list:
         """Ids of chunks; long ones and tuples are not remembered."""
-        rare = {i for i, p in enumerate(parts) if len(p) > LONG or p.__class__ is tuple}
-        if not rare:
+        if max(map(len, parts), default=0) <= LONG and set(map(type, parts)) <= {str}:
             return self.memory.get(parts)
+        rare = {i for i, p in enumerate(parts) if len(p) > LONG or isinstance(p, tuple)}
         found = iter(self.memory.get([p for i, p in enumerate(parts) if i not in rare]))
         return [self._heads([p])[0] if i in rare else next(found) for i, p in enumerate(parts)]
 
@@ -184,6 +185,15 @@ class Aligned:
         """Of each link, first id << 32 | second id."""
         return self.a[self.link_a] << 32 | self.b[self.link_b]
 
+    def distinct_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs of all texts, and the number of each link's pair among them."""
+        code = self.a[self.link_a] * self.aligner.n_b + self.b[self.link_b]
+        if self.aligner.n_a * self.aligner.n_b < 1 << 32:
+            code = code.astype(np.uint32)  # sorts faster
+        code, place = np.unique(code, return_inverse=True)
+        code = code.astype(np.int64)
+        return code // self.aligner.n_b << 32 | code % self.aligner.n_b, place
+
     def text_of_link(self) -> np.ndarray:
         return np.repeat(np.arange(self.n), np.diff(self.links_upto))
 
@@ -382,7 +392,7 @@ def _measured(documents: DataFrame, byte_path: str, piece_path: str, shared) ->
         aligner, table = kept(Aligner, byte_path, piece_path), _load(*shared.value)
         for batch, texts in pieces_of(batches, 1):
             own = Aligned(aligner, texts)
-            pairs, place = np.unique(own.pairs(), return_inverse=True)
+            pairs, place = own.distinct_pairs()
             count, best = table.look_up(pairs)
             columns = _figures(own) + [own.sums(best[place]), own.sums(count[place])]
             yield _placed(batch, own, columns, names)

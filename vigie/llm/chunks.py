@@ -14,8 +14,10 @@ _KEPT: dict = {}
 
 
 def kept(make: Callable, *key):
-    """One object for each key in a worker process: later tasks go on with what it remembers."""
+    """One object in a worker process, the last asked for: later tasks go on with what it remembers,
+    and what served earlier jobs does not stay beside it."""
     if (make, key) not in _KEPT:
+        _KEPT.clear()
         _KEPT[make, key] = make(*key)
     return _KEPT[make, key]
 
