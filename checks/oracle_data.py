@@ -212,7 +212,17 @@ PROFILE_COLUMNS = {
     "est_dans_dst": ("Dans DST", "bool", "-", "-"), "maree_coefficient": ("Coefficient maree", "int", "Min: 20, Max: 120", "-"),
     "maree_categorie": ("Categorie maree", "str", "-", "Morte-eau, Moyenne, Vive-eau"),
 }
+OF_GOOD = "operation_id IN (SELECT operation_id FROM good)"
 GOOD_OPS = "operation_id % 41 <> 0 AND operation_id % 43 <> 0 AND est_metropolitain IS NOT NULL"
+GOOD = f"good AS (SELECT operation_id FROM ops WHERE {GOOD_OPS})"
+#: Every row of the files with what it fails itself and what its case brings.
+_OWN = "nullif(concat_ws(';', CASE WHEN est_metropolitain IS NULL THEN 'est_metropolitain:not_null' END, CASE WHEN operation_id % 41 = 0 THEN 'numero_sitrep:x >= 0' END, CASE WHEN operation_id % 43 = 0 THEN 'systeme_source:isin' END), '')"
+_PARENT = "CASE WHEN c.operation_id IS NULL THEN 'parent_missing' WHEN c.own IS NOT NULL THEN 'parent_rejected(' || c.own || ')' END"
+JUDGED = f"""cases AS (SELECT operation_id, {_OWN} AS own FROM ops WHERE operation_id % 47 <> 0),
+judged AS (SELECT 'operations' AS table_name, own AS why, NULL AS parent FROM cases
+ UNION ALL SELECT 'operations_stats', {_PARENT}, {_PARENT} FROM ops o LEFT JOIN cases c ON o.operation_id = c.operation_id
+ UNION ALL SELECT 'flotteurs', {_PARENT}, {_PARENT} FROM fl o LEFT JOIN cases c ON o.operation_id = c.operation_id
+ UNION ALL SELECT 'resultats_humain', coalesce({_PARENT}, CASE WHEN categorie_personne IS NULL THEN 'not_null' END), {_PARENT} FROM rh o LEFT JOIN cases c ON o.operation_id = c.operation_id)"""
 
 DATA = {
     "src_csv_scan": with_(f'SELECT operation_id, type_operation, "cross", vent_force, {A} FROM ops', OPS),
@@ -221,8 +231,13 @@ DATA = {
     "src_column_subset": with_('SELECT operation_id, "cross", latitude FROM ops', OPS),
     "sink_table_replace_append": with_("SELECT operation_id, type_operation FROM ops UNION ALL SELECT operation_id, type_operation FROM ops WHERE type_operation = 'SAR'", OPS),
     "sink_bulk_full_refresh": with_(union(*[f"SELECT '{t}' AS table_name, {N} AS lignes FROM {r}" for t, r in (("operations", "ops"), ("flotteurs", "fl"), ("resultats_humain", "rh"))]), OPS, FL, RH),
-    "sink_valid_rejected_errors": over_fails("""SELECT CASE WHEN d.row_id IN (SELECT row_id FROM fails) THEN 'rejected' ELSE 'valid' END AS sortie, d.row_id, '' AS controle FROM d
- UNION ALL SELECT 'errors', row_id, "check" FROM fails"""),
+    "sink_valid_rejected_errors": with_("""SELECT CASE WHEN b.row_id IS NULL THEN 'valid' ELSE 'rejected' END AS sortie, d.row_id, '' AS controle
+ FROM d LEFT JOIN bad b ON d.row_id = b.row_id
+ UNION ALL SELECT 'errors', row_id, "check" FROM fails""", DAMAGED, FAILS.replace("fails AS (", "fails AS MATERIALIZED (", 1), "bad AS MATERIALIZED (SELECT DISTINCT row_id FROM fails)"),
+    "sink_versions_rollback": with_(union(*[
+        f"SELECT '{t}' AS table_name, {N} AS lignes, '{reader}' AS lecteur FROM {r} WHERE {kept}"
+        for t, r in (("operations", "ops"), ("resultats_humain", "rh"))
+        for reader, kept in (("lecteur_2", "operation_id % 3 = 0"), ("lecteur_3", "true"), ("version_1", "true"))]), OPS, RH),
     "sink_csv_export": with_("SELECT id::VARCHAR AS id, table_name, operation_type, changed_fields, user_id FROM au", AU),
     "sink_view_export": with_(O.YOY_ALL),
     "sink_export_bundle": counts_of(BUNDLE),
@@ -238,8 +253,20 @@ DATA = {
  (SELECT o_orderkey FROM orders ORDER BY md5('42:' || o_orderkey::VARCHAR), o_orderkey LIMIT 10000)""", FL),
     "etl_audit_summary": with_(f"SELECT *, 'system' AS user_id FROM ({SUMMARY})", OPS, FL, RH),
     "etl_verify_counts": with_(union(*[f"SELECT '{t}' AS table_name, {N} AS lignes FROM {r}" for t, r in (("operations", "ops"), ("flotteurs", "fl"), ("resultats_humain", "rh"))]), OPS, FL, RH),
-    "etl_staged_load": with_(f"""{SUMMARY.replace("FROM rh)", "FROM rh WHERE categorie_personne IS NOT NULL)").replace("FROM ops)", f"FROM ops WHERE {GOOD_OPS})")}
- UNION ALL SELECT 'v_kpi_annuel', 'REPORT', (SELECT {N} FROM ops WHERE {GOOD_OPS})::VARCHAR""", OPS, FL, RH),
+    "etl_staged_load": with_(f"""{SUMMARY.replace("FROM rh)", f"FROM rh WHERE categorie_personne IS NOT NULL AND {OF_GOOD})").replace("FROM fl)", f"FROM fl WHERE {OF_GOOD})").replace("FROM ops)", f"FROM ops WHERE {GOOD_OPS})")}
+ UNION ALL SELECT 'v_kpi_annuel', 'REPORT', (SELECT {N} FROM ops WHERE {GOOD_OPS})::VARCHAR""", OPS, FL, RH, GOOD),
+    "etl_follow_parent": with_(f"""SELECT table_name, CASE WHEN why IS NULL THEN 'valid' ELSE 'rejected' END AS controle, {N} AS lignes FROM judged GROUP BY 1, 2
+ UNION ALL SELECT table_name, parent, {N} FROM judged WHERE parent IS NOT NULL GROUP BY 1, 2""", OPS, FL, RH, JUDGED),
+    "etl_loaded_tables": with_(union(
+        f"SELECT 'operations' AS table_name, {N} AS lignes FROM good", f"SELECT 'flotteurs', {N} FROM fl WHERE {OF_GOOD}",
+        f"SELECT 'resultats_humain', {N} FROM rh WHERE categorie_personne IS NOT NULL AND {OF_GOOD}"), OPS, FL, RH, GOOD),
+    "etl_raw_types": with_(f"""SELECT colonne, type, valeurs FROM (SELECT {N} AS n, count(operation_id)::BIGINT AS ids, count(latitude)::BIGINT AS lats, count(*) FILTER (WHERE row_id % 3 <> 0)::BIGINT AS part FROM d
+ WHERE NOT ({num('mer_force')} >= 10)) r, LATERAL (VALUES ('row_id', 'bigint', n), ('operation_id', 'string', ids), ('latitude', 'double', lats), ('vent_force', 'string', n),
+ ('mer_force', 'bigint', n), ('systeme_source', 'string', n), ('pair', 'boolean', n), ('parfois', 'double', part), ('jamais', 'double', 0), ('montant', 'double', n)) AS v(colonne, type, valeurs)""", DAMAGED),
+    "dq_file_headers": with_(f"""SELECT fichier, {N} AS lignes, count(row_id)::BIGINT AS n_row_id, count(CASE WHEN fichier <> 'c' THEN operation_id END)::BIGINT AS n_operation_id,
+ count("cross")::BIGINT AS n_cross, count(CASE WHEN fichier <> 'b' THEN vent_force END)::BIGINT AS n_vent_force, count(mer_force)::BIGINT AS n_mer_force, v."column", v."check", v.value
+ FROM (SELECT *, (['a','b','c'])[row_id % 3 + 1] AS fichier FROM d) x LEFT JOIN (VALUES ('b', 'vent_force', 'renamed_column', 'force du vent'), ('b', 'note', 'unexpected_column', '6'),
+ ('c', 'operation_id', 'missing_column', NULL)) AS v(f, "column", "check", value) ON v.f = x.fichier GROUP BY ALL""", DAMAGED),
     "cdc_snapshot_diff": with_(DIFF, SNAPSHOT),
     "cdc_etl_bypass": with_(f"""SELECT 'operations' AS table_name, 'ETL_LOAD' AS operation_type, '{{"rows_loaded":' || {rows_of("new")}::VARCHAR || ',"type":"full_refresh"}}' AS new_values""", SNAPSHOT),
     "batch_upsert": f"""SELECT {K}, o_orderstatus, o_orderpriority FROM orders WHERE {K} % 5 <> 0 OR {K} % 15 = 0

@@ -17,7 +17,8 @@ from vigie.plans import etl, registry
 from vigie.plans import reports as R
 from vigie.plans import views as V
 from vigie.session import work_folder
-from vigie.sources import files, sinks
+from vigie.sources import files, sinks, versions
+from vigie.sources.dataset import FolderData
 from vigie.sources.star import StarData, audit_projection, person_projection
 from vigie.streaming import jobs
 
@@ -187,12 +188,28 @@ def replace_append(spark, sf_dir) -> DataFrame:
 def bulk_refresh(spark, sf_dir) -> DataFrame:
     folder, data = work_folder(spark, "clean"), StarData(spark, sf_dir)
     names = sinks.full_refresh({"resultats_humain": data.persons(), "flotteurs": data.vessels(), "operations": data.cases()}, folder)
-    return C.table_counts({n: spark.read.parquet(f"{folder}/{n}") for n in names})
+    loaded = FolderData(spark, folder)
+    return C.table_counts({n: loaded.table(n) for n in names})
+
+
+def rolled_back(spark, sf_dir) -> DataFrame:
+    """Two loads and the way back; a reader of the second load keeps it."""
+    root, data = work_folder(spark, "versions"), StarData(spark, sf_dir)
+    every = {"operations": data.cases("operation_id"), "resultats_humain": data.persons("operation_id", "nombre")}
+    first = versions.replace(every, root)
+    versions.replace({n: df.where("operation_id % 3 = 0") for n, df in every.items()}, root)
+    second = FolderData(spark, root)
+    second.cases()
+    versions.roll_back(spark, root, first.number)
+    versions.clean_up(spark, root, keep=2)
+    readers = {"lecteur_2": second, "lecteur_3": FolderData(spark, root), "version_1": FolderData(spark, root, version=1)}
+    counts = [C.table_counts({n: d.table(n) for n in every}).withColumn("lecteur", F.lit(r)) for r, d in readers.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def three_outputs(spark, sf_dir) -> DataFrame:
     places = sinks.write_quality(flagged(spark, sf_dir), work_folder(spark, "quality"), "row_id")
-    rows = spark.read.parquet(places["rows"]).selectExpr("verdict AS sortie", "row_id", "'' AS controle")
+    rows = spark.read.parquet(places["rows"]).selectExpr("cast(verdict AS string) AS sortie", "row_id", "'' AS controle")
     return rows.unionByName(spark.read.parquet(places["errors"]).selectExpr("'errors' AS sortie", "row_id", "check AS controle"))
 
 
@@ -234,12 +251,12 @@ def tables(spark, sf_dir) -> dict[str, DataFrame]:
     return {"operations": data.cases("operation_id"), "flotteurs": data.vessels("operation_id"), "resultats_humain": data.persons("operation_id")}
 
 
-def staged(spark, sf_dir) -> DataFrame:
-    """CSV files with some bad rows go through the whole load; the result is the audit log."""
-    source, target, data = work_folder(spark, "files"), work_folder(spark, "loaded"), StarData(spark, sf_dir)
+def source_files(spark, sf_dir, absent: str = "false") -> str:
+    """A folder of CSV files with some bad rows; cases of ``absent`` are in no file of cases."""
+    source, data = work_folder(spark, "files"), StarData(spark, sf_dir)
     blank = "cast(NULL AS string)"
     base = data.cases()
-    cases = base.selectExpr(*[
+    cases = base.where(f"NOT ({absent})").selectExpr(*[
         {"numero_sitrep": "CASE WHEN operation_id % 41 = 0 THEN -1 ELSE operation_id END", "cross": "coalesce(cross, 'Inconnu')",
          "cross_sitrep": "'S'", "fuseau_horaire": "'UTC'", "systeme_source": "CASE WHEN operation_id % 43 = 0 THEN 'papier' ELSE 'secmarweb' END",
          ALERT: f"coalesce({ALERT}, date_heure_fin_operation, timestamp_ntz '2000-01-01 00:00:00')"}.get(c, c if c in base.columns else blank) + f" AS {c}"
@@ -253,7 +270,13 @@ def staged(spark, sf_dir) -> DataFrame:
     people = data.persons().selectExpr(*etl.CONFIG["resultats_humain"])
     for name, frame in {"operations": cases, "operations_stats": enrichment, "flotteurs": boats, "resultats_humain": people}.items():
         sinks.export_csv(frame, f"{source}/{name}.csv")
-    result = etl.staged_load(spark, source, target)
+    return source
+
+
+def staged(spark, sf_dir) -> DataFrame:
+    """CSV files with some bad rows go through the whole load; the result is the audit log."""
+    target = work_folder(spark, "loaded")
+    result = etl.staged_load(spark, source_files(spark, sf_dir), target)
     yearly = registry.stored_report(spark, f"{target}/reports", "v_kpi_annuel")
     return result.audit.select("table_name", "operation_type", "new_values").unionByName(
         yearly.agg(F.expr("cast(sum(total_operations) AS string)").alias("new_values")).selectExpr(
@@ -261,6 +284,61 @@ def staged(spark, sf_dir) -> DataFrame:
     )
 
 
+def followed(spark, sf_dir) -> DataFrame:
+    """Rows by their verdict, and rejected ones by what their case failed or lacked."""
+    target = work_folder(spark, "checked")
+    checked = etl.check_files(spark, source_files(spark, sf_dir, "operation_id % 47 = 0"), target)
+    verdicts = etl.verdict_counts(checked).selectExpr("table_name", "stack(2, 'valid', valides, 'rejected', rejetees) AS (controle, lignes)")
+    parents = [
+        R.grouped(spark.read.parquet(f"{target}/{n}/errors").where("check LIKE 'parent%'"), {"controle": "check"}, "cast(count(1) AS bigint) AS lignes").select(
+            F.lit(n).alias("table_name"), "controle", "lignes")
+        for n in checked
+    ]
+    return reduce(DataFrame.unionByName, parents, verdicts)
+
+
+def loaded_tables(spark, sf_dir) -> DataFrame:
+    """Rows of the loaded tables that have their key, their case and their bookkeeping times."""
+    target = work_folder(spark, "loaded")
+    etl.staged_load(spark, source_files(spark, sf_dir), target, loaded_at="2024-01-01 00:00:00")
+    data = FolderData(spark, f"{target}/clean")
+    keys = {"operations": "operation_id", **etl.TABLE_KEYS}
+    cases = data.cases("operation_id")
+    return C.table_counts({
+        n: data.table(n).join(cases, "operation_id", "left_semi").where("created_at = updated_at").dropDuplicates([k]) for n, k in keys.items()})
+
+
+def headers_of_files(spark, sf_dir) -> DataFrame:
+    """Three files of one folder: as declared, with a renamed and an added column, with columns moved and left out."""
+    root = work_folder(spark, "headers")
+    names = ["row_id", "operation_id", "cross", "vent_force", "mer_force"]
+    rows = damaged(spark, sf_dir).select(*names)
+    sinks.export_csv(rows.where("row_id % 3 = 0"), f"{root}/a.csv")
+    sinks.export_csv(rows.where("row_id % 3 = 1").withColumnRenamed("vent_force", "force du vent").withColumn("note", F.lit("a,b")), f"{root}/b.csv")
+    sinks.export_csv(rows.where("row_id % 3 = 2").select("mer_force", "cross", "row_id", "vent_force"), f"{root}/c.csv")
+    rules = Q.RuleSet(dict.fromkeys(names, "str"), strict=True)
+    table, headers = files.read_csv_by_header(spark, f"{root}/*.csv", names)
+    file = "regexp_extract(source_file, '([abc])[.]csv', 1) AS fichier"
+    wrong = Q.header_failures(headers, rules).selectExpr(file, "column", "check", "value").distinct()
+    known = R.grouped(table.selectExpr("*", file), ["fichier"], "cast(count(1) AS bigint) AS lignes", *[f"cast(count(`{c}`) AS bigint) AS n_{c}" for c in names])
+    return known.join(wrong, "fichier", "left")
+
+
+RAW_CONFIG = {"operations": {"row_id": {"type": "int", "nullable": False}, "mer_force": {"type": "float", "checks": [{"less_than": 10}]}}}
+
+
+def raw_types(spark, sf_dir) -> DataFrame:
+    source = work_folder(spark, "raw")
+    rows = damaged(spark, sf_dir).selectExpr(
+        "row_id", "operation_id", "latitude", "vent_force", "mer_force", "systeme_source", "row_id % 2 = 0 AS pair",
+        "CASE WHEN row_id % 3 = 0 THEN 'NA' ELSE cast(row_id AS string) END AS parfois", "'n/a' AS jamais", "cast(row_id AS string) || '.50' AS montant")
+    sinks.export_csv(rows, f"{source}/operations.csv")
+    table = etl.raw_load(spark, source, work_folder(spark, "rawtarget"), RAW_CONFIG)["operations"]
+    sums = [f"cast(count(`{c}`) AS bigint) AS n_{i}" for i, c in enumerate(table.columns)]
+    pairs = ", ".join(f"'{c}', '{k}', n_{i}" for i, (c, k) in enumerate(table.dtypes))
+    return table.agg(*map(F.expr, sums)).selectExpr(f"stack({len(table.columns)}, {pairs}) AS (colonne, type, valeurs)")
+
+
 def instants(spark, sf_dir) -> DataFrame:
     return etl.parse_instants(damaged(spark, sf_dir).select("row_id", ALERT), [ALERT])
 
@@ -380,6 +458,7 @@ DATA = {
     "src_column_subset": lambda s, d: files.existing(StarData(s, d).cases(), ["operation_id", "cross", "absente", "latitude"]),
     "sink_table_replace_append": replace_append,
     "sink_bulk_full_refresh": bulk_refresh,
+    "sink_versions_rollback": rolled_back,
     "sink_valid_rejected_errors": three_outputs,
     "sink_csv_export": csv_export,
     "sink_view_export": lambda s, d: registry.export(StarData(s, d), "v_kpi_yoy_comparison"),
@@ -394,6 +473,10 @@ DATA = {
     "etl_audit_summary": lambda s, d: C.load_summary(tables(s, d)).select("table_name", "operation_type", "new_values", "user_id"),
     "etl_verify_counts": lambda s, d: C.table_counts(tables(s, d)),
     "etl_staged_load": staged,
+    "etl_follow_parent": followed,
+    "etl_loaded_tables": loaded_tables,
+    "etl_raw_types": raw_types,
+    "dq_file_headers": headers_of_files,
     "cdc_snapshot_diff": diffed,
     "cdc_etl_bypass": bypassed,
     "batch_upsert": upserted,

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import catalog
 from checks.compare import difference, duck
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks import q_data, q_reports, q_views
+from checks import catalog, q_data, q_reports, q_views
 from vigie.operators.entities import CASE, data_dictionary
 from vigie.operators.filters import between_dates
 from vigie.plans import view_queries, views
@@ -55,10 +55,17 @@ def test_persons_are_reduced_before_they_meet_cases(spark, sf_dir):
 
 
 def test_top_lists_use_a_bounded_heap(spark, sf_dir):
-    for name in ("q_top_operations", "q_casualties", "q_search", "q_operations_export", "qk_carte_operations"):
+    for name in ("q_top_operations", "q_casualties", "q_search", "qk_carte_operations"):
         assert "TakeOrderedAndProject" in plan(LAZY[name](spark, sf_dir)), name
 
 
+def test_the_whole_export_is_sorted_by_ranges(spark, sf_dir):
+    """No row limit, so no single task: the sort deals rows out by ranges of their order."""
+    text = plan(LAZY["q_operations_export"](spark, sf_dir))
+    assert "TakeOrderedAndProject" not in text and "SinglePartition" not in text
+    assert "rangepartitioning" in text
+
+
 def test_median_counts_are_computed_once(spark, sf_dir):
     df = views.headline(StarData(spark, sf_dir))
     df.collect()
@@ -66,9 +73,9 @@ def test_median_counts_are_computed_once(spark, sf_dir):
 
 
 def test_registry_and_sql_agree_on_names():
-    queries, oracles = entry.queries(), entry.oracle_sql()
-    assert set(queries) == set(oracles)
-    assert not [n for n in queries if "pipeline" in n or n.startswith("op")and n[2:3].isdigit()]
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+    assert not [n for n in catalog.QUERIES if "pipeline" in n or n.startswith("op") and n[2:3].isdigit()]
 
 
 def test_case_regrouping_after_the_join_needs_no_shuffle(spark, sf_dir):

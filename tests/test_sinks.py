@@ -5,7 +5,7 @@ from conftest import rows
 from vigie.operators import quality as Q
 from vigie.plans import registry, reports, views
 from vigie.session import work_folder, work_root
-from vigie.sources import files, sinks
+from vigie.sources import files, sinks, versions
 from vigie.sources.dataset import CatalogData, FolderData
 from vigie.sources.star import StarData
 
@@ -27,13 +27,14 @@ def test_a_named_refresh_keeps_the_other_reports(spark, sf_dir):
     data, root = StarData(spark, sf_dir), work_folder(spark, "test")
     first = registry.refresh(data, root, ["v_kpi_annuel", "v_kpi_cross"])
     second = registry.refresh(data, root, ["v_kpi_annuel"])
-    number, places = registry._current(spark, root)
+    found = versions.current(spark, root)
+    number, places = found.number, found.places
     assert (number, places["v_kpi_annuel"], places["v_kpi_cross"]) == (2, f"{second}/v_kpi_annuel", f"{first}/v_kpi_cross")
     assert all(places[fact] == f"{second}/{fact}" for fact in ("operations_stats", "case_facts", "category_facts"))
     assert same(registry.stored_report(spark, root, "v_kpi_cross"), registry.STORED["v_kpi_cross"](data))
     with pytest.raises(KeyError):
         registry.refresh(data, root, ["v_inconnue"])
-    assert registry._current(spark, root)[0] == 2
+    assert versions.current(spark, root).number == 2
 
 
 def test_audit_questions_on_folders_and_catalogs(spark, sf_dir):

@@ -40,91 +40,75 @@ class Entity:
 
 
 # ---------------------------------------------------------------------------
-# Name | label | kind | limits | reference list | place in lists
+# The fields of the entities in file order
 # ---------------------------------------------------------------------------
-_CASE_FIELDS = """
-operation_id | ID Operation | int | required min=1 | | 1
-numero_sitrep | Numero SITREP | str | chars=50 | |
-cross_sitrep | CROSS SITREP | str | chars=100 | |
-type_operation | Type d'operation | str | | TYPE_OPERATION | 3
-sous_type_operation | Sous-type | str | chars=100 | |
-cross | CROSS | str | | CROSS_VALUES | 4
-pourquoi_alerte | Pourquoi alerte | str | chars=100 | |
-moyen_alerte | Moyen d'alerte | str | chars=100 | |
-qui_alerte | Qui alerte | str | chars=100 | |
-categorie_qui_alerte | Categorie alertant | str | chars=100 | |
-departement | Departement | str | chars=3 | | 5
-zone_responsabilite | Zone de responsabilite | str | chars=50 | |
-latitude | Latitude | float | min=-90 max=90 | |
-longitude | Longitude | float | min=-180 max=180 | |
-est_metropolitain | Metropolitain | bool | | |
-evenement | Evenement | str | chars=100 | |
-categorie_evenement | Categorie evenement | str | chars=100 | |
-autorite | Autorite | str | chars=100 | |
-seconde_autorite | Seconde autorite | str | chars=100 | |
-vent_direction | Direction vent | int | min=0 max=360 | |
-vent_force | Force vent | int | min=0 max=12 | |
-mer_force | Etat de mer | int | min=0 max=9 | |
-vent_direction_categorie | Direction vent (categorie) | str | | VENT_DIRECTION_CATEGORIE |
-date_heure_reception_alerte | Reception alerte | datetime | | | 2
-date_heure_fin_operation | Fin operation | datetime | | |
-fuseau_horaire | Fuseau horaire | str | chars=50 | |
-systeme_source | Systeme source | str | chars=50 | |
-prefecture_maritime | Prefecture maritime | str | | PREFECTURE_MARITIME |
-phase_journee | Phase de journee | str | | PHASE_JOURNEE |
-distance_cote_metres | Distance cote (m) | float | min=0 | |
-distance_cote_milles_nautiques | Distance cote (NM) | float | min=0 | |
-est_jour_ferie | Jour ferie | bool | | |
-est_vacances_scolaires | Vacances scolaires | bool | | |
-concerne_plongee | Concerne plongee | bool | | |
-implique_wingfoil | Implique wingfoil | bool | | |
-est_dans_stm | Dans STM | bool | | |
-nom_stm | Nom STM | str | chars=100 | |
-est_dans_dst | Dans DST | bool | | |
-nom_dst | Nom DST | str | chars=100 | |
-maree_port | Port de reference maree | str | chars=100 | |
-maree_coefficient | Coefficient maree | int | min=20 max=120 | |
-maree_categorie | Categorie maree | str | | MAREE_CATEGORIE |
-"""
-_PERSON_FIELDS = """
-resultat_id | ID | int | | | 1
-operation_id | ID Operation | int | required | |
-categorie_personne | Categorie de personne | str | | CATEGORIE_PERSONNE | 2
-resultat_humain | Resultat | str | | RESULTAT_HUMAIN | 3
-nombre | Nombre | int | required min=0 | | 4
-dont_nombre_blesse | Dont blesses | int | min=0 | | 5
-"""
-_VESSEL_FIELDS = """
-flotteur_id | ID | int | | | 1
-operation_id | ID Operation | int | required | |
-numero_ordre | Ordre | int | min=1 | | 2
-type_flotteur | Type de flotteur | str | | TYPE_FLOTTEUR | 3
-categorie_flotteur | Categorie | str | chars=100 | | 4
-pavillon | Pavillon | str | chars=50 | | 5
-numero_immatriculation | Immatriculation | str | chars=50 | |
-resultat_flotteur | Resultat | str | | RESULTAT_FLOTTEUR | 6
-"""
+_CASE_FIELDS = (
+    Field("operation_id", "ID Operation", "int", required=True, low=1.0, list_place=1),
+    Field("numero_sitrep", "Numero SITREP", "str", max_chars=50),
+    Field("cross_sitrep", "CROSS SITREP", "str", max_chars=100),
+    Field("type_operation", "Type d'operation", "str", reference="TYPE_OPERATION", list_place=3),
+    Field("sous_type_operation", "Sous-type", "str", max_chars=100),
+    Field("cross", "CROSS", "str", reference="CROSS_VALUES", list_place=4),
+    Field("pourquoi_alerte", "Pourquoi alerte", "str", max_chars=100),
+    Field("moyen_alerte", "Moyen d'alerte", "str", max_chars=100),
+    Field("qui_alerte", "Qui alerte", "str", max_chars=100),
+    Field("categorie_qui_alerte", "Categorie alertant", "str", max_chars=100),
+    Field("departement", "Departement", "str", max_chars=3, list_place=5),
+    Field("zone_responsabilite", "Zone de responsabilite", "str", max_chars=50),
+    Field("latitude", "Latitude", "float", low=-90.0, high=90.0),
+    Field("longitude", "Longitude", "float", low=-180.0, high=180.0),
+    Field("est_metropolitain", "Metropolitain", "bool"),
+    Field("evenement", "Evenement", "str", max_chars=100),
+    Field("categorie_evenement", "Categorie evenement", "str", max_chars=100),
+    Field("autorite", "Autorite", "str", max_chars=100),
+    Field("seconde_autorite", "Seconde autorite", "str", max_chars=100),
+    Field("vent_direction", "Direction vent", "int", low=0.0, high=360.0),
+    Field("vent_force", "Force vent", "int", low=0.0, high=12.0),
+    Field("mer_force", "Etat de mer", "int", low=0.0, high=9.0),
+    Field("vent_direction_categorie", "Direction vent (categorie)", "str", reference="VENT_DIRECTION_CATEGORIE"),
+    Field("date_heure_reception_alerte", "Reception alerte", "datetime", list_place=2),
+    Field("date_heure_fin_operation", "Fin operation", "datetime"),
+    Field("fuseau_horaire", "Fuseau horaire", "str", max_chars=50),
+    Field("systeme_source", "Systeme source", "str", max_chars=50),
+    Field("prefecture_maritime", "Prefecture maritime", "str", reference="PREFECTURE_MARITIME"),
+    Field("phase_journee", "Phase de journee", "str", reference="PHASE_JOURNEE"),
+    Field("distance_cote_metres", "Distance cote (m)", "float", low=0.0),
+    Field("distance_cote_milles_nautiques", "Distance cote (NM)", "float", low=0.0),
+    Field("est_jour_ferie", "Jour ferie", "bool"),
+    Field("est_vacances_scolaires", "Vacances scolaires", "bool"),
+    Field("concerne_plongee", "Concerne plongee", "bool"),
+    Field("implique_wingfoil", "Implique wingfoil", "bool"),
+    Field("est_dans_stm", "Dans STM", "bool"),
+    Field("nom_stm", "Nom STM", "str", max_chars=100),
+    Field("est_dans_dst", "Dans DST", "bool"),
+    Field("nom_dst", "Nom DST", "str", max_chars=100),
+    Field("maree_port", "Port de reference maree", "str", max_chars=100),
+    Field("maree_coefficient", "Coefficient maree", "int", low=20.0, high=120.0),
+    Field("maree_categorie", "Categorie maree", "str", reference="MAREE_CATEGORIE"),
+)
+_PERSON_FIELDS = (
+    Field("resultat_id", "ID", "int", list_place=1),
+    Field("operation_id", "ID Operation", "int", required=True),
+    Field("categorie_personne", "Categorie de personne", "str", reference="CATEGORIE_PERSONNE", list_place=2),
+    Field("resultat_humain", "Resultat", "str", reference="RESULTAT_HUMAIN", list_place=3),
+    Field("nombre", "Nombre", "int", required=True, low=0.0, list_place=4),
+    Field("dont_nombre_blesse", "Dont blesses", "int", low=0.0, list_place=5),
+)
+_VESSEL_FIELDS = (
+    Field("flotteur_id", "ID", "int", list_place=1),
+    Field("operation_id", "ID Operation", "int", required=True),
+    Field("numero_ordre", "Ordre", "int", low=1.0, list_place=2),
+    Field("type_flotteur", "Type de flotteur", "str", reference="TYPE_FLOTTEUR", list_place=3),
+    Field("categorie_flotteur", "Categorie", "str", max_chars=100, list_place=4),
+    Field("pavillon", "Pavillon", "str", max_chars=50, list_place=5),
+    Field("numero_immatriculation", "Immatriculation", "str", max_chars=50),
+    Field("resultat_flotteur", "Resultat", "str", reference="RESULTAT_FLOTTEUR", list_place=6),
+)
 # ---------------------------------------------------------------------------
 
-
-def _read(table: str) -> tuple[Field, ...]:
-    fields = []
-    for line in table.strip().splitlines():
-        name, label, kind, limits, reference, place = (part.strip() for part in line.split("|"))
-        words = dict(w.split("=") if "=" in w else (w, "1") for w in limits.split())
-        fields.append(Field(
-            name, label, kind, "required" in words,
-            float(words["min"]) if "min" in words else None,
-            float(words["max"]) if "max" in words else None,
-            int(words["chars"]) if "chars" in words else None,
-            reference or None, int(place) if place else None,
-        ))
-    return tuple(fields)
-
-
-CASE = Entity("operation", "operation_id", _read(_CASE_FIELDS))
-VESSEL = Entity("flotteur", "flotteur_id", _read(_VESSEL_FIELDS))
-PERSON = Entity("resultat_humain", "resultat_id", _read(_PERSON_FIELDS))
+CASE = Entity("operation", "operation_id", _CASE_FIELDS)
+VESSEL = Entity("flotteur", "flotteur_id", _VESSEL_FIELDS)
+PERSON = Entity("resultat_humain", "resultat_id", _PERSON_FIELDS)
 
 
 def field_rules(entity: Entity, columns: list[str]) -> Q.RuleSet:

@@ -155,6 +155,30 @@ def missing_columns(df: DataFrame, rules: RuleSet) -> list[str]:
     return [c for c in rules.columns if c not in df.columns]
 
 
+def header_failures(headers: DataFrame, rules: RuleSet) -> DataFrame:
+    """``source_file, column, check, value`` of the columns that a file's header has wrong.
+
+    ``renamed_column`` is a declared column that is missing while an unexpected one stands at its
+    place (``value``: that name); the others are ``missing_column``, ``unexpected_column`` (``value``:
+    its place, from 1; only in strict rule sets) and ``duplicate_column`` (``value``: how often).
+    """
+    declared = f"array({', '.join(map(quoted, rules.columns))})" if rules.columns else "cast(array() AS array<string>)"
+    found = headers.selectExpr(
+        "*", f"{declared} AS declared", "array_distinct(header) AS names").selectExpr(
+        "*", "array_except(declared, names) AS missing", "array_except(names, declared) AS odd").selectExpr(
+        "*", "filter(transform(missing, c -> struct(c AS column, 'renamed_column' AS check,"
+        " get(header, cast(array_position(declared, c) - 1 AS int)) AS value)), r -> array_contains(odd, r.value)) AS renamed")
+    strict = "transform(filter(odd, c -> NOT exists(renamed, r -> r.value = c)), c -> struct(c AS column, 'unexpected_column' AS check, cast(array_position(header, c) AS string) AS value))"
+    parts = [
+        "renamed",
+        "transform(filter(missing, c -> NOT exists(renamed, r -> r.column = c)), c -> struct(c AS column, 'missing_column' AS check, cast(NULL AS string) AS value))",
+        "transform(filter(names, c -> size(filter(header, h -> h = c)) > 1),"
+        " c -> struct(c AS column, 'duplicate_column' AS check, cast(size(filter(header, h -> h = c)) AS string) AS value))",
+        *([strict] if rules.strict else []),
+    ]
+    return found.selectExpr("source_file", f"inline(concat({', '.join(parts)}))")
+
+
 def duplicated(df: DataFrame, columns: list[str]) -> DataFrame:
     """Key values that occur more than once, a repeated missing value included."""
     return grouped(df.select(*columns), columns, "count(1) AS copies").where("copies > 1").drop("copies")

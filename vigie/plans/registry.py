@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from vigie.operators.counters import COUNTERS, attach_counters, category_cases
 from vigie.plans import view_queries as Q
 from vigie.plans import views as V
+from vigie.sources import versions
 from vigie.sources.dataset import CASE_FACTS, CATEGORY_FACTS, RescueData, StoredFacts
 
 Report = Callable[[RescueData], DataFrame]
@@ -110,34 +110,14 @@ def store_facts(data: RescueData, root: str) -> StoredFacts:
     )
 
 
-def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    """``number, name, folder`` of every complete refresh; None before the first."""
-    try:
-        return spark.read.schema("name string, folder string, number long").parquet(f"{root}/manifests")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _current(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
-    """Number of the newest complete refresh and where it finds each report (a few rows)."""
-    manifest = _manifest(spark, root)
-    newest = manifest.agg({"number": "max"}).first()[0] if manifest is not None else None
-    if newest is None:
-        return 0, {}
-    return newest, {r["name"]: r["folder"] for r in manifest.where(f"number = {newest}").collect()}
-
-
 def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by_side: int = 8) -> str:
     """Recompute the stored reports in dependency order into a new version folder.
 
-    A manifest says where each report is: reports that are not recomputed keep their folder. It is
-    a new file written last, and readers take the one with the highest number, so until then, and
-    after a failure, they see the previous state. Of two refreshes at the same time, the second to
-    finish fails. Returns the version's folder.
+    Reports that are not recomputed keep their folder. All switch at once, with the commit of the
+    version, so until then, and after a failure, readers see the previous state. Of two refreshes at
+    the same time, the second to finish fails. Returns the version's folder.
     """
-    number, places = _current(data.spark, root)
+    before = versions.current(data.spark, root)
     folder = f"{root}/version-{uuid.uuid4().hex}"
     facts = store_facts(data, folder)
     names = list(names or STORED)
@@ -148,12 +128,11 @@ def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by
     # reports depend on the facts only: submit their jobs side by side
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         list(pool.map(write, names))
-    places |= {name: f"{folder}/{name}" for name in [COUNTER_TABLE, CASE_FACTS, CATEGORY_FACTS, *names]}
-    manifest = data.spark.createDataFrame(sorted(places.items()), "name string, folder string")
-    manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/manifests/number={number + 1}")
+    places = {name: f"{folder}/{name}" for name in [COUNTER_TABLE, CASE_FACTS, CATEGORY_FACTS, *names]}
+    versions.commit(data.spark, root, before.places | places, before)
     return folder
 
 
-def stored_report(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A report as its last refresh left it."""
-    return spark.read.parquet(_current(spark, root)[1][name])
+def stored_report(spark: SparkSession, root: str, name: str, number: int | None = None) -> DataFrame:
+    """A report as its last refresh, or the refresh of a number, left it."""
+    return spark.read.parquet(versions.current(spark, root, number).places[name])

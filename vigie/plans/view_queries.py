@@ -25,6 +25,11 @@ def _mean_of(column: str, places: int, digits: int) -> str:
     return half_up(f"sum({fixed_point(column, places)})", f"count({column}) * {10**places}", digits)
 
 
+def _ties(report: DataFrame) -> list:
+    """Every column in turn, so that groups of equal size have one order."""
+    return [smallest(c) for c in report.columns]
+
+
 # --- safety -----------------------------------------------------------------
 def _months(data: RescueData, active: bool, year: int | None = None) -> DataFrame:
     return V.monthly_safety(data, active=active, injuries_over_handled=True, year=year)
@@ -175,7 +180,7 @@ def weather(
     """``year`` matters only for the active centres; the general report has no year."""
     report = V.weather_profile_active(data, year) if active else V.weather_profile(data)
     ranged = filters.in_range(filters.in_range(report, "vent_force", wind_min, wind_max), "mer_force", sea_min, sea_max)
-    return ranged.orderBy(largest("nb_operations"))
+    return ranged.orderBy(largest("nb_operations"), *_ties(ranged))
 
 
 def _by_force(data: RescueData, force: str, year, active: bool) -> DataFrame:
@@ -236,7 +241,7 @@ def active_alerts(data: RescueData, year=None, centre=None, active: bool = False
 # --- place and kind ---------------------------------------------------------
 def places(data: RescueData, prefecture=None, centre=None, department=None) -> DataFrame:
     found = filters.equals(V.geography(data), prefecture_maritime=prefecture, cross_name=centre, departement=department)
-    return found.orderBy(largest("nb_operations"))
+    return found.orderBy(largest("nb_operations"), *_ties(found))
 
 
 def by_prefecture(data: RescueData) -> DataFrame:
@@ -258,7 +263,7 @@ def by_prefecture(data: RescueData) -> DataFrame:
 
 def by_kind(data: RescueData, kind=None, event_class=None) -> DataFrame:
     found = filters.equals(V.kinds(data), type_operation=kind, categorie_evenement=event_class)
-    return found.orderBy(largest("nb_operations"))
+    return found.orderBy(largest("nb_operations"), *_ties(found))
 
 
 # --- person categories ------------------------------------------------------
@@ -290,7 +295,7 @@ def official_months(data: RescueData, year=None, centre=None) -> DataFrame:
 
 def category_places(data: RescueData, category=None, centre=None) -> DataFrame:
     found = filters.equals(V.category_places(data), categorie_personne=category, cross_name=centre)
-    return found.orderBy(largest("total_personnes"))
+    return found.orderBy(largest("total_personnes"), *_ties(found))
 
 
 def case_map(

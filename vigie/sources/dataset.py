@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vigie.functions.outcomes import FOLDED
+from vigie.sources import versions
 
 CASES, VESSELS, PERSONS, AUDIT = "operations", "flotteurs", "resultats_humain", "audit_log"
 CASE_FACTS, CATEGORY_FACTS = "case_facts", "category_facts"
@@ -85,15 +86,23 @@ class CatalogData(RescueData):
 
 
 class FolderData(RescueData):
-    """Handle over one Parquet folder per business table; a folder is opened when it is first asked for."""
+    """Handle over a folder of tables: one Parquet folder each, or the tables of a version.
 
-    def __init__(self, spark: SparkSession, root: str, spelling: str = FOLDED):
+    The version is chosen when the first table is opened, the newest unless one is named, and kept:
+    later commits do not show. A table that no version names is the folder of its name.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, spelling: str = FOLDED, version: int | None = None):
         super().__init__(spark, spelling)
         self.root = root
+        self.version = version
         self.opened: dict[str, DataFrame] = {}
+        self.pinned: versions.Version | None = None
 
     def table(self, name: str, *columns: str) -> DataFrame:
+        if self.pinned is None:
+            self.pinned = versions.current(self.spark, self.root, self.version)
         if name not in self.opened:
-            self.opened[name] = self.spark.read.parquet(f"{self.root}/{name}")
+            self.opened[name] = self.spark.read.parquet(self.pinned.places.get(name, f"{self.root}/{name}"))
         frame = self.opened[name]
         return frame.select(*columns) if columns else frame
