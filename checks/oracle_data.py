@@ -243,6 +243,8 @@ DATA = {
     "sink_export_bundle": counts_of(BUNDLE),
     "sink_materialize_refresh": counts_of(STORED) + f""" UNION ALL SELECT 'case_facts', {N} FROM orders
  UNION ALL SELECT 'category_facts', {N} FROM (SELECT DISTINCT l_orderkey, l_partkey % 11 FROM lineitem)""",
+    "sink_incremental_refresh": _SQL["kpi_securite_mensuel"],
+    "sink_incremental_durations": f"SELECT cross_name, duree_moyenne_heures, duree_mediane_heures, duree_min_heures, duree_max_heures FROM ({_SQL['kpi_cross_benchmark']})",
     "etl_merge_stats": with_("""SELECT a.operation_id, a.type_operation, e.est_jour_ferie, e.phase_journee, e.maree_coefficient
  FROM ops a LEFT JOIN (SELECT * FROM ops WHERE NOT est_jour_ferie) e ON a.operation_id = e.operation_id""", OPS),
     "etl_coerce_int": with_("SELECT row_id, TRY_CAST(operation_id AS BIGINT) AS operation_id, CASE WHEN vent_force <> '3.5' THEN TRY_CAST(vent_force AS BIGINT) END AS vent_force FROM d", DAMAGED),
@@ -293,4 +295,7 @@ DATA = {
     "stream_monthly_kpi": _SQL["kpi_securite_mensuel"],
 }
 
+DATA["batch_upsert_deltas"] = DATA["batch_upsert"]
+DATA["delete_cascade_deltas"] = DATA["delete_cascade"]
+
 SQL = {**QUALITY, **DATA}

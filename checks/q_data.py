@@ -13,12 +13,12 @@ from vigie.operators import quality as Q
 from vigie.operators.counters import attach_counters
 from vigie.operators.rollup import ALERT, BY_MONTH, active_only, dated_cases, roll_up
 from vigie.operators.series import share_of_total, trailing_sums_by_join
-from vigie.plans import etl, registry
+from vigie.plans import etl, incremental, registry
 from vigie.plans import reports as R
 from vigie.plans import views as V
 from vigie.session import work_folder
-from vigie.sources import files, sinks, versions
-from vigie.sources.dataset import FolderData
+from vigie.sources import deltas, files, sinks, versions
+from vigie.sources.dataset import FolderData, FrameData
 from vigie.sources.star import StarData, audit_projection, person_projection
 from vigie.streaming import jobs
 
@@ -366,13 +366,40 @@ def bypassed(spark, sf_dir) -> DataFrame:
     )
 
 
-def upserted(spark, sf_dir) -> DataFrame:
+def upsert_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     base = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     delta = base.where("o_orderkey % 5 = 0").selectExpr(
         "CASE WHEN o_orderkey % 15 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey", "'U' AS o_orderstatus",
         "o_orderpriority", "CASE WHEN o_orderkey % 10 = 0 AND o_orderkey % 15 <> 0 THEN 'delete' ELSE 'write' END AS op",
     )
-    return C.upsert(base, delta, "o_orderkey")
+    return base, delta
+
+
+def upserted(spark, sf_dir) -> DataFrame:
+    return C.upsert(*upsert_tables(spark, sf_dir), "o_orderkey")
+
+
+def stored_upsert(spark, sf_dir) -> DataFrame:
+    """The same change in two deltas beside a stored table, the later one over the earlier."""
+    root = work_folder(spark, "deltas")
+    base, delta = upsert_tables(spark, sf_dir)
+    versions.replace({"commandes": base}, root)
+    keys = {"commandes": "o_orderkey"}
+    early = delta.where("o_orderkey % 2 <> 0 OR o_orderkey < 0").withColumn("o_orderstatus", F.lit("X"))
+    deltas.upsert({"commandes": early}, root, keys=keys)
+    deltas.upsert({"commandes": delta}, root, keys=keys)
+    return deltas.merged(spark, versions.current(spark, root), "commandes", "o_orderkey")
+
+
+def stored_cascade(spark, sf_dir) -> DataFrame:
+    """Cases deleted from three stored tables by one delta, a third of them in a first step."""
+    root, every = work_folder(spark, "deltas"), tables(spark, sf_dir)
+    sinks.full_refresh(every, root)
+    for step in ("operation_id % 21 = 0", "operation_id % 7 = 0"):
+        deltas.delete_cases(every["operations"].where(step), root)
+    deltas.compact(spark, root, "flotteurs")
+    data = FolderData(spark, root)
+    return C.table_counts({n: data.table(n) for n in every})
 
 
 def cascaded(spark, sf_dir) -> DataFrame:
@@ -443,14 +470,41 @@ def counter_stream(spark, sf_dir) -> DataFrame:
 
 
 def monthly_stream(spark, sf_dir) -> DataFrame:
+    """Cases and people as two streams; people come in files of their own, before and after their cases."""
     out, data = work_folder(spark, "monthly"), StarData(spark, sf_dir)
     cases = data.case_projection(jobs.file_stream(spark, f"{sf_dir}/orders.parquet"), "operation_id", ALERT)
-    attach_counters(data, data.cases("operation_id")).write.parquet(f"{out}/counters")
-    counters = spark.read.parquet(f"{out}/counters")
-    jobs.run_monthly(cases, counters, f"{out}/partials", f"{out}/checkpoint").awaitTermination()
+    people = person_projection(jobs.file_stream(spark, f"{sf_dir}/lineitem.parquet"))
+    jobs.run_monthly(cases, people, f"{out}/partials", f"{out}/checkpoint", "folded").awaitTermination()
     return V.monthly_rates(jobs.read_monthly(spark, f"{out}/partials"))
 
 
+def followed_changes(spark, sf_dir, root: str) -> None:
+    """Figures of an older state, brought to today's by the cases that a snapshot comparison names."""
+    new = StarData(spark, sf_dir)
+    today = new.cases(*incremental.COLUMNS)
+    moved = today.where("operation_id % 37 = 0").withColumn(ALERT, F.expr(f"{ALERT} + interval 40 days")).withColumn("cross", F.lit("Ailleurs"))
+    gone = today.where("operation_id % 41 = 0").withColumn("operation_id", -F.col("operation_id") - 1)
+    before = today.where("operation_id % 29 <> 0 AND operation_id % 37 <> 0").unionByName(moved.where("operation_id % 29 <> 0")).unionByName(gone)
+    people = new.persons()
+    old = FrameData(spark, {"operations": before, "resultats_humain": people.where("operation_id % 43 <> 0")})
+    incremental.store(old, root)
+    changed = C.snapshot_diff(before, today, "operation_id").selectExpr("record_id AS operation_id")
+    changed = changed.union(people.where("operation_id % 43 = 0").select("operation_id"))
+    incremental.apply_changes(old, new, changed, root)
+
+
+def incremental_months(spark, sf_dir) -> DataFrame:
+    root = work_folder(spark, "figures")
+    followed_changes(spark, sf_dir, root)
+    return incremental.monthly_safety(spark, root)
+
+
+def incremental_durations(spark, sf_dir) -> DataFrame:
+    root = work_folder(spark, "figures")
+    followed_changes(spark, sf_dir, root)
+    return incremental.centre_durations(spark, root)
+
+
 DATA = {
     "src_csv_scan": csv_scan,
     "src_table_scan": table_scan,
@@ -464,6 +518,8 @@ DATA = {
     "sink_view_export": lambda s, d: registry.export(StarData(s, d), "v_kpi_yoy_comparison"),
     "sink_export_bundle": bundle,
     "sink_materialize_refresh": materialized,
+    "sink_incremental_refresh": incremental_months,
+    "sink_incremental_durations": incremental_durations,
     "etl_merge_stats": merged,
     "etl_coerce_int": lambda s, d: etl.coerce_integers(damaged(s, d).select("row_id", "operation_id", "vent_force"), ["operation_id", "vent_force"]),
     "etl_coerce_int_report": lambda s, d: etl.lost_fractions(damaged(s, d), ["operation_id", "vent_force"]),
@@ -480,7 +536,9 @@ DATA = {
     "cdc_snapshot_diff": diffed,
     "cdc_etl_bypass": bypassed,
     "batch_upsert": upserted,
+    "batch_upsert_deltas": stored_upsert,
     "delete_cascade": cascaded,
+    "delete_cascade_deltas": stored_cascade,
     "audit_retention": retained,
     "fk_orphans": orphaned,
     "create_with_relations": related,

@@ -50,26 +50,31 @@ def with_outcome_code(persons: DataFrame, spelling: str, plain: bool = False) ->
     return persons.withColumn("code", F.expr(f"CASE {branches} ELSE 0 END"))
 
 
-def counter_sums() -> list[str]:
-    """Aggregates turning coded person rows into the eleven counters."""
+def counter_terms() -> dict[str, str]:
+    """What one coded person row adds to each of the eleven counters."""
 
     def people(*wanted: str) -> str:
-        return total_if(f"code IN ({_codes(*wanted)})", "nombre")
+        return f"CASE WHEN code IN ({_codes(*wanted)}) THEN nombre ELSE 0 END"
 
-    sums = [
+    terms = [
         people(*L.SAFE),
         people(*L.OFFICIAL),
         people(*L.DEATHS),
         people(L.MISSING),
-        total("dont_nombre_blesse"),
+        "dont_nombre_blesse",
         people(L.RESCUED),
         people(L.ASSISTED),
         people(L.FOUND),
         people(L.SELF_RESCUED),
-        total("nombre"),
+        "nombre",
         people(L.FALSE_ALARM),
     ]
-    return named(**dict(zip(COUNTERS, sums)))
+    return dict(zip(COUNTERS, terms))
+
+
+def counter_sums() -> list[str]:
+    """Aggregates turning coded person rows into the eleven counters."""
+    return named(**{counter: total(term) for counter, term in counter_terms().items()})
 
 
 def persons_by_case(persons: DataFrame, spelling: str) -> DataFrame:

@@ -19,7 +19,7 @@ from vigie.operators.counters import attach_counters, category_cases, vessels_by
 from vigie.operators.quantiles import middle_values
 from vigie.operators.rollup import (
     ALERT, BY_MONTH, BY_YEAR, DEATH_RATE, DURATION, END, PEOPLE_PER_CASE, RESCUE_RATE, SEVERITY,
-    VICTIMS, dated_cases, grouped, hours, roll_up, year_range,
+    SUMS, VICTIMS, dated_cases, grouped, hours, roll_up, year_range,
 )
 from vigie.operators.series import (
     TrailingYear, alert_level, change_percent, previous, rounded_score, share_of_total,
@@ -62,12 +62,17 @@ def monthly_rates(months: DataFrame, injuries_over_handled: bool = False) -> Dat
 def centre_benchmark(data: RescueData, dated: bool = False) -> DataFrame:
     """Durations, outcomes, workload and three rankings per centre."""
     cases = dated_cases(data, "cross", ALERT, END, dated=dated).where("cross IS NOT NULL")
-    sums = roll_up(
-        data, cases, ["cross"],
-        s=f"sum({DURATION})", k=f"count({DURATION})", lo_s=f"min({DURATION})",
-        hi_s=f"max({DURATION})", first=f"min({ALERT})", last=f"max({ALERT})",
-    )
-    joined = sums.join(middle_values(cases, ["cross"], DURATION), "cross", "left")
+    # One pass: sums by centre and duration, whose rows are few; they give the centre's sums and, in
+    # their order, the middle of its durations.
+    values = roll_up(data, cases, {"cross": "cross", "secs": DURATION}, first=f"min({ALERT})", last=f"max({ALERT})")
+    timed = "CASE WHEN secs IS NOT NULL THEN n ELSE 0 END"
+    ranked = values.selectExpr(
+        "*", f"sum({timed}) OVER (PARTITION BY cross ORDER BY secs ROWS UNBOUNDED PRECEDING) AS upto", f"sum({timed}) OVER (PARTITION BY cross) AS known")
+    joined = grouped(ranked, ["cross"], *named(
+        n=total("n"), **{x: total(x) for x in SUMS}, s="sum(cast(secs AS decimal(38,0)) * n)", k="max(known)",
+        lo_s="min(secs)", hi_s="max(secs)", first="min(first)", last="max(last)",
+        lo="min(CASE WHEN upto >= (known + 1) div 2 THEN secs END)", hi="min(CASE WHEN upto >= (known + 2) div 2 THEN secs END)",
+    ))
     days = f"floor({T.seconds_between('first', 'last')} / 86400) + 1"
     return joined.selectExpr(*named(
         cross_name="cross", nb_operations="n",

@@ -32,6 +32,10 @@ def cluster_session(name: str, shuffle_partitions: int = 20000) -> SparkSession:
         builder(name)
         .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",  # state beyond a task's memory
+        )
         .getOrCreate()
     )
 

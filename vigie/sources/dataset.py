@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vigie.functions.outcomes import FOLDED
-from vigie.sources import versions
+from vigie.sources import deltas, versions
 
 CASES, VESSELS, PERSONS, AUDIT = "operations", "flotteurs", "resultats_humain", "audit_log"
 CASE_FACTS, CATEGORY_FACTS = "case_facts", "category_facts"
@@ -103,6 +103,7 @@ class FolderData(RescueData):
         if self.pinned is None:
             self.pinned = versions.current(self.spark, self.root, self.version)
         if name not in self.opened:
-            self.opened[name] = self.spark.read.parquet(self.pinned.places.get(name, f"{self.root}/{name}"))
+            held = name in self.pinned.places
+            self.opened[name] = deltas.merged(self.spark, self.pinned, name) if held else self.spark.read.parquet(f"{self.root}/{name}")
         frame = self.opened[name]
         return frame.select(*columns) if columns else frame

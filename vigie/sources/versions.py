@@ -58,13 +58,13 @@ def current(spark: SparkSession, root: str, number: int | None = None) -> Versio
     number = known[-1] if number is None else number
     rows = spark.read.schema(ROWS).parquet(f"{_manifests(root)}/number={number}").collect()  # one row a table
     first = min(r["commit"] for r in rows)  # two commits that met: the same one wins for everybody
-    return Version(number, {r["name"]: r["folder"] for r in rows if r["commit"] == first})
+    return Version(number, {r["name"]: r["folder"] for r in rows if r["commit"] == first and r["name"] is not None})
 
 
 def commit(spark: SparkSession, root: str, places: dict[str, str], before: Version) -> Version:
     """Make ``places`` the version after ``before``; fails if another one is there already."""
     mine, number = uuid.uuid4().hex, before.number + 1
-    rows = [(name, folder, mine) for name, folder in sorted(places.items())]
+    rows = [(None, None, mine), *((name, folder, mine) for name, folder in sorted(places.items()))]  # a version without tables is one too
     try:
         spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("errorifexists").parquet(f"{_manifests(root)}/number={number}")
     except AnalysisException as error:
@@ -95,7 +95,8 @@ def replace(tables: dict[str, DataFrame], root: str, drop: tuple[str, ...] = (),
     else:
         for name in tables:
             write(name)
-    kept = {n: p for n, p in before.places.items() if n not in drop}
+    gone = (*tables, *drop)  # a replaced table leaves its deltas behind
+    kept = {n: p for n, p in before.places.items() if n.split("/")[0] not in gone}
     return commit(spark, root, kept | {n: f"{folder}/{n}" for n in tables}, before)
 
 
@@ -111,7 +112,8 @@ def clean_up(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     tables have no rows any more, and a second clean-up finds nothing to do. Returns the folders.
     """
     known = numbers(spark, root)
-    held = {f for n in known[-keep:] for f in current(spark, root, n).places.values()} if keep else set()
+    keep = max(keep, 1)  # what readers open next stays
+    held = {f for n in known[-keep:] for f in current(spark, root, n).places.values()}
     gone = sorted({f for n in known[:len(known) - keep] for f in current(spark, root, n).places.values()} - held)
     emptied = []
     for folder in gone:

@@ -9,15 +9,19 @@ what it brings, not what was stored before; ``compact`` folds old partials toget
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from vigie.functions import temporal as T
 from vigie.functions.measures import ROWS, named, total
-from vigie.operators.counters import COUNTERS, persons_by_case
-from vigie.operators.rollup import BY_MONTH, SUMS, grouped
+from vigie.operators.counters import COUNTERS, counter_terms, persons_by_case, with_outcome_code
+from vigie.operators.rollup import ALERT, SUMS, grouped
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -35,8 +39,14 @@ def _write_partial(partial: DataFrame, out: str, batch_id: int) -> None:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    """Whether a file or folder is there; listing it starts no job."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def run_partials(stream: DataFrame, reduce_batch: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
@@ -89,19 +99,95 @@ def read_counters(spark: SparkSession, out: str) -> DataFrame:
 
 
 # --- monthly figures --------------------------------------------------------
-def run_monthly(cases: DataFrame, counters: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Monthly sums of the months an arriving batch of cases touches."""
+#: A case as the stream knows it: its newest delivery and the sums of its people so far.
+_STATE = "seen boolean, version long, month int, sums array<long>"
+#: What a batch changes in a month; sums are in the order of the counters.
+_CHANGE = "month int, n long, sums array<long>"
+_EVENT = "operation_id long, version long, month int, sums array<long>"
+_NO_MONTH, _NO_CASE = -1, -2
+
+
+def _case_events(cases: DataFrame, version: str) -> DataFrame:
+    month = f"coalesce(cast({T.month_index(T.day(ALERT))} AS int), {_NO_MONTH}) AS month"
+    return cases.where("operation_id IS NOT NULL").selectExpr(
+        "operation_id", f"coalesce(cast({version} AS bigint), 0L) AS version", month, "cast(array() AS array<bigint>) AS sums")
+
+
+def _people_events(persons: DataFrame, spelling: str, sign: str) -> DataFrame:
+    """Rows of one case within a batch of rows become one row, before they meet in a task."""
+    coded = with_outcome_code(persons.where("operation_id IS NOT NULL"), spelling)
+    terms = [f"cast(coalesce(({sign}) * ({term}), 0) AS bigint) AS {c}" for c, term in counter_terms().items()]
+    rows = coded.selectExpr("operation_id", *terms)
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ids, place = np.unique(frame["operation_id"].to_numpy(), return_inverse=True)
+            sums = np.zeros((len(ids), len(COUNTERS)), np.int64)
+            np.add.at(sums, place, frame[COUNTERS].to_numpy())
+            yield pd.DataFrame({"operation_id": ids, "version": 0, "month": _NO_CASE, "sums": list(sums)})
+
+    return rows.mapInPandas(fold, _EVENT)
+
+
+def _follow_case(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The changes that new events of a case make: its old share out of its old month, its new share into the new one."""
+    seen, version, month, sums = state.get if state.exists else (False, 0, _NO_MONTH, [0] * len(COUNTERS))
+    before, newest, sums = (seen, month, list(sums)), None, list(sums)
+    for frame in frames:
+        for own_version, own_month, own in zip(frame["version"].tolist(), frame["month"].tolist(), frame["sums"]):
+            if own_month == _NO_CASE:
+                sums = [a + b for a, b in zip(sums, own.tolist())]
+            elif newest is None or (own_version, own_month) > newest:
+                newest = own_version, own_month
+    if newest and (not seen or newest[0] >= version):
+        seen, (version, month) = True, newest
+    state.update((seen, version, month, sums))
+    changes: dict[int, list[int]] = {}
+    for factor, (known, at, share) in ((-1, before), (1, (seen, month, sums))):
+        if known and at != _NO_MONTH:
+            line = changes.setdefault(at, [0] * (1 + len(COUNTERS)))
+            changes[at] = [a + factor * b for a, b in zip(line, (1, *share))]
+    changes = {at: line for at, line in changes.items() if any(line)}
+    if changes:
+        lines = list(changes.values())
+        yield pd.DataFrame({"month": list(changes), "n": [x[0] for x in lines], "sums": [x[1:] for x in lines]})
+
+
+def run_monthly(
+    cases: DataFrame, persons: DataFrame, out: str, checkpoint: str, spelling: str, version: str = "0L", sign: str = "1",
+) -> StreamingQuery:
+    """Keep monthly sums current from arriving cases and people, in whatever order they arrive.
+
+    People who come before their case wait in its state; people who come later count in its month at
+    once. A case that is delivered again moves with its people to the month of its newest ``version``
+    (of equal versions, the later batch's, in one batch the later month); without a date it is in no
+    month. ``sign`` is an expression over a person row: -1 takes back a row that was delivered before.
+    A batch reads and writes the state of the cases it brings, and stores one row a month it changes.
+    """
+    events = _case_events(cases, version).unionByName(_people_events(persons, spelling, sign))
+    changes = events.groupBy("operation_id").applyInPandasWithState(_follow_case, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout)
 
     def reduce_batch(batch: DataFrame) -> DataFrame:
-        known = batch.where("date_heure_reception_alerte IS NOT NULL").join(counters, "operation_id", "left")
-        return grouped(known, BY_MONTH, *named(n=ROWS, **{s: total(c) for s, c in SUMS.items()}))
+        return grouped(batch, ["month"], *named(n=total("n"), **{s: total(f"sums[{COUNTERS.index(c)}]") for s, c in SUMS.items()}))
+
+    return run_partials(changes, reduce_batch, out, checkpoint)
+
 
-    return run_partials(cases, reduce_batch, out, checkpoint)
+def _monthly_partials(spark: SparkSession, out: str) -> DataFrame:
+    return grouped(spark.read.parquet(out), ["month"], *named(**{x: total(x) for x in ("n", *SUMS)}))
 
 
 def read_monthly(spark: SparkSession, out: str) -> DataFrame:
-    """Sums per month under the short names that the rates are computed from."""
-    return grouped(spark.read.parquet(out), list(BY_MONTH), *named(**{x: total(x) for x in ("n", *SUMS)}))
+    """Sums per month under the short names that the rates are computed from; months without a case are absent."""
+    year, month = "(month - 1) div 12", "(month - 1) % 12 + 1"
+    return _monthly_partials(spark, out).where("n > 0").selectExpr(
+        f"make_date(cast({year} AS int), cast({month} AS int), 1) AS periode", f"cast({year} AS bigint) AS annee",
+        f"cast({month} AS bigint) AS mois", "n", *SUMS)
+
+
+def compact_monthly(spark: SparkSession, out: str, target: str) -> None:
+    """:func:`compact` for monthly sums."""
+    compact(spark, _monthly_partials, out, target)
 
 
 def compact(spark: SparkSession, read: Callable[[SparkSession, str], DataFrame], out: str, target: str) -> None:
