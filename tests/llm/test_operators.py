@@ -153,9 +153,20 @@ def test_toxicity_folds_and_spares(spark, odd, nothing):
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.createDataFrame([(i, f"word{i % 97} plain text number {i * 7 % 1000} " + ("you moron" if i % 4 == 0 else "my friend")) for i in range(800)], "doc_id long, text string")
     labels = docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 AS int) AS toxic").where("doc_id < 600")
-    lexicon = toxicity.learn(docs.join(labels, "doc_id"), common.shared_folder(spark, "test"))
+    lexicon = toxicity.learn(docs, labels, common.shared_folder(spark, "test"))
     got = toxicity.score(docs.where("doc_id >= 600"), lexicon).collect()
     assert all(r["predicted"] == (r["doc_id"] % 4 == 0) for r in got)
+    again = toxicity.learn(docs.repartition(5), labels.union(labels).repartition(3), common.shared_folder(spark, "test"))
+    assert again == lexicon
+
+
+def test_learning_from_odd_labels(spark, odd, nothing):
+    folder = lambda: common.shared_folder(spark, "test")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (5, 1), (5, 1), (6, 0), (None, 1), (7, None), (99, 1)], "doc_id long, toxic int")
+    for docs, marks in ((odd, labels), (odd, labels.where("toxic = 1")), (odd, labels.limit(0)), (nothing, labels)):
+        lexicon = toxicity.learn(docs, marks, folder())
+        assert lexicon.stems == {} and 0 <= float(lexicon.score(np.zeros(1))[0]) <= 1
+        assert toxicity.score(odd, lexicon).count() == len(ODD)
 
 
 def test_licenses_of_odd_rows(spark, odd, nothing):

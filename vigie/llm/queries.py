@@ -36,7 +36,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     labels = common.read(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
-    lexicon = toxicity.learn(docs.join(labels, "doc_id"), common.shared_folder(spark, "toxicity"))
+    lexicon = toxicity.learn(docs, labels, common.shared_folder(spark, "toxicity"))
     return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

@@ -29,8 +29,6 @@ from vigie.llm import common, shingles
 
 #: At most about so many labelled rows are read for learning, chosen by a hash of their id.
 SAMPLE_ROWS = 40_000
-#: At most so many stems are weighed, those in most toxic texts first.
-CANDIDATES = 20_000
 LEAST_TEXTS = 5
 LEAST_WEIGHT = 2.5
 STEM_LENGTHS = range(4, 11)
@@ -126,16 +124,15 @@ def _stems(word: str) -> list[str]:
     return [word[:n] for n in STEM_LENGTHS if n <= len(word)]
 
 
-def _counts(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
-    """``stem, n``: texts that have a word with the stem; with ``wanted``, for these stems only."""
+def _counts(texts: DataFrame) -> DataFrame:
+    """``stem, n``: texts that have a word with the stem."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count: Counter = Counter()
             for text in batch.column(0):
                 words = set(_WORD.findall(fold(text.as_py())))
-                own = {s for w in words for s in _stems(w)}
-                count.update(own if wanted is None else own & wanted)
+                count.update({s for w in words for s in _stems(w)})
             yield pa.record_batch([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["stem", "n"])
 
     return texts.select("text").mapInArrow(work, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
@@ -154,24 +151,25 @@ def _keys(rows: DataFrame) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(work, "text string, toxic int, copy_key long")
 
 
-def choose_stems(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Weights of the stems that tell toxic texts from others.
+def telling_stems(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """``stem, n, m, weight`` of the stems that tell toxic texts (in ``n`` of them) from clean ones (``m``).
 
-    A weight is the log of the ratio of the two shares of texts, each with half a text added. Of
-    stems that begin alike, the shortest that is telling stays, grown by the letters that nearly all
-    of its texts agree on.
+    The weight is the log of the ratio of the two shares of texts, each with half a text added.
     """
-    weight = {
-        s: math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(s, 0) + 0.5) / (n_clean + 1))
-        for s, n in toxic.items() if n >= LEAST_TEXTS
-    }
-    telling = {s for s, w in weight.items() if w >= LEAST_WEIGHT and clean.get(s, 0) * 4 <= toxic[s]}
+    both = toxic.where(F.col("n") >= LEAST_TEXTS).join(clean.withColumnRenamed("n", "m"), "stem", "left").fillna(0, ["m"])
+    ratio = F.log((F.col("n") + 0.5) / (n_toxic + 1)) - F.log((F.col("m") + 0.5) / (n_clean + 1))
+    return both.withColumn("weight", ratio).where((F.col("weight") >= LEAST_WEIGHT) & (F.col("m") * 4 <= F.col("n")))
+
+
+def choose_stems(toxic: dict[str, int], weight: dict[str, float]) -> dict[str, float]:
+    """Of telling stems that begin alike, the shortest, grown by the letters that nearly all of its
+    toxic texts agree on."""
     longer: dict[str, list[str]] = {}
-    for s in telling:
+    for s in sorted(toxic):
         longer.setdefault(s[:-1], []).append(s)
     chosen: dict[str, float] = {}
     roots: set[str] = set()
-    for stem in sorted(telling, key=lambda s: (len(s), s)):
+    for stem in sorted(toxic, key=lambda s: (len(s), s)):
         if any(stem[:n] in roots for n in range(1, len(stem))):
             continue
         grown = stem
@@ -196,28 +194,32 @@ def fit_curve(rate: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def learn(labelled: DataFrame, folder: str, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
-    """A lexicon from ``doc_id, text, toxic``; rows without text or label are left out.
+def learn(documents: DataFrame, labels: DataFrame, folder: str, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
+    """A lexicon from ``doc_id, text`` and ``doc_id, toxic``; rows without id, text or label are left out.
 
-    What comes to the driver is bounded: counts of at most ``CANDIDATES`` stems, and one rate and
-    label for each sampled row. With texts of one class only the lexicon stays empty and every
-    score is the share of that class's prior.
+    The labelled ids are sampled first, by a hash, and sent to the texts while they are few, so that no
+    other text moves. Near copies of one label count once. Ids that repeat stand for each of their rows
+    and labels. All stems of the sample are weighed where they are counted; only telling ones, and one
+    rate and label a sampled row, come to the driver. With texts of one class only the lexicon stays
+    empty and every score is the share of that class's prior.
     """
-    rows = labelled.where("text IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
-    total = rows.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = common.stored(_keys(rows).dropDuplicates(["copy_key"]).select("text", "toxic"), folder, "labelled")
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    marked = marked.where("doc_id IS NOT NULL AND toxic IS NOT NULL").distinct()
+    share = min(1.0, sample_rows / max(marked.count(), 1))
+    chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = common.light(common.stored(chosen, folder, "chosen"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    rows = _keys(texts.join(chosen, "doc_id").select("text", "toxic"))
+    rows = rows.groupBy("copy_key", "toxic").agg(F.min("text").alias("text"))
+    rows = common.stored(rows.select("text", "toxic"), folder, "labelled")
     sizes = {r[0]: r[1] for r in rows.groupBy((F.col("toxic") > 0).cast("int")).count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon()
     if not n_toxic or not n_clean:
         lexicon.slope, lexicon.offset = 1.0, math.log((n_toxic + 0.5) / (n_clean + 0.5)) if n_toxic + n_clean else -1.0
         return lexicon
-    toxic = _counts(rows.where("toxic > 0"), None).where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "stem").limit(CANDIDATES)
-    toxic = {r[0]: r[1] for r in toxic.collect()}
-    clean = {r[0]: r[1] for r in _counts(rows.where("toxic <= 0"), frozenset(toxic)).collect()}
-    lexicon.stems = choose_stems(toxic, clean, n_toxic, n_clean)
+    found = telling_stems(_counts(rows.where("toxic > 0")), _counts(rows.where("toxic <= 0")), n_toxic, n_clean).collect()
+    lexicon.stems = choose_stems({r["stem"]: r["n"] for r in found}, {r["stem"]: r["weight"] for r in found})
     rates = _rates(rows.select(F.lit(0).cast("long").alias("doc_id"), "text", "toxic"), lexicon).select("rate", "toxic").collect()
     lexicon.slope, lexicon.offset = fit_curve(np.array([r[0] for r in rates]), np.array([float(r[1] > 0) for r in rates]))
     return lexicon
