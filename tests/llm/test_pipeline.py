@@ -33,35 +33,31 @@ def through(spark, docs, folder):
     return out
 
 
-def test_odd_and_empty_rows(spark, bench):
-    odd = [
-        (1, None, None, None, None), (2, "", "en", "", 0), (3, "  \n\t", "en", "b", 4), (None, sentences(1, 12), "en", "b", 1), (4, sentences(2, 12), None, None, None),
-        (5, sentences(3, 12), "en", "b", 1), (5, sentences(3, 12), "en", "b", 1), (6, sentences(4, 3000), "en", "é", 1), (7, "x" * 40_000, "en", "é", 1),
-    ]
-    for rows in (odd, []):
-        docs = spark.createDataFrame(rows, SCHEMA)
-        found = through(spark, docs, bench)
-        assert all(found[n].columns == docs.columns for n, _ in corpus_pipeline.STAGES[:-1])
-        assert found["token output"].count() == found["mixing"].count()
-    assert {1, 2, 3}.isdisjoint(r["doc_id"] for r in found["quality rules"].collect())
-
-
-def test_decisions_take_effect(spark, bench):
+ODD = [
+    (1001, None, None, None, None), (1002, "", "en", "", 0), (1003, "  \n\t", "en", "b", 4), (None, sentences(1, 12), "en", "b", 1),
+    (1004, sentences(2, 12), None, None, None), (1005, sentences(3, 12), "en", "b", 1), (1005, sentences(3, 12), "en", "b", 1),
+    (1006, sentences(4, 3000), "en", "é", 1), (1007, "x" * 40_000, "en", "é", 1),
+]
+
+
+def test_decisions_take_effect_beside_odd_rows(spark, bench):
     clean = [(i, sentences(100 + i, 14), "en", "abc"[i % 3], 0) for i in range(30)]
     copy = [(40, clean[0][1] + " Ending here.", "en", "a", 0), (41, clean[1][1], "en", "b", 0)]
     leaked = [(50, f"{sentences(200, 8)} {sentences(77, 4)} {sentences(201, 8)}", "en", "a", 0)]
     junk = [(60, "### $$$ %%% " * 40, "en", "a", 0), (61, "too short", "en", "a", 0)]
-    found = through(spark, spark.createDataFrame([*clean, *copy, *leaked, *junk], SCHEMA), bench)
+    docs = spark.createDataFrame([*clean, *copy, *leaked, *junk, *ODD], SCHEMA)
+    found = through(spark, docs, bench)
     ids = {name: {r["doc_id"] for r in df.select("doc_id").collect()} for name, df in found.items()}
-    every = {r[0] for r in clean}
-    assert ids["quality rules"] == every | {40, 41, 50}
-    assert ids["near-dedup"] == every | {50}
-    assert ids["decontamination"] == every
+    every, others = {r[0] for r in clean}, {None, 1004, 1005, 1006}
+    assert ids["quality rules"] - {1007} == every | others | {40, 41, 50}
+    assert ids["near-dedup"] - {1007} == every | others | {50}
+    assert ids["decontamination"] - {1007} == every | others
     sizes = {r["doc_id"]: r["n_chars"] for r in found["quality rules"].collect()}
     assert all(sizes[i] == len(text) for i, text, *_ in clean)
-    assert found["token output"].count() == found["mixing"].count() and ids["mixing"] <= every
+    assert all(found[n].columns == docs.columns for n, _ in corpus_pipeline.STAGES[:-1])
+    assert found["token output"].count() == found["mixing"].count() and ids["mixing"] <= ids["decontamination"]
 
 
-def test_run_returns_the_last_stage(spark, sf_dir):
-    rows = corpus_pipeline.run(spark, sf_dir)
-    assert {"doc_id", "start", "n_tokens", "ids_crc32"} <= set(rows.columns) and rows.count() > 0
+def test_empty_table(spark, bench):
+    found = through(spark, spark.createDataFrame([], SCHEMA), bench)
+    assert all(df.count() == 0 for df in found.values())
