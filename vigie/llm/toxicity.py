@@ -48,7 +48,8 @@ EXCEPTIONS = (
     "weltschmerz",
 )
 _FOREIGN = regex.compile(r"[ıɑɡͰ-ϿЀ-ԯⅠ-ⅿ＀-￯​-‏­⁠﻿]")
-_DISGUISED = regex.compile(r"[\p{L}0-9@$!]*[\p{L}][0-9@$!]+[\p{L}0-9@$!]*|[0-9@$!]+[\p{L}][\p{L}0-9@$!]*")
+#: A run of letters and signs that has both; looked for at the start of runs only, so long runs cost one pass.
+_DISGUISED = regex.compile(r"(?<![\p{L}0-9@$!])(?:\p{L}++[0-9@$!]|[0-9@$!]++\p{L})[\p{L}0-9@$!]*+")
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _TABLE = str.maketrans(
     LOOK_ALIKES
