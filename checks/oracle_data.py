@@ -295,6 +295,7 @@ DATA = {
     "stream_monthly_kpi": _SQL["kpi_securite_mensuel"],
 }
 
+DATA["audit_retention_days"] = DATA["audit_retention"]
 DATA["batch_upsert_deltas"] = DATA["batch_upsert"]
 DATA["delete_cascade_deltas"] = DATA["delete_cascade"]
 

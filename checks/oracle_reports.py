@@ -100,6 +100,8 @@ REPORTS = {
  FROM base WHERE de > 0 OR di > 0 ORDER BY total_victimes DESC, {A} DESC NULLS FIRST, operation_id LIMIT 50"""),
     "q_search": base(f"SELECT {LISTED} FROM base WHERE type_operation = 'SAR' AND {A} >= {D0} AND im >= 3 AND (de > 0 OR di > 0) {NEWEST} LIMIT 40 OFFSET 15"),
     "q_search_default": base(f"SELECT {LISTED} FROM base {NEWEST} LIMIT 100"),
+    "q_search_cursor": base(f"SELECT {LISTED} FROM base WHERE type_operation = 'SAR' {NEWEST} LIMIT 50 OFFSET 120"),
+    "q_page_ordered": with_(f"SELECT operation_id, {A}, mer_force FROM ops {NEWEST} LIMIT 60 OFFSET 30", OPS),
     "q_operations_export": base(f"SELECT {EXTRACT} FROM base"),
     "q_operations_export_cross": base(f"SELECT {EXTRACT} FROM base WHERE \"cross\" = 'Corse' AND {PERIOD}"),
     "q_audit_logs": with_("""SELECT * FROM au WHERE operation_type = 'UPDATE' AND user_id ILIKE '%user_1%' AND "timestamp" >= TIMESTAMP '2024-01-10'

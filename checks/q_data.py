@@ -1,5 +1,6 @@
 """Registered sources, sinks, quality rules, loading, change capture, joins and streams."""
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from vigie.plans import etl, incremental, registry
 from vigie.plans import reports as R
 from vigie.plans import views as V
 from vigie.session import work_folder
-from vigie.sources import deltas, files, sinks, versions
+from vigie.sources import daily_log, deltas, files, sinks, versions
 from vigie.sources.dataset import FolderData, FrameData
 from vigie.sources.star import StarData, audit_projection, person_projection
 from vigie.streaming import jobs
@@ -413,6 +414,15 @@ def retained(spark, sf_dir) -> DataFrame:
     return C.retain(log, 20, "2024-02-01 00:00:00").select("id", "table_name", "operation_type", "new_values", "timestamp")
 
 
+def retained_days(spark, sf_dir) -> DataFrame:
+    """Two appends of the log by day, then one retention."""
+    root, log = work_folder(spark, "log"), StarData(spark, sf_dir).audit()
+    daily_log.append(log.where("id % 3 = 0"), root)
+    daily_log.append(log.where("id % 3 <> 0"), root)
+    daily_log.retain(spark, root, datetime(2024, 2, 1), 20)
+    return daily_log.read(spark, root).select("id", "table_name", "operation_type", "new_values", "timestamp")
+
+
 def orphaned(spark, sf_dir) -> DataFrame:
     data = StarData(spark, sf_dir)
     parents = data.cases("operation_id", "est_dans_stm").where("NOT est_dans_stm")
@@ -540,6 +550,7 @@ DATA = {
     "delete_cascade": cascaded,
     "delete_cascade_deltas": stored_cascade,
     "audit_retention": retained,
+    "audit_retention_days": retained_days,
     "fk_orphans": orphaned,
     "create_with_relations": related,
     "join_range_selfjoin": range_join,

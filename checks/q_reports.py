@@ -9,6 +9,8 @@ from vigie.plans import frames as P
 from vigie.plans import reports as R
 from vigie.plans import view_queries as Q
 from vigie.plans import views as V
+from vigie.session import work_folder
+from vigie.sources import ordered
 from vigie.sources.star import StarData
 
 D0, D1 = "1996-03-01", "1998-06-30"
@@ -24,6 +26,20 @@ def frame(report, *args, **options):
     return lambda spark, sf_dir: report(P.case_frame(StarData(spark, sf_dir), start="1997-01-01"), *args, **options)
 
 
+def stored_cases(data, *columns):
+    root = work_folder(data.spark, "ordered")
+    ordered.save(data.cases("operation_id", ALERT, *columns), root, "operations", ALERT, "operation_id", 32)
+    return ordered.opened(data.spark, root, "operations", ALERT, "operation_id")
+
+
+def searched_on(spark, sf_dir):
+    """The search page after the cursor of the one before."""
+    data = StarData(spark, sf_dir)
+    stored = stored_cases(data, "type_operation", "cross", "departement")
+    first = R.next_cases(data, stored, None, 120, kind="SAR")
+    return R.next_cases(data, stored, ordered.cursor_of(first, ALERT, "operation_id"), 50, kind="SAR")
+
+
 def after(source, report, **options):
     """A page table on top of another report."""
     return lambda spark, sf_dir: report(source(StarData(spark, sf_dir)), **options)
@@ -109,6 +125,8 @@ REPORTS = {
     "q_page": lambda spark, sf_dir: R.table_page(
         StarData(spark, sf_dir).cases("operation_id", ALERT, "mer_force"), 30, 60, ALERT, "operation_id"
     ),
+    "q_page_ordered": lambda spark, sf_dir: stored_cases(StarData(spark, sf_dir), "mer_force").page(30, 60),
+    "q_search_cursor": searched_on,
     "q_count": lambda spark, sf_dir: R.row_count(StarData(spark, sf_dir).persons()),
     "q_op_search_count": on(R.case_page_with_count, 20, 50, kind="MAS", department="MACHINERY", start=D0),
     "q_distinct_values": lambda spark, sf_dir: R.distinct_values(StarData(spark, sf_dir).cases("evenement"), "evenement"),

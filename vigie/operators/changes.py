@@ -95,6 +95,17 @@ def delete_cases(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str, Dat
     return {name: df.join(ids, "operation_id", "left_anti") for name, df in tables.items()}
 
 
+def retention_note(removed: DataFrame, days: int, anchor: datetime | str) -> DataFrame:
+    """The entry that says how many entries (``n``) a retention removed."""
+    return removed.selectExpr(
+        "cast(NULL AS bigint) AS id", "'audit_log' AS table_name", "'ETL_LOAD' AS operation_type",
+        "cast(NULL AS bigint) AS record_id", "cast(NULL AS string) AS old_values",
+        f"to_json(named_struct('action', 'cleanup', 'deleted_rows', n, 'retention_days', {int(days)})) AS new_values",
+        "cast(NULL AS array<string>) AS changed_fields", "'system' AS user_id",
+        f"cast({quoted(str(anchor))} AS timestamp_ntz) AS `timestamp`",
+    )
+
+
 def retain(log: DataFrame, days: int = 90, anchor: datetime | str = "") -> DataFrame:
     """The log without entries older than ``days`` before ``anchor``, plus one row saying so.
 
@@ -102,13 +113,7 @@ def retain(log: DataFrame, days: int = 90, anchor: datetime | str = "") -> DataF
     """
     edge = f"cast({quoted(str(anchor))} AS timestamp_ntz) - make_dt_interval({int(days)})"
     removed = log.where(f"`timestamp` < {edge}").agg(F.expr("cast(count(1) AS bigint)").alias("n")).where("n > 0")
-    note = removed.selectExpr(
-        "cast(NULL AS bigint) AS id", "'audit_log' AS table_name", "'ETL_LOAD' AS operation_type",
-        "cast(NULL AS bigint) AS record_id", "cast(NULL AS string) AS old_values",
-        f"to_json(named_struct('action', 'cleanup', 'deleted_rows', n, 'retention_days', {int(days)})) AS new_values",
-        "cast(NULL AS array<string>) AS changed_fields", "'system' AS user_id",
-        f"cast({quoted(str(anchor))} AS timestamp_ntz) AS `timestamp`",
-    )
+    note = retention_note(removed, days, anchor)
     return log.where(f"coalesce(`timestamp` >= {edge}, true)").unionByName(note.select(*log.columns))
 
 

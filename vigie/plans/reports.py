@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from vigie.operators.counters import attach_counters, attach_counters_to_few, ca
 from vigie.operators.paging import largest, page, smallest, top
 from vigie.operators.rollup import ALERT, BY_YEAR, active_only, dated_cases, grouped, roll_up
 from vigie.operators.series import share_of_total
+from vigie.sources import ordered
 from vigie.sources.dataset import RescueData
 
 _TOLL = {
@@ -196,6 +199,16 @@ def search_cases(
     return page(counted.select(*shown), offset, limit, *order)
 
 
+def next_cases(data: RescueData, stored: ordered.Ordered, after: ordered.Cursor | None = None, limit: int = 100, centre=None, kind=None, department=None) -> DataFrame:
+    """The search page that follows a cursor, from cases in ordered storage; only its cases' people are summed."""
+    chosen = {"cross": centre, "type_operation": kind, "departement": department}
+    wanted = reduce(lambda a, b: a & b, [F.col(c) == v for c, v in chosen.items() if v], F.lit(True))
+    few = stored.after(after, limit, wanted).select("operation_id", ALERT, "type_operation", "cross", "departement")
+    return attach_counters_to_few(data, few).select(
+        *few.columns, "nombre_impliques", "nombre_saines_sauves", "nombre_decedes", "nombre_disparus"
+    ).orderBy(largest(ALERT), smallest("operation_id"))
+
+
 def case_extract(data: RescueData, centre=None, start=None, end=None, limit: int | None = None) -> DataFrame:
     """All cases with their counters, or the newest ``limit`` of them."""
     columns = ["operation_id", ALERT, "type_operation", "sous_type_operation", "cross", "departement", "latitude", "longitude"]
