@@ -2,13 +2,14 @@
 
 Lines are parsed into a tree of fixed depth: number of words, then the leading words, in which
 anything with a digit is a variable. The lines of a leaf share a template where they agree: at each
-place, a word stays if it stands there in enough documents of the leaf, and becomes a variable
-otherwise. A line with too few words left is its own template. Templates that recur in enough
-documents are boilerplate, and their lines are dropped everywhere.
+place, a word stays if it stands there in a share of the leaf's documents, and becomes a variable
+otherwise, so a template is the same in a hundred documents and in a million. A line with too few
+words left is its own template. Templates that recur in enough documents are boilerplate, and their
+lines are dropped everywhere; the longer a line, the fewer documents are enough.
 
 Leaves are counted, never gathered: equal lines become one row with its number of documents before
 words are looked at, and words are counted by (leaf, place, word). Texts are parsed once into a
-table of lines, and once more when lines are dropped.
+table of digests, again for the words of leaves that hold several lines, and when lines are dropped.
 """
 
 from __future__ import annotations
@@ -26,11 +27,14 @@ from vigie.llm import common
 
 DEPTH = 3
 LEAST_DOCUMENTS = 5
+#: From so many words on, a line needs no more documents than these.
+FEWER = ((50, 2), (20, 3))
+WORD_SHARE = 0.1
 CONSTANT_SHARE = 0.6
 VARIABLE = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 TEXTS_AT_ONCE = 256
-LINES = "doc_id long, text_key binary, place int, leaf long, mark binary, line string"
+LINES = "doc_id long, text_key binary, place int, leaf long, mark binary, size int"
 
 
 def masked(line: bytes) -> list[bytes]:
@@ -51,11 +55,11 @@ def _leaf(words: list[bytes], depth: int) -> int:
 
 
 def _parsed(documents: DataFrame, depth: int) -> DataFrame:
-    """A row for each line with a word: its text's digest, its leaf, and its masked words with their digest."""
+    """A row for each line with a word: its text's digest, its leaf, and the digest and number of its masked words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in LINES.split(", ")]
-        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.string()]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int32()]
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 some = batch.slice(at, TEXTS_AT_ONCE)
@@ -66,8 +70,7 @@ def _parsed(documents: DataFrame, depth: int) -> DataFrame:
                     for place, line in enumerate(data.split(b"\n")):
                         words = masked(line)
                         if words:
-                            joined = b" ".join(words)
-                            rows.append((doc_id, key, place, _leaf(words, depth), digest(joined), joined.decode()))
+                            rows.append((doc_id, key, place, _leaf(words, depth), digest(b" ".join(words)), len(words)))
                 columns = zip(*rows) if rows else [[]] * len(names)
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -75,31 +78,66 @@ def _parsed(documents: DataFrame, depth: int) -> DataFrame:
     return texts.mapInArrow(work, LINES)
 
 
-def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_documents: int = LEAST_DOCUMENTS, constant_share: float = CONSTANT_SHARE) -> DataFrame:
+def _lines_of(documents: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
+    """The distinct lines ``leaf, mark, line`` (masked) of the given leaves; their number is counted first."""
+    few = common.small_enough(leaves.count(), 8)
+    wanted = documents.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in leaves.toLocalIterator())) if few else None
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                found = {}
+                for text in batch.column(0).slice(at, TEXTS_AT_ONCE):
+                    for line in text.as_py().split(b"\n"):
+                        words = masked(line)
+                        if words:
+                            leaf = _leaf(words, depth)
+                            if wanted is None or leaf in wanted.value:
+                                found[leaf, b" ".join(words)] = None
+                leaf, line = zip(*found) if found else ((), ())
+                columns = [pa.array(leaf, pa.int64()), pa.array(map(digest, line), pa.binary()), pa.array([x.decode() for x in line], pa.string())]
+                yield pa.record_batch(columns, ["leaf", "mark", "line"])
+
+    texts = documents.where("text IS NOT NULL AND doc_id IS NOT NULL").select(F.col("text").cast("binary").alias("text"))
+    lines = texts.mapInArrow(work, "leaf long, mark binary, line string")
+    return (lines if few else lines.join(leaves, "leaf", "left_semi")).dropDuplicates(["leaf", "mark"])
+
+
+def recurring(
+    documents: DataFrame, folder: str, depth: int = DEPTH, least_documents: int = LEAST_DOCUMENTS, constant_share: float = CONSTANT_SHARE,
+    word_share: float = WORD_SHARE, fewer: tuple[tuple[int, int], ...] = FEWER,
+) -> DataFrame:
     """``leaf, mark, template, documents``: lines (by the digest of their masked words) that are to go.
 
-    Only rows with an id count as documents; a document counts once, however often it has a line.
-    Lines without a word are never templates.
+    A line goes if its template is in ``least_documents``, or in those that ``fewer`` asks of its number
+    of words. A word is a constant of its place if as many documents, and ``word_share`` of the leaf's,
+    have it there. Only rows with an id count as documents; a document counts once, however often it has
+    a line. Lines without a word are never templates.
     """
+    least = F.lit(least_documents)
+    for words, documents_of in sorted(fewer):
+        least = F.when(F.col("size") >= words, min(documents_of, least_documents)).otherwise(least)
     lines = common.stored(_parsed(documents, depth), folder, "parsed").where("doc_id IS NOT NULL")
-    parsed = lines.select("leaf", "mark", "doc_id")
 
     # Leaves with enough documents, then their distinct lines.
-    busy = parsed.select("leaf", "doc_id").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= least_documents)
-    busy = common.light(common.stored(busy.select("leaf"), folder, "busy"))
-    seen = common.stored(parsed.join(busy, "leaf", "left_semi").distinct(), folder, "seen")
-    marks = seen.groupBy("leaf", "mark").agg(F.count("*").alias("n"))
+    busy = lines.select("leaf", "size", "doc_id").distinct().groupBy("leaf", "size").agg(F.count("*").alias("in_leaf"))
+    busy = busy.select("leaf", "in_leaf", least.alias("least")).where("in_leaf >= least")
+    busy = common.light(common.stored(busy, folder, "busy"), 24)
+    seen = common.stored(lines.select("leaf", "mark", "doc_id").join(busy, "leaf", "left_semi").distinct(), folder, "seen")
+    marks = seen.groupBy("leaf", "mark").agg(F.count("*").alias("n")).join(busy, "leaf")
     several = marks.groupBy("leaf").agg(F.count("*").alias("kinds")).where("kinds > 1").select("leaf")
-    several = common.light(common.stored(several, folder, "several"))
-    literal = marks.join(several, "leaf", "left_anti").where(F.col("n") >= least_documents).select(
+    several = common.stored(several, folder, "several")
+    texts = _lines_of(documents, several, depth)
+    several = common.light(several)
+    literal = marks.join(several, "leaf", "left_anti").where("n >= least").select(
         "leaf", "mark", F.col("mark").alias("template"), F.col("n").alias("documents"))
 
     # Where a leaf has several lines, a word stays if enough of its documents have it there.
-    texts = lines.join(several, "leaf", "left_semi").select("leaf", "mark", "line").dropDuplicates(["leaf", "mark"])
-    texts = texts.join(marks, ["leaf", "mark"]).select("leaf", "mark", "n", F.split("line", " ").alias("words"))
+    texts = texts.join(marks, ["leaf", "mark"]).select("leaf", "mark", "n", "in_leaf", "least", F.split("line", " ").alias("words"))
     texts = common.stored(texts, folder, "texts")
-    placed = texts.select("leaf", "mark", F.size("words").alias("size"), "n", F.posexplode("words").alias("place", "word"))
-    common_words = placed.groupBy("leaf", "place", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_documents)
+    placed = texts.select("leaf", "mark", F.size("words").alias("size"), "n", "in_leaf", "least", F.posexplode("words").alias("place", "word"))
+    common_words = placed.groupBy("leaf", "place", "word", "in_leaf", "least").agg(F.sum("n").alias("n"))
+    common_words = common_words.where((F.col("n") >= F.col("least")) & (F.col("n") >= word_share * F.col("in_leaf")))
     common_words = common.stored(common_words.select("leaf", "place", "word"), folder, "words")
     stays = placed.join(common_words.withColumn("stays", F.lit(True)), ["leaf", "place", "word"], "left")
     held = stays.groupBy("leaf", "mark", "size").agg(
@@ -114,7 +152,8 @@ def recurring(documents: DataFrame, folder: str, depth: int = DEPTH, least_docum
     counted = (
         seen.join(several, "leaf", "left_semi").join(templates, ["leaf", "mark"])
         .select("leaf", "template", "doc_id").distinct()
-        .groupBy("leaf", "template").agg(F.count("*").alias("documents")).where(F.col("documents") >= least_documents)
+        .groupBy("leaf", "template").agg(F.count("*").alias("documents")).join(busy, "leaf").where("documents >= least")
+        .select("leaf", "template", "documents")
     )
     general = templates.join(counted, ["leaf", "template"]).select("leaf", "mark", "template", "documents")
     return common.stored(literal.union(general), folder, "recurring")
