@@ -8,8 +8,9 @@ words left is its own template. Templates that recur in enough documents are boi
 lines are dropped everywhere; the longer a line, the fewer documents are enough.
 
 Leaves are counted, never gathered: equal lines become one row with its number of documents before
-words are looked at, and words are counted by (leaf, place, word). Texts are parsed once into a
-table of digests, again for the words of leaves that hold several lines, and when lines are dropped.
+words are looked at, words are counted by leaf and place, and a leaf's constants go to its distinct
+lines as one list. Texts are parsed once into a table of digests, again for the words of leaves that
+hold several lines, and when lines are dropped.
 """
 
 from __future__ import annotations
@@ -133,21 +134,17 @@ def recurring(
         "leaf", "mark", F.col("mark").alias("template"), F.col("n").alias("documents"))
 
     # Where a leaf has several lines, a word stays if enough of its documents have it there.
-    texts = texts.join(marks, ["leaf", "mark"]).select("leaf", "mark", "n", "in_leaf", "least", F.split("line", " ").alias("words"))
+    texts = texts.join(marks, ["leaf", "mark"]).select("leaf", "mark", "n", F.split("line", " ").alias("words"))
     texts = common.stored(texts, folder, "texts")
-    placed = texts.select("leaf", "mark", F.size("words").alias("size"), "n", "in_leaf", "least", F.posexplode("words").alias("place", "word"))
-    common_words = placed.groupBy("leaf", "place", "word", "in_leaf", "least").agg(F.sum("n").alias("n"))
-    common_words = common_words.where((F.col("n") >= F.col("least")) & (F.col("n") >= word_share * F.col("in_leaf")))
-    common_words = common.stored(common_words.select("leaf", "place", "word"), folder, "words")
-    stays = placed.join(common_words.withColumn("stays", F.lit(True)), ["leaf", "place", "word"], "left")
-    held = stays.groupBy("leaf", "mark", "size").agg(
-        F.count("stays").alias("constants"),
-        # One number for the template: the sum of its constants' hashes, whatever the order of the rows.
-        F.sum(F.when(F.col("stays"), F.xxhash64("place", "word").cast("decimal(38,0)"))).alias("code"),
-        F.sum(F.when(F.col("stays"), F.xxhash64("word", F.lit("second"), "place").cast("decimal(38,0)"))).alias("code2"),
-    )
-    pattern = F.unhex(F.md5(F.concat_ws(" ", "code", "code2", "size").cast("binary")))
-    template = F.when(F.col("constants") >= F.col("size") * constant_share, pattern).otherwise(F.col("mark"))
+    codes = F.transform("words", lambda word, place: F.xxhash64(place, word))
+    counts = texts.select("leaf", "n", F.explode(codes).alias("code")).groupBy("leaf", "code").agg(F.sum("n").alias("n"))
+    counts = counts.join(busy, "leaf").where((F.col("n") >= F.col("least")) & (F.col("n") >= word_share * F.col("in_leaf")))
+    # Each word needs its share of the leaf, so a place of a line has few of them.
+    constants = counts.groupBy("leaf").agg(F.collect_list("code").alias("constants"))
+    own = F.array_intersect(codes, F.coalesce("constants", F.array().cast("array<long>")))
+    held = texts.join(constants, "leaf", "left").select("leaf", "mark", F.size("words").alias("size"), own.alias("own"))
+    pattern = F.unhex(F.md5(F.concat_ws(" ", F.col("own").cast("array<string>"), F.col("size").cast("string")).cast("binary")))
+    template = F.when(F.size("own") >= F.col("size") * constant_share, pattern).otherwise(F.col("mark"))
     templates = common.stored(held.select("leaf", "mark", template.alias("template")), folder, "templates")
     counted = (
         seen.join(several, "leaf", "left_semi").join(templates, ["leaf", "mark"])
