@@ -1,16 +1,17 @@
 """Token ids in files compressed by pair grammars.
 
 Documents are dealt into shards by ranges of their id and sorted, and every shard writes blocks of
-whole documents. A block is a grammar in the manner of Re-Pair: each round replaces the frequent
-pairs of neighbouring ids by nonterminals. A round takes, from the most frequent pair down, all
-pairs whose left ids are no pair's right id and the other way round: such pairs cannot overlap,
-so the whole round is one pass over arrays. Rules are kept with the length they expand to, so any
+whole documents. A block is a grammar in the manner of Re-Pair: rounds replace the frequent pairs of
+neighbouring ids by nonterminals until no pair is frequent. A round takes, from the most frequent pair
+down, all pairs whose left ids are no pair's right id and the other way round: such pairs cannot
+overlap, so the whole round is one pass over arrays. In a run of equal ids, pairs are taken from left
+to right, and an id that is paired with itself is in no other pair of its round. Rules are kept with the length they expand to, so any
 range of ids is decoded without touching the rest of its block.
 
 Files are Parquet in the folder given: ``shard, block, before`` (ids of the shard that stand before
 the block), ``n_ids``, ``doc_ids`` and ``ends`` (per document, the end of its ids in the block),
-and the grammar: ``lefts, rights, lengths`` (little-endian 32-bit) and ``ids``. Ids from ``BASE`` on
-are nonterminals. A shard is written by one task and can be written again.
+and the grammar: ``base``, ``lefts, rights, lengths`` (little-endian 32-bit) and ``ids``. Ids from
+``base`` on, the size of the vocabulary, are nonterminals. A shard is written by one task and can be written again.
 """
 
 from __future__ import annotations
@@ -30,79 +31,80 @@ from pyspark.sql import functions as F
 from vigie.llm import common
 from vigie.llm.chunks import Remembered, blank_of, kept
 
+#: Where no vocabulary is given, ids are below this.
 BASE = 1 << 16
 BLOCK_IDS = 1 << 18
-ROUNDS = 6
 LEAST_PAIRS = 16
-MOST_RULES = 2048
 END_ID = 0
 
 BLOCKS = (
     "shard int, block int, before long, n_ids long, doc_ids array<long>, ends array<long>,"
-    " lefts binary, rights binary, lengths binary, ids binary"
+    " base long, lefts binary, rights binary, lengths binary, ids binary"
 )
 
 
-def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, and left side, right side and expanded length of each rule."""
+def compress(ids: np.ndarray, base: int = BASE, least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, and left side, right side and expanded length of each rule; plain ids are below ``base``."""
     seq = ids.astype(np.uint32)
     lefts, rights = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
-    lengths = np.empty(0, np.uint32)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+    size = np.ones(base, np.uint32)
+    while len(seq) > 1:
+        # Every second pair of a run of equal ids; of other pairs, all.
+        same = seq[1:] == seq[:-1]
+        place = np.arange(len(same))
+        run = np.maximum.accumulate(np.where(same, 0, place + 1))  # where the run that a place is in begins
+        at = np.flatnonzero(~same | ((place - run) % 2 == 0))
+        pairs = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
         found, counts = np.unique(pairs, return_counts=True)
-        often = np.flatnonzero(counts >= LEAST_PAIRS)
-        role = np.zeros(BASE + len(lengths), np.int8)  # 1: a pair's left id, 2: a right id
+        often = np.flatnonzero(counts >= least)
+        if not len(often):
+            break
+        role = np.zeros(len(size), np.int8)  # 1: a pair's left id, 2: a right id, 3: both sides of one pair
         chosen = []
         for pair in found[often[np.lexsort((often, -counts[often]))]].tolist():
             a, b = pair >> 32, pair & 0xFFFFFFFF
-            if a != b and role[a] != 2 and role[b] != 1:
+            if a == b and role[a] == 0:
+                role[a] = 3
+                chosen.append(pair)
+            elif a != b and role[a] < 2 and role[b] in (0, 2):
                 role[a], role[b] = 1, 2
                 chosen.append(pair)
-                if len(chosen) == MOST_RULES:
-                    break
-        if not chosen:
-            break
         picked = np.sort(np.array(chosen, np.uint64))
-        at = np.flatnonzero((role[seq[:-1]] == 1) & (role[seq[1:]] == 2))
-        rule = np.searchsorted(picked, pairs[at])
+        rule = np.searchsorted(picked, pairs)
         rule[rule == len(picked)] = 0
-        hit = picked[rule] == pairs[at]
+        hit = picked[rule] == pairs
         at, rule = at[hit], rule[hit]
         left, right = (picked >> np.uint64(32)).astype(np.uint32), (picked & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        seq[at] = (BASE + len(lengths) + rule).astype(np.uint32)
+        seq[at] = (len(size) + rule).astype(np.uint32)
         seq = np.delete(seq, at + 1)
-        size = np.concatenate([np.ones(BASE, np.uint32), lengths])
-        lengths = np.concatenate([lengths, size[left] + size[right]])
+        size = np.concatenate([size, size[left] + size[right]])
         lefts.append(left)
         rights.append(right)
-    return seq, np.concatenate(lefts), np.concatenate(rights), lengths
+    return seq, np.concatenate(lefts), np.concatenate(rights), size[base:]
 
 
-def expand(seq: np.ndarray, lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+def expand(seq: np.ndarray, lefts: np.ndarray, rights: np.ndarray, base: int = BASE) -> np.ndarray:
     """The plain ids of a grammar sequence."""
     while True:
-        inner = seq >= BASE
+        inner = seq >= base
         if not inner.any():
             return seq
         at = np.cumsum(inner) - inner + np.arange(len(seq))
         out = np.empty(len(seq) + int(inner.sum()), np.uint32)
-        rule = seq[inner] - np.uint32(BASE)
+        rule = seq[inner] - np.uint32(base)
         out[at[~inner]] = seq[~inner]
         out[at[inner]] = lefts[rule]
         out[at[inner] + 1] = rights[rule]
         seq = out
 
 
-def expand_range(seq: np.ndarray, lefts: np.ndarray, rights: np.ndarray, lengths: np.ndarray, start: int, stop: int) -> np.ndarray:
+def expand_range(seq: np.ndarray, lefts: np.ndarray, rights: np.ndarray, lengths: np.ndarray, start: int, stop: int, base: int = BASE) -> np.ndarray:
     """Plain ids ``start`` to ``stop`` of a block: only the sequence entries over them are expanded."""
-    size = np.concatenate([np.ones(BASE, np.int64), lengths.astype(np.int64)])[seq]
+    size = np.concatenate([np.ones(base, np.int64), lengths.astype(np.int64)])[seq]
     ends = np.cumsum(size)
     first, last = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left")
     offset = int(ends[first] - size[first]) if first < len(seq) else 0
-    return expand(seq[first:last + 1], lefts, rights)[start - offset:stop - offset]
+    return expand(seq[first:last + 1], lefts, rights, base)[start - offset:stop - offset]
 
 
 class Encoder:
@@ -124,7 +126,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.chunks = Remembered(self._encode, remembered)
         # A byte-level vocabulary writes one character for each byte; added tokens are plain text.
-        self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True) + 1, np.int64)
+        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=END_ID) + 1
+        self.n_bytes = np.zeros(self.size, np.int64)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.n_bytes[number] = len(token)
         for number, token in self.tokenizer.get_added_tokens_decoder().items():
@@ -177,9 +180,9 @@ def write_store(documents: DataFrame, path: str, folder: str) -> None:
         end_id = np.array([END_ID], "<u4").tobytes()
 
         def full() -> pa.RecordBatch:
-            seq, lefts, rights, lengths = compress(np.frombuffer(b"".join(held), "<u4"))
-            columns = [[shard], [block], [before], [size], [ids], [ends], *([a.astype("<u4").tobytes()] for a in (lefts, rights, lengths, seq))]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * 4]
+            seq, lefts, rights, lengths = compress(np.frombuffer(b"".join(held), "<u4"), encoder.size)
+            columns = [[shard], [block], [before], [size], [ids], [ends], [encoder.size], *([a.astype("<u4").tobytes()] for a in (lefts, rights, lengths, seq))]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), *[pa.binary()] * 4]
             names = [part.split()[0] for part in BLOCKS.split(", ")]
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -214,8 +217,9 @@ def read_store(spark: SparkSession, folder: str, with_ids: bool = False) -> Data
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, before, ids, ends, lefts, rights, seq = (batch.column(n)[row].as_py() for n in ("shard", "before", "doc_ids", "ends", "lefts", "rights", "ids"))
-                plain = expand(*(np.frombuffer(x, "<u4") for x in (seq, lefts, rights)))
+                shard, before, ids, ends, base, lefts, rights, seq = (
+                    batch.column(n)[row].as_py() for n in ("shard", "before", "doc_ids", "ends", "base", "lefts", "rights", "ids"))
+                plain = expand(*(np.frombuffer(x, "<u4") for x in (seq, lefts, rights)), base)
                 data, starts = memoryview(plain.astype("<u4").tobytes()), [0, *ends[:-1]]
                 columns = [
                     pa.array(ids, pa.int64()), pa.array([shard] * len(ids), pa.int32()),
@@ -233,7 +237,7 @@ def read_store(spark: SparkSession, folder: str, with_ids: bool = False) -> Data
     if common.small_enough(shards.count(), 16):
         shards = F.broadcast(shards)
     return (
-        blocks.select("shard", "before", "doc_ids", "ends", "lefts", "rights", "ids").mapInArrow(work, schema)
+        blocks.select("shard", "before", "doc_ids", "ends", "base", "lefts", "rights", "ids").mapInArrow(work, schema)
         .join(shards, "shard")
         .select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
     )
