@@ -243,6 +243,8 @@ DATA = {
     "sink_export_bundle": counts_of(BUNDLE),
     "sink_materialize_refresh": counts_of(STORED) + f""" UNION ALL SELECT 'case_facts', {N} FROM orders
  UNION ALL SELECT 'category_facts', {N} FROM (SELECT DISTINCT l_orderkey, l_partkey % 11 FROM lineitem)""",
+    "sink_facts_by_case_vessels": _SQL["kpi_flotteurs_analyse"],
+    "sink_facts_by_case_map": _SQL["kpi_carte_operations"],
     "sink_incremental_refresh": _SQL["kpi_securite_mensuel"],
     "sink_incremental_durations": f"SELECT cross_name, duree_moyenne_heures, duree_mediane_heures, duree_min_heures, duree_max_heures FROM ({_SQL['kpi_cross_benchmark']})",
     "etl_merge_stats": with_("""SELECT a.operation_id, a.type_operation, e.est_jour_ferie, e.phase_journee, e.maree_coefficient

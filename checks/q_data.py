@@ -231,6 +231,17 @@ def materialized(spark, sf_dir) -> DataFrame:
     return C.table_counts({n: registry.stored_report(spark, root, n) for n in names})
 
 
+def refreshed_by_case(report):
+    """A report with its parameters over the bucketed facts of a refresh."""
+
+    def query(spark, sf_dir) -> DataFrame:
+        data, root = StarData(spark, sf_dir), work_folder(spark, "facts")
+        registry.refresh(data, root, ["v_kpi_annuel"], buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return report(registry.stored_facts(data, root))
+
+    return query
+
+
 # --- loading ----------------------------------------------------------------
 ENRICHED = ["operation_id", "est_jour_ferie", "phase_journee", "maree_coefficient"]
 
@@ -528,6 +539,8 @@ DATA = {
     "sink_view_export": lambda s, d: registry.export(StarData(s, d), "v_kpi_yoy_comparison"),
     "sink_export_bundle": bundle,
     "sink_materialize_refresh": materialized,
+    "sink_facts_by_case_vessels": refreshed_by_case(V.vessel_analysis),
+    "sink_facts_by_case_map": refreshed_by_case(V.case_map),
     "sink_incremental_refresh": incremental_months,
     "sink_incremental_durations": incremental_durations,
     "etl_merge_stats": merged,

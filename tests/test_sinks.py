@@ -106,6 +106,65 @@ def test_tables_bucketed_by_case_join_without_a_shuffle(spark, sf_dir):
         spark.sql("DROP TABLE persons_by_case")
 
 
+CATEGORY_REPORTS = [
+    views.category_counts, views.category_rescue, views.category_months, views.category_centres, views.official_months,
+    views.category_places, views.case_map,
+]
+VESSEL_REPORTS = [
+    views.vessel_analysis, views.vessel_analysis_active, views.vessel_classes, lambda d: views.vessel_classes(d, active=True),
+]
+
+
+def test_facts_by_case_are_neither_shuffled_nor_reduced_again(spark, sf_dir):
+    """No exchange below the final groups: vessels and people stay where the refresh put them."""
+    data, root = StarData(spark, sf_dir), work_folder(spark, "test")
+    registry.refresh(data, root, ["v_kpi_annuel"], buckets=4)
+    facts = registry.stored_facts(data, root)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in [*CATEGORY_REPORTS, *VESSEL_REPORTS]:
+            plan = report(facts)._jdf.queryExecution().executedPlan().toString()
+            assert "lineitem" not in plan and "orders" not in plan, plan
+            assert not [x for x in plan.splitlines() if "hashpartitioning(operation_id" in x], plan
+            assert plan.count("Scan parquet") == plan.count("_facts_"), plan
+            below = plan[plan.index("Join"):] if "Join" in plan else ""
+            assert "Exchange" not in below and "Broadcast" not in below, plan
+            assert same(report(facts), report(data))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_case_that_holds_most_rows_is_one_row_a_description_in_its_bucket(spark, make_data):
+    people = [{"operation_id": 1, "categorie_personne": "Autre", "resultat_humain": "Personne secourue", "nombre": 1, "dont_nombre_blesse": 0}] * 500
+    vessels = [{"operation_id": 1, "numero_ordre": i, "categorie_flotteur": "Pêche"} for i in range(500)]
+    data = make_data([{"operation_id": 1}, {"operation_id": 2}, {"operation_id": None}], people, vessels)
+    root = work_folder(spark, "test")
+    registry.refresh(data, root, ["v_kpi_annuel"], buckets=3)
+    stored = registry.stored_facts(data, root).stored
+    assert rows(stored["vessel_facts"].select("operation_id", "vessels")) == [{"operation_id": 1, "vessels": 500}]
+    assert rows(stored["category_facts"].select("operation_id", "personnes")) == [{"operation_id": 1, "personnes": 500}]
+    assert stored["case_facts"].count() == 3
+
+
+def test_old_facts_leave_the_catalog_with_their_version(spark, make_data):
+    data, root = make_data([{"operation_id": 1}]), work_folder(spark, "test")
+    for _ in range(3):
+        registry.refresh(data, root, ["v_kpi_annuel"], buckets=2)
+    def held():
+        return {registry._catalog_name(versions.current(spark, root, n).places["case_facts"]) for n in versions.numbers(spark, root)} & {t.name for t in spark.catalog.listTables()}
+
+    assert len(held()) == 3
+    registry.clean_up(spark, root, keep=1)
+    assert len(held()) == 1
+    facts = registry.stored_facts(data, root)
+    assert facts.cases().count() == 1
+    for name in held():
+        spark.sql(f"DROP TABLE {name}")  # a later session: plain files, and none at all for people and vessels
+    later = registry.stored_facts(data, root)
+    assert later.cases().count() == 1 and views.vessel_analysis(later).count() == 0 and views.category_counts(later).count() == 0
+
+
 def test_work_folders_follow_the_cluster_setting(spark):
     assert work_root("hdfs://shared/work/", "yarn", "app") == "hdfs://shared/work"
     assert work_root(None, "local[4]", "app") == work_root(None, "local[4]", "app")

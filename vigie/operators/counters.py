@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vigie import labels as L
 from vigie.functions.measures import ROWS, named, total, total_if
 from vigie.functions.outcomes import outcome_in, outcome_starts
-from vigie.sources.dataset import CATEGORY_FACTS, RescueData
+from vigie.sources.dataset import CATEGORY_FACTS, VESSEL_FACTS, RescueData
 
 COUNTERS = [
     "nombre_saines_sauves",
@@ -158,6 +158,12 @@ def category_sums(spelling: str) -> list[str]:
 
 
 def vessels_by_case(data: RescueData, keys: list[str]) -> DataFrame:
-    """Vessel rows reduced to one row per case and vessel description, with their number."""
+    """Vessel rows reduced to one row per case and vessel description, with their number.
+
+    Stored facts are folded further if they tell more descriptions apart.
+    """
+    if VESSEL_FACTS in data.stored:
+        facts = data.stored[VESSEL_FACTS]
+        return facts.groupBy("operation_id", *keys).agg(F.expr(total("vessels")).alias("vessels"))
     vessels = data.vessels("operation_id", *keys)
     return vessels.groupBy("operation_id", *keys).agg(F.expr(ROWS).alias("vessels"))

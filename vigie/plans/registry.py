@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.operators.counters import COUNTERS, attach_counters, category_cases
+from vigie.operators.counters import COUNTERS, attach_counters, category_cases, vessels_by_case
 from vigie.plans import view_queries as Q
 from vigie.plans import views as V
-from vigie.sources import versions
-from vigie.sources.dataset import CASE_FACTS, CATEGORY_FACTS, RescueData, StoredFacts
+from vigie.sources import sinks, versions
+from vigie.sources.dataset import CASE_FACTS, CATEGORY_FACTS, VESSEL_FACTS, RescueData, StoredFacts
 
 Report = Callable[[RescueData], DataFrame]
 COUNTER_TABLE = "operations_stats"
@@ -90,36 +91,83 @@ def export_bundle(data: RescueData) -> dict[str, DataFrame]:
     }
 
 
-def store_facts(data: RescueData, root: str) -> StoredFacts:
-    """Write the shared facts once and return a handle that reads them.
+def _catalog_name(place: str) -> str:
+    """The catalog table of facts in a version's folder."""
+    return f"{place.rsplit('/', 1)[-1]}_{hashlib.md5(place.encode()).hexdigest()}"
+
 
-    The case join and the person reduction then happen once, not once per report: the
-    category facts carry the case columns that reports group or filter by.
+def _facts(data: RescueData, places: dict[str, str]) -> StoredFacts:
+    """A handle in front of ``data`` that reads facts where they are, by bucket if a catalog table says how.
+
+    Without the catalog table, as in a later session whose catalog is its own, they are plain files;
+    facts without any file are taken from ``data``.
     """
     spark = data.spark
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    def opened(name: str) -> DataFrame | None:
+        table = _catalog_name(places[name])
+        return spark.table(table) if spark.catalog.tableExists(table) else versions.written(spark, places[name])
+
+    found = {name: opened(name) for name in (CASE_FACTS, CATEGORY_FACTS, VESSEL_FACTS) if name in places}
+    return StoredFacts(data, {name: facts for name, facts in found.items() if facts is not None})
+
+
+def store_facts(data: RescueData, root: str, buckets: int | None = None) -> StoredFacts:
+    """Write the shared facts once and return a handle that reads them.
+
+    The case join and the reductions of people and vessels then happen once, not once per report:
+    the category facts carry the case columns that reports group or filter by. With ``buckets``
+    the facts are also catalog tables with that many buckets by case, so vessels meet their cases
+    without a shuffle. A case that holds a large share of all people or vessels has been reduced to
+    one row a description before it is placed in its bucket.
+    """
+    places: dict[str, str] = {}
+
+    def store(name: str, df: DataFrame) -> StoredFacts:
+        places[name] = f"{root}/{name}"
+        if buckets and name != COUNTER_TABLE:
+            sinks.save_by_case(df, _catalog_name(places[name]), buckets, places[name])
+        else:
+            df.write.mode("overwrite").parquet(places[name])
+        return _facts(data, places)
+
+    joined = store(CASE_FACTS, attach_counters(data, data.cases()))
+    store(COUNTER_TABLE, joined.cases().select("operation_id", *COUNTERS))
+    store(CATEGORY_FACTS, category_cases(joined, *CATEGORY_COLUMNS))
+    return store(VESSEL_FACTS, vessels_by_case(data, V.VESSEL_KEYS))
+
+
+def stored_facts(data: RescueData, root: str, number: int | None = None) -> StoredFacts:
+    """The handle of a refresh: reports with any parameters start from the facts that it wrote."""
+    return _facts(data, versions.current(data.spark, root, number).places)
+
+
+def _places(spark: SparkSession, root: str, numbers: list[int]) -> set[str]:
+    return {place for number in numbers for place in versions.current(spark, root, number).places.values()}
+
 
-    facts = store(CASE_FACTS, attach_counters(data, data.cases()))
-    store(COUNTER_TABLE, facts.select("operation_id", *COUNTERS))
-    joined = StoredFacts(data, {CASE_FACTS: facts})
-    return StoredFacts(
-        data, {CASE_FACTS: facts, CATEGORY_FACTS: store(CATEGORY_FACTS, category_cases(joined, *CATEGORY_COLUMNS))}
-    )
+def clean_up(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """``versions.clean_up``, and the catalog tables of the emptied folders go."""
+    before = _places(spark, root, versions.numbers(spark, root))
+    emptied = versions.clean_up(spark, root, keep)
+    for place in before - _places(spark, root, versions.numbers(spark, root)[-max(keep, 1):]):
+        spark.sql(f"DROP TABLE IF EXISTS `{_catalog_name(place)}`")
+    return emptied
 
 
-def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by_side: int = 8) -> str:
+def refresh(
+    data: RescueData, root: str, names: list[str] | None = None, side_by_side: int = 8, buckets: int | None = None
+) -> str:
     """Recompute the stored reports in dependency order into a new version folder.
 
     Reports that are not recomputed keep their folder. All switch at once, with the commit of the
     version, so until then, and after a failure, readers see the previous state. Of two refreshes at
-    the same time, the second to finish fails. Returns the version's folder.
+    the same time, the second to finish fails. ``buckets`` stores the facts by case, see
+    :func:`store_facts`. Returns the version's folder.
     """
     before = versions.current(data.spark, root)
     folder = f"{root}/version-{uuid.uuid4().hex}"
-    facts = store_facts(data, folder)
+    facts = store_facts(data, folder, buckets)
     names = list(names or STORED)
 
     def write(name: str) -> None:
@@ -128,7 +176,7 @@ def refresh(data: RescueData, root: str, names: list[str] | None = None, side_by
     # reports depend on the facts only: submit their jobs side by side
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         list(pool.map(write, names))
-    places = {name: f"{folder}/{name}" for name in [COUNTER_TABLE, CASE_FACTS, CATEGORY_FACTS, *names]}
+    places = {name: f"{folder}/{name}" for name in [COUNTER_TABLE, CASE_FACTS, CATEGORY_FACTS, VESSEL_FACTS, *names]}
     versions.commit(data.spark, root, before.places | places, before)
     return folder
 

@@ -13,15 +13,15 @@ from vigie.functions.outcomes import FOLDED
 from vigie.sources import deltas, versions
 
 CASES, VESSELS, PERSONS, AUDIT = "operations", "flotteurs", "resultats_humain", "audit_log"
-CASE_FACTS, CATEGORY_FACTS = "case_facts", "category_facts"
+CASE_FACTS, CATEGORY_FACTS, VESSEL_FACTS = "case_facts", "category_facts", "vessel_facts"
 
 
 class RescueData:
     """Access to the four business tables.
 
     ``stored`` may hold facts that were computed before: cases that already carry their
-    counters, and person rows reduced by case and category. Reports then skip the join
-    and the reduction they would otherwise start with.
+    counters, person rows reduced by case and category, and vessel rows reduced by case and
+    description. Reports then skip the join and the reduction they would otherwise start with.
     """
 
     def __init__(self, spark: SparkSession, spelling: str = FOLDED):

@@ -105,6 +105,16 @@ def roll_back(spark: SparkSession, root: str, number: int) -> Version:
     return commit(spark, root, current(spark, root, number).places, current(spark, root))
 
 
+def written(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The table in a folder; none if it has no file, as bucketed tables without rows have none."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def clean_up(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Empty the folders of tables that only versions older than the newest ``keep`` point to.
 
@@ -117,8 +127,8 @@ def clean_up(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     gone = sorted({f for n in known[:len(known) - keep] for f in current(spark, root, n).places.values()} - held)
     emptied = []
     for folder in gone:
-        table = spark.read.parquet(folder)
-        if not table.isEmpty():
+        table = written(spark, folder)
+        if table is not None and not table.isEmpty():
             spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
             emptied.append(folder)
     return emptied
