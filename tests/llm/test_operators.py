@@ -194,11 +194,55 @@ def test_preference_prefix(spark):
         (2, 0, "user", "alone"), (4, 0, "user", "same"), (5, 0, "user", "same"), (5, 0, "user", "same"), (None, 0, "user", "x"), (6, None, "user", "x"),
     ], "conv_id long, turn long, role string, text string")
     got = preference.format_pairs(turns, preference.neighbours(turns)).collect()
-    assert sorted((r["pair_id"], r["part"], r["turn"], r["learned"]) for r in got) == [
-        (0, "chosen", 1, True), (0, "prompt", 0, False), (0, "rejected", 1, True), (0, "rejected", 2, False), (2, "prompt", 0, False)]
+    assert sorted((r["pair_id"], r["part"], -1 if r["turn"] is None else r["turn"], r["learned"]) for r in got) == [
+        (0, "chosen", 1, True), (0, "prompt", 0, False), (0, "rejected", 1, True), (0, "rejected", 2, False),
+        (2, "chosen", -1, False), (2, "prompt", 0, False), (2, "rejected", -1, False)]
     assert preference.format_pairs(turns.limit(0), preference.neighbours(turns.limit(0))).count() == 0
 
 
+def _sides(turns):
+    """Pairs by plain lists: conversation, what is chosen and what is rejected."""
+    talks = {}
+    for conv, turn, role, text, *_ in turns:
+        if conv is not None and turn is not None:
+            talks.setdefault(conv, set()).add((turn, role or "", text or ""))
+    last = {c: max(a) for c, t in talks.items() if (a := [x for x in t if x[1].lower() == "assistant"])}
+    for c in last:
+        if c + 1 in last:
+            end = last[c][0]
+            yield c, {x for x in talks[c] if x[0] <= end}, {x for x in talks[c] if x[0] < end} | {(end, *last[c + 1][1:])}
+
+
+def test_preference_with_another_answer(spark, nothing):
+    """Against plain lists: long talks, equal answers, talks without an answer, ties, repeated rows, marks in texts, null cells."""
+    rng = random.Random(3)
+    turns = [(c, t, rng.choice(["user", "assistant", "Assistant", "system", None]), rng.choice(["yes", "no", "", None, "a <|end|> b <|turn|>", "ünï" * 400]), 1, "r")
+             for c in range(60) for t in range(rng.randrange(6)) for _ in range(rng.choice([1, 1, 1, 2]))]
+    turns += turns[:20] + [(None, 0, "user", "x", 1, "r"), (7, None, "assistant", "x", 1, "r"), *((100, t, "assistant", f"t{t}", 1, "r") for t in range(3000)), (101, 0, "assistant", "t2999", 1, "r")]
+    given = spark.createDataFrame(turns, "conv_id int, turn int, role string, text string, pair_id int, rendered string").repartition(7)
+    got = preference.format_sides(preference.with_other_answer(given)).collect()
+    want = []
+    for pair, chosen, rejected in _sides(turns):
+        differs = min((x[0] for x in chosen ^ rejected), default=10**9)
+        want += [(pair, "prompt", *x) for x in chosen | rejected if x[0] < differs]
+        for part, side in (("chosen", chosen), ("rejected", rejected)):
+            want += [(pair, part, *x) for x in side if x[0] >= differs] or [(pair, part, None, None, None)]
+    plain = lambda t: t.replace("<|turn|>", "<| turn|>").replace("<|end|>", "<| end|>")
+    want = Counter((p, part, t, r, "" if t is None else f"<|turn|>{r}\n{plain(x)}<|end|>\n") for p, part, t, r, x in want)
+    assert Counter((r["pair_id"], r["part"], r["turn"], r["role"], r["rendered"]) for r in got) == want
+    for r in got:
+        mask = r["rendered"][r["learn_from"]:r["learn_to"]]
+        assert r["learned"] == (r["part"] != "prompt" and (r["role"] or "").lower() == "assistant")
+        assert mask == (r["rendered"].split("\n", 1)[1][:-1] if r["learned"] else "")
+    assert {r["turn"] for r in got if r["pair_id"] == 100} == {*range(3000), None}
+    assert preference.format_sides(preference.with_other_answer(given.limit(0))).count() == 0
+
+
+def test_registered_preference_pairs_share_prompts(spark, sf_dir):
+    parts = Counter(r["part"] for r in queries.QUERIES["op8_preference"](spark, sf_dir).select("part").collect())
+    assert min(parts[p] for p in ("prompt", "chosen", "rejected")) > 0
+
+
 def test_line_templates(spark, odd, nothing):
     docs = spark.createDataFrame(
         [(i, f"own line {chr(97 + i)}{chr(98 + i)} of this text only\nPosted on day {i} by user name{i} at the site\nAll rights are with us") for i in range(6)]

@@ -94,22 +94,36 @@ def _licenses() -> str:
 
 
 PREFERENCE = """
-WITH said AS (
-  SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS chosen, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
-  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+WITH spoken AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+answers AS (
+  SELECT conv_id, max({'turn': turn, 'role': role, 'text': text}) AS own FROM spoken WHERE lower(role) = 'assistant' GROUP BY conv_id),
+ends AS (
+  SELECT a.conv_id, a.own.turn AS ends_at, b.own.role AS role, b.own.text AS text FROM answers a JOIN answers b ON b.conv_id = a.conv_id + 1),
+said AS (
+  SELECT conv_id AS pair_id, true AS chosen, turn, s.role, s.text FROM spoken s JOIN ends e USING (conv_id) WHERE turn <= ends_at
+  UNION SELECT conv_id, false, turn, s.role, s.text FROM spoken s JOIN ends e USING (conv_id) WHERE turn < ends_at
+  UNION SELECT conv_id, false, ends_at, role, text FROM ends),
 turns AS (SELECT pair_id, turn, role, text, bool_or(chosen) AS in_chosen, bool_or(NOT chosen) AS in_rejected FROM said GROUP BY ALL),
 pairs AS (
-  SELECT pair_id, min(turn) FILTER (in_chosen <> in_rejected) AS differs_at FROM turns GROUP BY pair_id
-  HAVING bool_or(in_chosen) AND bool_or(in_rejected)),
+  SELECT pair_id, min(turn) FILTER (in_chosen <> in_rejected) AS differs_at, max(turn) FILTER (in_chosen) AS chosen_to,
+    max(turn) FILTER (in_rejected) AS rejected_to
+  FROM turns GROUP BY pair_id HAVING bool_or(in_chosen) AND bool_or(in_rejected)),
 parts AS (
   SELECT pair_id, unnest(CASE WHEN differs_at IS NULL OR turn < differs_at THEN ['prompt']
     ELSE list_filter([CASE WHEN in_chosen THEN 'chosen' END, CASE WHEN in_rejected THEN 'rejected' END], lambda s: s IS NOT NULL) END) AS part,
     turn, role, text
-  FROM turns JOIN pairs USING (pair_id))
-SELECT pair_id, part, turn, role,
-  '<|turn|>' || role || chr(10) || replace(replace(text, '<|turn|>', '<| turn|>'), '<|end|>', '<| end|>') || '<|end|>' || chr(10) AS rendered,
-  lower(role) = 'assistant' AND part <> 'prompt' AS learned
-FROM parts
+  FROM turns JOIN pairs USING (pair_id)),
+shown AS (
+  SELECT pair_id, part, turn, role,
+    '<|turn|>' || role || chr(10) || replace(replace(text, '<|turn|>', '<| turn|>'), '<|end|>', '<| end|>') || '<|end|>' || chr(10) AS rendered,
+    lower(role) = 'assistant' AND part <> 'prompt' AS learned
+  FROM parts)
+SELECT *, CASE WHEN learned THEN length('<|turn|>' || role) + 1 ELSE 0 END::BIGINT AS learn_from,
+  CASE WHEN learned THEN length(rendered) - 1 ELSE 0 END::BIGINT AS learn_to
+FROM shown
+UNION ALL SELECT pair_id, 'chosen', NULL, NULL, '', false, 0, 0 FROM pairs WHERE coalesce(chosen_to < differs_at, true)
+UNION ALL SELECT pair_id, 'rejected', NULL, NULL, '', false, 0, 0 FROM pairs WHERE coalesce(rejected_to < differs_at, true)
 """
 
 #: Every window of every positive searched by itself.

@@ -62,8 +62,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = common.read(spark, sf_dir, "conversations")
-    return preference.format_pairs(turns, preference.neighbours(turns))
+    return preference.format_sides(preference.with_other_answer(common.read(spark, sf_dir, "conversations")))
 
 
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
