@@ -1,5 +1,6 @@
 """The text operators against plain versions and on odd rows."""
 
+import math
 import random
 import textwrap
 import zlib
@@ -122,6 +123,40 @@ def test_near_dups_of_odd_rows(spark, odd, nothing):
     assert near_dups.keep_one(odd, common.shared_folder(spark, "test")).columns == odd.columns
 
 
+def test_near_dups_of_repeated_ids(spark):
+    """An id with two texts is two rows, each with the class of its own text."""
+    a, b, c = (" ".join(f"{x}{i * 7 % 41}" for i in range(60)) for x in "abc")
+    near = b + " tail"
+    docs = spark.createDataFrame([(1, a, 1), (2, a, 2), (2, b, 3), (3, near, 4), (3, near, 5), (4, c, 6), (4, c, 7), (5, None, 8), (None, a, 9)], "doc_id long, text string, doc int")
+    got = near_dups.classes(docs, common.shared_folder(spark, "test")).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == Counter({(1, 1): 1, (2, 1): 1, (2, 2): 1, (3, 2): 2, (4, 4): 2, (5, 5): 1, (None, None): 1})
+    kept = near_dups.keep_one(docs.repartition(4), common.shared_folder(spark, "test"))
+    assert kept.columns == docs.columns and {r["doc"] for r in kept.collect()} == {1, 3, 6, 7, 8, 9}
+
+
+def _weights(text):
+    counts = Counter(tuple(w[i:i + 5]) for w in [text.lower().split()] for i in range(max(len(w) - 4, 0)))
+    return {x: 1 + math.log(n) for x, n in counts.items()}
+
+
+def _likeness(a, b):
+    """Probability Jaccard by its definition."""
+    return sum(1 / sum(max(a.get(y, 0) / a[x], b.get(y, 0) / b[x]) for y in a.keys() | b.keys()) for x in a.keys() & b.keys())
+
+
+def test_similarity_of_weighted_windows_is_that_of_the_definition():
+    rng = random.Random(5)
+    for _ in range(60):
+        words = [rng.choice("abcdef") for _ in range(rng.randrange(6, 60))]
+        other = list(words)
+        for _ in range(rng.randrange(4)):
+            other[rng.randrange(len(other))] = rng.choice("abcxyz")
+        value, text, weight = near_dups._weighted([" ".join(words), " ".join(other)])
+        cut = np.searchsorted(text, [0, 1, 2])
+        sets = [(value[i:j], weight[i:j]) for i, j in zip(cut, cut[1:])]
+        assert math.isclose(near_dups.similarity(*sets), _likeness(_weights(" ".join(words)), _weights(" ".join(other))), abs_tol=1e-9)
+
+
 def test_benchmark_asked_with_other_numbers(spark, odd, nothing):
     item = "In a small town Maria bought 12 apples and 30 pears for 7 dollars on a sunny morning in the old market"
     bench = spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string")

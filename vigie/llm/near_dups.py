@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigie.llm import common, shingles
@@ -80,6 +80,11 @@ def _weighted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return shingles.weighted(*shingles.windows(*shingles.word_hashes(texts), WIDTH))
 
 
+def digest(text: Column) -> Column:
+    """What texts are told apart by; equal to the digest that :func:`band_keys` gives."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def band_keys(texts: DataFrame) -> DataFrame:
     """``doc_id, digest, keys`` of every text: one 64-bit key per band, none for a wordless text."""
 
@@ -128,22 +133,17 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def classes(documents: DataFrame, folder: str) -> DataFrame:
-    """``doc_id, class_id`` of every row; the id of a class is its smallest document id.
+def _class_of_texts(known: DataFrame, folder: str) -> DataFrame:
+    """``doc_id, digest, class_id`` of every row of ``known`` (``doc_id, text``, no nulls).
 
-    Rows with equal texts share a class, the empty text included. A text without a word is near
-    nothing else. Rows with a null text are classes of their own, rows that repeat an id share
-    their class, and rows without an id keep a null class. Intermediate tables go to ``folder``,
-    which driver and executors must share.
+    A node is a distinct text, named by the number of one row that has it. Row numbers are given once,
+    with the stored signatures, and never again.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    # One node per distinct text: the smallest id that has it.
-    signed = common.stored(band_keys(known), folder, "signed")
-    heads = signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")).where("node < last")
-    member = common.stored(signed.select("digest", "doc_id").join(heads, "digest").select("doc_id", "node"), folder, "members")
-    copies = common.light(common.stored(member.where("doc_id <> node").select("doc_id").distinct(), folder, "copies"))
-    keys = signed.select("doc_id", "keys").join(copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "node")
+    signed = common.stored(band_keys(known).withColumn("row", F.monotonically_increasing_id()), folder, "signed")
+    heads = signed.groupBy("digest").agg(F.min("row").alias("node"), F.max("row").alias("last")).where("node < last").select("digest", "node")
+    member = common.stored(signed.select("row", "digest").join(heads, "digest").select("row", "node"), folder, "members")
+    copies = common.light(common.stored(member.where("row <> node").select("row"), folder, "copies"))
+    keys = signed.select("row", "keys").join(copies, "row", "left_anti").withColumnRenamed("row", "node")
 
     spread = keys.select("node", F.explode("keys").alias("key"))
     leader = F.min_by("node", F.xxhash64("node", F.pmod("key", F.lit(LEADERS))))
@@ -153,8 +153,10 @@ def classes(documents: DataFrame, folder: str) -> DataFrame:
 
     first = common.stored(shared.where("leader <> node").select(*_ordered("leader", "node")).distinct(), folder, "first")
     wanted = common.light(common.stored(first.select(F.explode(F.array("a", "b")).alias("node")).distinct(), folder, "wanted"))
-    texts = known.withColumnRenamed("doc_id", "node").join(wanted, "node").dropDuplicates(["node"])
-    texts = common.stored(texts, folder, "texts")
+    wanted = signed.join(wanted, signed.row == wanted.node).select("doc_id", "digest", "node")
+    wanted = common.light(common.stored(wanted, folder, "asked"), row_bytes=48)
+    texts = known.withColumn("digest", digest(F.col("text"))).join(wanted, ["doc_id", "digest"])
+    texts = common.stored(texts.select("node", "text").dropDuplicates(["node"]), folder, "texts")
     checked = common.stored(verified(first, texts), folder, "checked")
     links = checked.where(F.col("similarity") >= SIMILAR).select("a", "b")
     label = components(links, folder, "one")
@@ -182,20 +184,41 @@ def classes(documents: DataFrame, folder: str) -> DataFrame:
     more = common.stored(verified(second, texts), folder, "checked2").where(F.col("similarity") >= SIMILAR).select("a", "b")
     label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), folder, "two")
 
-    # Copies take the class of their node; whoever is in no group is alone.
-    grouped = member.join(label, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
-    alone = label.join(member.select("doc_id").distinct(), label.node == F.col("doc_id"), "left_anti").select(F.col("node").alias("doc_id"), "label")
-    found = grouped.union(alone).distinct()
-    found = found.join(found.groupBy("label").agg(F.min("doc_id").alias("class_id")), "label").select("doc_id", "class_id")
-    found = common.stored(found.groupBy("doc_id").agg(F.min("class_id").alias("class_id")), folder, "classes")
-    return rows.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    # Rows take the label of their text; a text in no group is alone. The class is named by its smallest document.
+    place = signed.select("row", "doc_id", "digest").join(member, "row", "left").withColumn("node", F.coalesce("node", "row"))
+    found = place.join(label, "node", "left").select("doc_id", "digest", F.coalesce("label", "node").alias("label"))
+    found = common.stored(found, folder, "labels")
+    least = found.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    return common.stored(found.join(least, "label").select("doc_id", "digest", "class_id"), folder, "classes")
+
+
+def _rows(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def classes(documents: DataFrame, folder: str) -> DataFrame:
+    """``doc_id, class_id`` of every row; the id of a class is its smallest document id.
+
+    Rows with equal texts share a class, the empty text included. A text without a word is near
+    nothing else. Rows with a null text are classes of their own, and rows without an id keep a null
+    class. Rows that repeat an id are judged each by its own text, so their classes may differ.
+    Intermediate tables go to ``folder``, which driver and executors must share.
+    """
+    rows = _rows(documents)
+    known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rest = rows.where("doc_id IS NULL OR text IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
+    return _class_of_texts(known, folder).select("doc_id", "class_id").union(rest)
 
 
 def keep_one(documents: DataFrame, folder: str) -> DataFrame:
-    """The documents without near copies: of each class, the row with the smallest id stays.
+    """The documents without near copies: of each class, the rows of the smallest id stay.
 
-    Rows without an id or text stay. Of rows that repeat an id and are not the class's only id,
-    all stay or go together.
+    Rows without an id or text stay. Rows that repeat an id are judged each by its own text.
     """
-    drop = classes(documents, folder).where("doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(common.light(common.stored(drop, folder, "drop")), "doc_id", "left_anti").select(*documents.columns)
+    known = _rows(documents).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    drop = _class_of_texts(known, folder).where("doc_id <> class_id").select("doc_id", "digest").distinct()
+    drop = common.light(common.stored(drop, folder, "drop"), row_bytes=40)
+    doc, text = common.fresh(documents, "doc"), common.fresh(documents, "text_digest")
+    drop = drop.select(F.col("doc_id").alias(doc), F.col("digest").alias(text))
+    same = (F.col("d.doc_id").cast("long") == F.col(f"x.{doc}")) & (digest(F.col("d.text").cast("string")) == F.col(f"x.{text}"))
+    return documents.alias("d").join(drop.alias("x"), same, "left_anti")
