@@ -143,3 +143,16 @@ def test_a_case_delivered_again_moves_with_its_people(spark):
     assert got == {3: (1, 3, 3)}
     jobs.compact_monthly(spark, f"{root}/out", f"{root}/compacted")
     assert [(r["mois"], r["n"]) for r in rows(jobs.read_monthly(spark, f"{root}/compacted"))] == [(3, 1)]
+
+
+def test_cases_are_followed_in_blocks_of_neighbours(spark):
+    root = work_folder(spark, "test")
+    ids = range(-300, 300)
+    frame(spark, STREAMED, [dated(i, i % 12 + 1) for i in ids]).coalesce(1).write.parquet(f"{root}/cases")
+    frame(spark, SIGNED, [person(i, abs(i)) for i in ids for _ in range(2)]).coalesce(1).write.parquet(f"{root}/people")
+    stream = jobs.run_monthly(
+        jobs.file_stream(spark, f"{root}/cases"), jobs.file_stream(spark, f"{root}/people"), f"{root}/out", f"{root}/mark", "folded", "version")
+    stream.awaitTermination()
+    got = {r["mois"]: (r["n"], r["imp"]) for r in rows(jobs.read_monthly(spark, f"{root}/out"))}
+    assert got == {m + 1: (50, sum(2 * abs(i) for i in ids if i % 12 == m)) for m in range(12)}
+    assert stream.lastProgress["stateOperators"][0]["numRowsTotal"] == 4  # not one state for each of 600 cases

@@ -9,10 +9,12 @@ what it brings, not what was stored before; ``compact`` folds old partials toget
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -99,58 +101,84 @@ def read_counters(spark: SparkSession, out: str) -> DataFrame:
 
 
 # --- monthly figures --------------------------------------------------------
-#: A case as the stream knows it: its newest delivery and the sums of its people so far.
-_STATE = "seen boolean, version long, month int, sums array<long>"
+#: Cases are followed in blocks of neighbouring numbers, so that one call serves many of them.
+BLOCK_BITS = 8
+_SLOTS = 1 << BLOCK_BITS
+#: The cases of a block as the stream knows them: per case its place in the block, whether it was delivered,
+#: the version and month of its newest delivery, and the sums of its people; compressed 64-bit numbers.
+_STATE = "cases binary"
 #: What a batch changes in a month; sums are in the order of the counters.
 _CHANGE = "month int, n long, sums array<long>"
-_EVENT = "operation_id long, version long, month int, sums array<long>"
+_EVENT = ["block", "operation_id", "version", "month", *COUNTERS]
+_EVENT_ROWS = ", ".join(f"{c} long" for c in _EVENT)
+_IN_BLOCK = f"shiftright(operation_id, {BLOCK_BITS}) AS block"
 _NO_MONTH, _NO_CASE = -1, -2
 
 
 def _case_events(cases: DataFrame, version: str) -> DataFrame:
-    month = f"coalesce(cast({T.month_index(T.day(ALERT))} AS int), {_NO_MONTH}) AS month"
+    month = f"coalesce(cast({T.month_index(T.day(ALERT))} AS bigint), {_NO_MONTH}L) AS month"
     return cases.where("operation_id IS NOT NULL").selectExpr(
-        "operation_id", f"coalesce(cast({version} AS bigint), 0L) AS version", month, "cast(array() AS array<bigint>) AS sums")
+        _IN_BLOCK, "operation_id", f"coalesce(cast({version} AS bigint), 0L) AS version", month, *[f"0L AS {c}" for c in COUNTERS])
+
+
+def _sums_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and the column sums of their rows."""
+    order = np.argsort(keys, kind="stable")
+    found, starts = np.unique(keys[order], return_index=True)
+    return found, np.add.reduceat(values[order], starts, axis=0) if len(found) else values[:0]
 
 
 def _people_events(persons: DataFrame, spelling: str, sign: str) -> DataFrame:
     """Rows of one case within a batch of rows become one row, before they meet in a task."""
     coded = with_outcome_code(persons.where("operation_id IS NOT NULL"), spelling)
     terms = [f"cast(coalesce(({sign}) * ({term}), 0) AS bigint) AS {c}" for c, term in counter_terms().items()]
-    rows = coded.selectExpr("operation_id", *terms)
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids, place = np.unique(frame["operation_id"].to_numpy(), return_inverse=True)
-            sums = np.zeros((len(ids), len(COUNTERS)), np.int64)
-            np.add.at(sums, place, frame[COUNTERS].to_numpy())
-            yield pd.DataFrame({"operation_id": ids, "version": 0, "month": _NO_CASE, "sums": list(sums)})
-
-    return rows.mapInPandas(fold, _EVENT)
-
-
-def _follow_case(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The changes that new events of a case make: its old share out of its old month, its new share into the new one."""
-    seen, version, month, sums = state.get if state.exists else (False, 0, _NO_MONTH, [0] * len(COUNTERS))
-    before, newest, sums = (seen, month, list(sums)), None, list(sums)
+    rows = coded.selectExpr("cast(operation_id AS bigint) AS operation_id", *terms)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            ids, sums = _sums_by(columns[0], np.column_stack(columns[1:]))
+            fixed = [ids >> BLOCK_BITS, ids, np.zeros_like(ids), np.full_like(ids, _NO_CASE)]
+            yield pa.record_batch([pa.array(c) for c in (*fixed, *sums.T)], _EVENT)
+
+    return rows.mapInArrow(fold, _EVENT_ROWS)
+
+
+def _follow_block(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The changes that new events make: the old shares of their cases out of their old months, the new shares
+    into the new ones."""
+    fixed = 4  # place, delivered, version, month
+    cases = np.zeros((_SLOTS, fixed + len(COUNTERS)), np.int64)
+    known = np.zeros(_SLOTS, bool)
+    if state.exists:
+        stored = np.frombuffer(zlib.decompress(state.get[0]), np.int64).reshape(-1, cases.shape[1])
+        cases[stored[:, 0]], known[stored[:, 0]] = stored, True
+    before, touched = cases.copy(), np.zeros(_SLOTS, bool)
+    newest = np.empty((0, 3), np.int64)  # place, version, month
     for frame in frames:
-        for own_version, own_month, own in zip(frame["version"].tolist(), frame["month"].tolist(), frame["sums"]):
-            if own_month == _NO_CASE:
-                sums = [a + b for a, b in zip(sums, own.tolist())]
-            elif newest is None or (own_version, own_month) > newest:
-                newest = own_version, own_month
-    if newest and (not seen or newest[0] >= version):
-        seen, (version, month) = True, newest
-    state.update((seen, version, month, sums))
-    changes: dict[int, list[int]] = {}
-    for factor, (known, at, share) in ((-1, before), (1, (seen, month, sums))):
-        if known and at != _NO_MONTH:
-            line = changes.setdefault(at, [0] * (1 + len(COUNTERS)))
-            changes[at] = [a + factor * b for a, b in zip(line, (1, *share))]
-    changes = {at: line for at, line in changes.items() if any(line)}
-    if changes:
-        lines = list(changes.values())
-        yield pd.DataFrame({"month": list(changes), "n": [x[0] for x in lines], "sums": [x[1:] for x in lines]})
+        events = frame[_EVENT].to_numpy(np.int64)
+        place = events[:, 1] & (_SLOTS - 1)
+        touched[place] = True
+        found, sums = _sums_by(place, events[:, fixed:])
+        cases[found, fixed:] += sums
+        own = events[:, 3] != _NO_CASE
+        newest = np.concatenate([newest, np.column_stack([place, events[:, 2:fixed]])[own]])
+        newest = newest[np.lexsort((newest[:, 2], newest[:, 1], newest[:, 0]))]
+        newest = newest[np.append(newest[1:, 0] != newest[:-1, 0], True)[:len(newest)]]  # the last of each place
+    taken = newest[(cases[newest[:, 0], 1] == 0) | (newest[:, 1] >= cases[newest[:, 0], 2])]
+    cases[taken[:, 0], 1], cases[taken[:, 0], 2:fixed] = 1, taken[:, 1:]
+    known |= touched
+    cases[:, 0] = np.arange(_SLOTS)
+    state.update((zlib.compress(cases[known].tobytes(), 1),))
+    months, shares = [], []
+    for factor, table in ((-1, before), (1, cases)):
+        counted = table[touched & (table[:, 1] == 1) & (table[:, 3] != _NO_MONTH)]
+        months.append(counted[:, 3])
+        shares.append(factor * counted[:, [1, *range(fixed, counted.shape[1])]])
+    months, shares = _sums_by(np.concatenate(months), np.concatenate(shares))
+    moved = shares.any(axis=1)
+    if moved.any():
+        yield pd.DataFrame({"month": months[moved].astype(np.int32), "n": shares[moved, 0], "sums": list(shares[moved, 1:])})
 
 
 def run_monthly(
@@ -162,10 +190,10 @@ def run_monthly(
     once. A case that is delivered again moves with its people to the month of its newest ``version``
     (of equal versions, the later batch's, in one batch the later month); without a date it is in no
     month. ``sign`` is an expression over a person row: -1 takes back a row that was delivered before.
-    A batch reads and writes the state of the cases it brings, and stores one row a month it changes.
+    A batch reads and writes the state of the blocks of its cases, and stores one row a month it changes.
     """
     events = _case_events(cases, version).unionByName(_people_events(persons, spelling, sign))
-    changes = events.groupBy("operation_id").applyInPandasWithState(_follow_case, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout)
+    changes = events.groupBy("block").applyInPandasWithState(_follow_block, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout)
 
     def reduce_batch(batch: DataFrame) -> DataFrame:
         return grouped(batch, ["month"], *named(n=total("n"), **{s: total(f"sums[{COUNTERS.index(c)}]") for s, c in SUMS.items()}))
