@@ -157,3 +157,35 @@ def test_raw_tables_change_together(spark):
     with pytest.raises(Exception):
         etl.raw_load(spark, source, target, {"a": config["a"], "none": {}})
     assert versions.current(spark, f"{target}/raw").number == 1
+
+
+def test_headers_are_found_by_one_scan(spark):
+    path = work_folder(spark, "test")
+    write_lines(spark, f"{path}/a", "x,y", "1,2")
+    write_lines(spark, f"{path}/b", "y,x,x", "4,3,0")
+    table, headers = files.read_csv_by_header(spark, f"{path}/*", ["x", "y"])
+    assert sorted((r["x"], r["y"]) for r in rows(table)) == [("1", "2"), ("3", "4")]
+    assert sorted(r["header"] for r in rows(headers)) == [["x", "y"], ["y", "x", "x"]]
+    assert headers.inputFiles() == []  # looking at them again reads no file
+
+
+def test_verdicts_of_a_parent_are_found_once(spark, sf_dir, monkeypatch):
+    asked, find = [], etl.verdict_by_key
+    monkeypatch.setattr(etl, "verdict_by_key", lambda checked: asked.append(1) or find(checked))
+    checked = etl.check_files(spark, q_data.source_files(spark, sf_dir, "operation_id % 47 = 0"), work_folder(spark, "test"))
+    assert list(checked) == list(etl.PARENTS) and len(asked) == 1  # three tables follow the cases
+
+
+def test_quality_rows_are_written_without_a_sort(spark):
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(setting)
+    flagged = Q.flag(spark.createDataFrame([(i, "x" if i % 3 else None) for i in range(30)], "id long, v string"), Q.RuleSet({}, [Q.not_null_rule("v")]))
+
+    class Writer:
+        def parquet(self, path):
+            seen.append(int(spark.conf.get(setting)))
+
+    sinks._write_unsorted(Writer(), "", spark)
+    assert seen == [max(2, int(before))] and spark.conf.get(setting) == before
+    rows_at = sinks.write_quality(flagged, work_folder(spark, "test"), "id")["rows"]
+    assert {(r["verdict"], r["count"]) for r in rows(spark.read.parquet(rows_at).groupBy("verdict").count())} == {("valid", 20), ("rejected", 10)}
