@@ -223,6 +223,28 @@ def test_licenses_wrapped_and_embedded(spark, odd):
     assert got == {(1, "MIT", 1), (2, "MIT", 1), (3, "MIT", 1), (4, "GPL-3.0", 2), (5, "ISC", 1), (7, "MIT", 2)}
 
 
+def test_licenses_only_of_parts_with_a_key_word(spark):
+    """Parts without a key word are not cut into words, and every part that is alike has one."""
+    rng = random.Random(11)
+    parts = []
+    for _, text in licenses.TEMPLATES * 4:
+        words = text.split()
+        for _ in range(rng.randrange(len(words) // 6 + 1)):
+            words[rng.randrange(len(words))] = rng.choice(["ship", "of", "the", "İstanbul"])
+        parts.append(" ".join(words).upper() if rng.random() < 0.5 else " ".join(words))
+    docs = spark.createDataFrame(list(enumerate([*parts, "a plain line of the log", None])), "doc_id long, text string")
+    found = licenses.scan(docs)
+    assert "Contains(part#" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["doc_id"]: r["dice"] for r in found.where("notices > 0").collect()}
+    want = {}
+    for doc_id, part in enumerate(parts):
+        own = set(licenses.bigrams_of(part.replace("İ", "i ")))
+        sets = [set(licenses.bigrams_of(text)) for _, text in licenses.TEMPLATES]
+        if (best := max(2 * len(own & t) / (len(own) + len(t)) for t in sets)) >= licenses.ALIKE:
+            want[doc_id] = best
+    assert want and {d: got.get(d) for d in want} == pytest.approx(want)
+
+
 def test_preference_prefix(spark):
     turns = spark.createDataFrame([
         (0, 0, "user", "hi"), (0, 1, "assistant", "good"), (1, 0, "user", "hi"), (1, 1, "assistant", "bad"), (1, 2, "user", None),

@@ -124,6 +124,15 @@ def key_words(templates, alike: float = ALIKE) -> list[str]:
     return keys
 
 
+def has_key(lower: Column, templates, alike: float = ALIKE) -> Column:
+    """Whether a lower-case text has one of the :func:`key_words`; without one, nothing in it is alike to a template."""
+    keys = key_words(templates, alike)
+    found = functools.reduce(lambda a, b: a | b, (F.contains(lower, F.lit(w)) for w in keys if len(w) > 3), F.lit(False))
+    if short := [w for w in keys if len(w) <= 3]:
+        found |= F.rlike(lower, F.lit(f"(?<![0-9a-z])({'|'.join(short)})(?![0-9a-z])"))
+    return found
+
+
 def _dice(grams: Column, own: Column) -> Column:
     return 2.0 * F.size(F.array_intersect(grams, own)) / (F.size(F.array_distinct(grams)) + F.size(own))
 
@@ -186,11 +195,6 @@ def windows(documents: DataFrame, alike: float = ALIKE, templates=TEMPLATES, cla
         grams = F.filter(F.array(F.when(F.size(words) > 1, bigrams(words))), lambda g: F.size(g) <= most)
         return F.exists(grams, lambda g: F.exists(whole, lambda t: _dice(g, t["own"]) >= alike))
 
-    lower = F.lower("text")
-    keys = key_words((*templates, *clauses), alike)
-    has_key = functools.reduce(lambda a, b: a | b, (F.contains(lower, F.lit(w)) for w in keys if len(w) > 3))
-    if short := [w for w in keys if len(w) <= 3]:
-        has_key |= F.rlike(lower, F.lit(f"(?<![0-9a-z])({'|'.join(short)})(?![0-9a-z])"))
     # A generator after each costly column keeps it from being written out, and computed, again.
     once = lambda df, name, column: df.withColumn(name, F.explode(F.array(column)))
     words_of = lambda part: F.filter(F.split(part, "[^0-9a-z]+"), lambda w: w != "")
@@ -202,7 +206,8 @@ def windows(documents: DataFrame, alike: float = ALIKE, templates=TEMPLATES, cla
         held = F.filter(table, lambda t: F.size(F.array_intersect(F.col("hits.gram"), t["own"])) >= t["need"])
         return once(df, "t", held).where(F.size("t") > 0)
 
-    some = placed(once(documents.where(has_key).select("doc_id", lower.alias("lower")), "words", words_of(F.col("lower"))))
+    keyed = common.where_made(documents.select("doc_id", F.lower("text").alias("lower")), has_key(F.col("lower"), (*templates, *clauses), alike))
+    some = placed(once(keyed, "words", words_of(F.col("lower"))))
     # Lines that match are told by themselves; words that no template has stand in for them.
     lines = once(some.select("doc_id", "lower", "words"), "lines", F.transform(F.split("lower", "\n"), words_of))
     rest = F.when(matches(F.col("words")), F.array().cast("array<string>")).otherwise(F.flatten(F.transform(
@@ -236,11 +241,16 @@ def scan(documents: DataFrame, alike: float = ALIKE, templates=TEMPLATES) -> Dat
     sets = [(name, bigrams_of(text)) for name, text in templates]
     low = [len(s) * alike / (2 - alike) for _, s in sets]
     high = [len(s) * (2 - alike) / alike for _, s in sets]
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.split(text, "\n")
-    parts = F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
-    words = documents.select("doc_id", F.explode(parts).alias("part")).select(
-        "doc_id", F.filter(F.split(F.lower("part"), "[^0-9a-z]+"), lambda w: w != "").alias("words"))
+    lower = documents.select("doc_id", F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("lower"))
+    # A part that is alike to a template shares a bigram with a key word, so only parts with one are cut into words.
+    keyed = all(_need(len(own), alike) > 0 for _, own in sets)
+    if keyed:
+        lower = common.where_made(lower, has_key(F.col("lower"), templates, alike))
+    lines = F.split("lower", "\n")
+    parts = lower.select("doc_id", F.explode(F.when(F.size(lines) > 1, F.concat(lines, F.array("lower"))).otherwise(lines)).alias("part"))
+    if keyed:
+        parts = parts.where(has_key(F.col("part"), templates, alike))
+    words = parts.select("doc_id", F.filter(F.split("part", "[^0-9a-z]+"), lambda w: w != "").alias("words"))
     grams = words.select("doc_id", F.when(F.size("words") - 1 >= min(low), bigrams(F.col("words"))).alias("grams"))
     sized = grams.select("doc_id", "grams", F.coalesce(F.size("grams"), F.lit(0)).alias("n"))
     scores = []
