@@ -296,6 +296,24 @@ def test_chunks_solved_alone_equal_whole_texts(spark, sf_dir, plain):
         assert own.digests() == [hashlib.sha256(";".join(w[3]).encode()).hexdigest() for w in want]
 
 
+def test_stored_ids_give_the_same_links(spark, sf_dir, odd):
+    """The second pass links ids and reads no text."""
+    aligner = kept(alignment.Aligner, *PATHS)
+    texts = [None, "", *(r["text"] for r in common.read(spark, sf_dir, "documents").limit(80).collect()), "x\ufffdy \n\n z", " ", None]
+    own = alignment.Aligned(aligner, texts)
+    kinds, rows = [alignment.kind_of(n) for n in (aligner.n_a, aligner.n_b)], [(np.empty(0, "<u2"),) * 2 for _ in texts]
+    for place, ids in zip(own.places, own.ids(), strict=True):
+        rows[place] = tuple(np.frombuffer(x, k) for x, k in zip(ids, kinds))
+    again = alignment.Aligned.of_ids(aligner, rows)
+    assert again.places == own.places and (again.pairs() == own.pairs()).all() and again.digests() == own.digests()
+    assert all((getattr(again, n) == getattr(own, n)).all() for n in ("links_upto", "a_upto", "b_upto", "group_end"))
+    none = alignment.Aligned.of_ids(aligner, [(np.empty(0, "<u2"),) * 2] * 3)
+    assert none.places == [] and len(none.pairs()) == 0 and none.digests() == []
+    for bound in (alignment.TABLE_BYTES, 0):
+        found = alignment.align(odd, *PATHS, common.shared_folder(spark, "test"), table_bytes=bound)
+        assert "text" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_every_entry_of_the_byte_vocabulary_encodes_itself():
     """Then merging by rank and by merge list cannot part, whatever surrounds the entry."""
     aligner = kept(alignment.Aligner, *PATHS)

@@ -3,11 +3,11 @@
 Both tokenizers cut the same bytes. Where both end a token a group ends, and two tokens whose byte
 ranges overlap are linked. A pair of ids counts the documents in which it is linked.
 
-Counting takes two passes over the texts. The first aligns every document and sends on, per task, how
-many documents hold each pair. The distinct pairs get a minimal perfect hash per shard (a shard holds
+The texts are encoded once. The first pass aligns every document, stores its ids and figures, and sends on,
+per task, how many documents hold each pair. The distinct pairs get a minimal perfect hash per shard (a shard holds
 all pairs of its first ids), so that counts need no keys: dense vectors indexed by the hash are filled
 branch by branch and summed in a tree. The keys are kept once, by number, and verified at every lookup.
-The second pass aligns the documents again and looks its pairs up. The shards go to the tasks while
+The second pass links the stored ids and looks their pairs up. The shards go to the tasks while
 their counted size is under a bound; beyond it the documents' pairs are joined with the counts.
 
 Neither tokenizer joins anything across a single space or line break between two visible characters,
@@ -49,6 +49,8 @@ FAN_IN = 8
 TASK_PAIRS = 1 << 22
 #: Characters that are aligned at once.
 BATCH_CHARS = 1 << 21
+#: Links that are looked up at once.
+BATCH_LINKS = 1 << 20
 #: The shards of all pairs may be broadcast up to this size.
 TABLE_BYTES = 128 << 20
 PAIR_BYTES = 32
@@ -160,12 +162,30 @@ class Aligned:
         self.places = [p for p, (x, y) in enumerate(zip(edges, edges[1:])) if x < y and not (bad and any(i in bad for i in range(x, y)))]
         if len(self.places) < len(texts):
             own = [f for p in self.places for f in own[edges[p]:edges[p + 1]]]
-        sizes = [len(texts[p].encode()) + 1 for p in self.places]
-        self.aligner, self.n = aligner, len(sizes)
-        self.a, self.b = (np.frombuffer(b"".join([f[side] for f in own]), "<i4").astype(np.int64) for side in (0, 1))
-        stops = np.cumsum(sizes, dtype=np.int64)
+        ids = (np.frombuffer(b"".join([f[side] for f in own]), "<i4").astype(np.int64) for side in (0, 1))
+        self._link(aligner, *ids, np.cumsum([len(texts[p].encode()) + 1 for p in self.places], dtype=np.int64))
+
+    @classmethod
+    def of_ids(cls, aligner: Aligner, rows: list[tuple[np.ndarray, np.ndarray]]) -> Aligned:
+        """The same from the ids of both sides that :meth:`ids` gave."""
+        self = cls.__new__(cls)
+        self.places = [p for p, (a, _) in enumerate(rows) if len(a)]
+        a, b = (np.concatenate([np.empty(0, np.int64), *(rows[p][side] for p in self.places)]).astype(np.int64) for side in (0, 1))
+        upto = np.cumsum([len(rows[p][0]) for p in self.places], dtype=np.int64)
+        self._link(aligner, a, b, np.cumsum(aligner.a_size[a])[upto - 1])
+        return self
+
+    def ids(self) -> Iterator[tuple[bytes, bytes]]:
+        """The ids of each text, as short as the vocabularies allow."""
+        sides = [(x.astype(kind_of(n)), upto.tolist()) for x, n, upto in (
+            (self.a, self.aligner.n_a, self.a_upto), (self.b, self.aligner.n_b, self.b_upto))]
+        return zip(*([x[i:j].tobytes() for i, j in zip(upto, upto[1:])] for x, upto in sides))
+
+    def _link(self, aligner: Aligner, a: np.ndarray, b: np.ndarray, stops: np.ndarray) -> None:
+        """Links and groups of ids whose texts stop at the given bytes."""
+        self.aligner, self.n, self.a, self.b = aligner, len(stops), a, b
         ends_a, ends_b = np.cumsum(aligner.a_size[self.a]), np.cumsum(aligner.b_size[self.b])
-        total = int(stops[-1]) if sizes else 0
+        total = int(stops[-1]) if len(stops) else 0
         in_a, in_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
         in_a[ends_a], in_b[ends_b] = True, True
         # Between two neighbouring ends of either side lies exactly one link.
@@ -225,6 +245,11 @@ class Aligned:
         ]
 
 
+def kind_of(n_ids: int) -> str:
+    """How ids below a number are stored."""
+    return "<u2" if n_ids <= 1 << 16 else "<i4"
+
+
 def pieces_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of batches whose texts together have a bounded size, or a single text."""
     for batch in batches:
@@ -278,23 +303,62 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return pairs, np.bincount(place, np.concatenate([n for _, n in parts]), len(pairs)).astype(np.int64)
 
 
-def document_pairs(documents: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """``pair, n``: in how many documents of a part of a task a pair is linked; add up ``n`` by pair."""
+ALIGNED = (
+    "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a binary, b binary, pair long, n long"
+)
+FIGURES = ("n_a", "n_b", "n_groups", "n_links")
+
+
+def aligned_documents(documents: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+    """``ALIGNED``: a row for each document, with its figures and ids, and rows that have a ``pair`` only.
+
+    These say in how many documents of a part of a task a pair is linked; add up ``n`` by pair.
+    """
+    kinds = [pa.int64()] * 5 + [pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    names = [c.split()[0] for c in ALIGNED.split(", ")]
+
+    def counted(pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([*(pa.nulls(len(pairs), k) for k in kinds[:-2]), pa.array(pairs), pa.array(n)], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = kept(Aligner, byte_path, piece_path)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, texts in pieces_of(batches, 0):
-            _, pairs, _ = Aligned(aligner, texts).distinct()
+        for batch, texts in pieces_of(batches, 1):
+            own = Aligned(aligner, texts)
+            _, pairs, _ = own.distinct()
             parts.append(np.unique(pairs, return_counts=True))
             if sum(len(p) for p, _ in parts) > TASK_PAIRS:
                 parts = [_added(parts)]
                 if len(parts[0][0]) > TASK_PAIRS // 2:
-                    yield pa.record_batch(list(map(pa.array, parts.pop())), ["pair", "n"])
+                    yield counted(*parts.pop())
+            figures = [np.diff(own.a_upto), np.diff(own.b_upto), own.sums(own.group_end), np.diff(own.links_upto)]
+            columns = [np.zeros(batch.num_rows, np.int64) for _ in figures]
+            for column, figure in zip(columns, figures):
+                column[own.places] = figure
+            rest = [("", b"", b"")] * batch.num_rows
+            for place, digest, ids in zip(own.places, own.digests(), own.ids()):
+                rest[place] = (digest, *ids)
+            lists = [pa.array(c, k) for c, k in zip(zip(*rest), kinds[5:8])]
+            yield pa.record_batch([batch.column(0), *map(pa.array, columns), *lists, *(pa.nulls(batch.num_rows, k) for k in kinds[-2:])], names)
         if parts:
-            yield pa.record_batch(list(map(pa.array, _added(parts))), ["pair", "n"])
+            yield counted(*_added(parts))
+
+    return _texts(documents).mapInArrow(work, ALIGNED)
 
-    return _texts(documents).select("text").mapInArrow(work, "pair long, n long")
+
+def restored(batches: Iterator[pa.RecordBatch], aligner: Aligner) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+    """The rows of documents in :func:`aligned_documents`, ids last, in slices of a bounded number of ids."""
+    kinds = kind_of(aligner.n_a), kind_of(aligner.n_b)
+    for batch in batches:
+        upto = np.cumsum(batch.column("n_links").to_numpy())
+        start = 0
+        while start < batch.num_rows:
+            before = upto[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(upto, before + BATCH_LINKS, "right")))
+            part = batch.slice(start, stop - start)
+            rows = zip(*([np.frombuffer(v.as_buffer(), kind) if len(v.as_buffer()) else np.empty(0, kind) for v in part.column(c)] for c, kind in zip("ab", kinds)))
+            yield part.drop_columns(["a", "b"]), Aligned.of_ids(aligner, list(rows))
+            start = stop
 
 
 def _sum_shape(part: pa.Table) -> np.ndarray:
@@ -385,56 +449,39 @@ def _load(rows: list[tuple], n_shards: int) -> Table:
 MEASURES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _measured(documents: DataFrame, byte_path: str, piece_path: str, shared) -> DataFrame:
+def _measured(aligned: DataFrame, byte_path: str, piece_path: str, shared) -> DataFrame:
     names = [c.split()[0] for c in MEASURES.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, table = kept(Aligner, byte_path, piece_path), _load(*shared.value)
-        for batch, texts in pieces_of(batches, 1):
-            own = Aligned(aligner, texts)
+        for batch, own in restored(batches, aligner):
             pairs, place = own.distinct_pairs()
             count, best = table.look_up(pairs)
-            columns = _figures(own) + [own.sums(best[place]), own.sums(count[place])]
-            yield _placed(batch, own, columns, names)
-
-    return _texts(documents).mapInArrow(work, MEASURES)
+            for name, of_links in (("n_best", best), ("count_sum", count)):
+                column = np.zeros(batch.num_rows, np.int64)
+                column[own.places] = own.sums(of_links[place])
+                batch = batch.append_column(name, pa.array(column))
+            yield batch.select(names)
 
+    return aligned.mapInArrow(work, MEASURES)
 
-def _figures(own: Aligned) -> list[np.ndarray]:
-    return [np.diff(own.a_upto), np.diff(own.b_upto), own.sums(own.group_end), np.diff(own.links_upto)]
 
-
-def _placed(batch: pa.RecordBatch, own: Aligned, columns: list[np.ndarray], names: list[str], *more: pa.Array) -> pa.RecordBatch:
-    """A row for every text of a batch; zeros and an empty digest for those without tokens."""
-    n, figures = batch.num_rows, []
-    for column in columns:
-        figures.append(np.zeros(n, np.int64))
-        figures[-1][own.places] = column
-    digests = [""] * n
-    for place, digest in zip(own.places, own.digests()):
-        digests[place] = digest
-    return pa.record_batch([batch.column(0), *map(pa.array, figures), pa.array(digests, pa.string()), *more], names)
-
-
-def _joined(documents: DataFrame, byte_path: str, piece_path: str, table: DataFrame, folder: str) -> DataFrame:
+def _joined(aligned: DataFrame, byte_path: str, piece_path: str, table: DataFrame, folder: str) -> DataFrame:
     """The same by a join of the documents' distinct pairs with the counts."""
-    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
-    names = [c.split()[0] for c in schema.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = kept(Aligner, byte_path, piece_path)
-        for batch, texts in pieces_of(batches, 1):
-            own = Aligned(aligner, texts)
+        for batch, own in restored(batches, aligner):
             text, pairs, times = own.distinct()
             sizes = np.zeros(batch.num_rows, np.int64)
             sizes[own.places] = np.bincount(text, minlength=own.n)
             edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(edges, pa.array(v.astype(np.int64))) for v in (pairs, times)]
-            yield _placed(batch, own, _figures(own), names, *lists)
+            yield pa.record_batch([batch.column("row"), *lists], ["row", "pairs", "times"])
 
-    aligned = _texts(documents).mapInArrow(work, schema).withColumn("row", F.monotonically_increasing_id())
-    aligned = common.stored(aligned, folder, "aligned")
-    links = aligned.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("row", "x.*").withColumnRenamed("pairs", "pair")
+    aligned = common.stored(aligned.withColumn("row", F.monotonically_increasing_id()), folder, "rows")
+    links = aligned.select("row", "n_links", "a", "b").mapInArrow(work, "row long, pairs array<long>, times array<long>")
+    links = links.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("row", "x.*").withColumnRenamed("pairs", "pair")
     sums = links.join(pair_counts(table), "pair").groupBy("row").agg(
         F.sum(F.when(F.col("top"), F.col("times")).otherwise(0)).cast("long").alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
     return aligned.join(sums, "row", "left").fillna(0, ["n_best", "count_sum"]).select(*[c.split()[0] for c in MEASURES.split(", ")])
@@ -447,10 +494,11 @@ def align(documents: DataFrame, byte_path: str, piece_path: str, folder: str, ta
     zeros and an empty digest, and they count for no pair. Ids may be null or repeat; every row is a
     document of its own. ``table_bytes`` bounds what is broadcast; results do not depend on it.
     """
-    partial = common.stored(document_pairs(documents, byte_path, piece_path), folder, "partial")
-    table = count_table(partial, folder)
+    rows = common.stored(aligned_documents(documents, byte_path, piece_path), folder, "aligned")
+    table = count_table(rows.where("pair IS NOT NULL").select("pair", "n"), folder)
+    aligned = rows.where("pair IS NULL").select("doc_id", *FIGURES, "groups_sha256", "a", "b")
     size = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n_shards"), F.lit(1))).first()
     if size[0] * PAIR_BYTES > table_bytes:
-        return _joined(documents, byte_path, piece_path, table, folder)
-    rows = [tuple(r) for r in table.select("shard", "hash", "keys", "counts", "tops").toLocalIterator()]  # counted: at most table_bytes
-    return _measured(documents, byte_path, piece_path, documents.sparkSession.sparkContext.broadcast((rows, size[1])))
+        return _joined(aligned, byte_path, piece_path, table, folder)
+    shards = [tuple(r) for r in table.select("shard", "hash", "keys", "counts", "tops").toLocalIterator()]  # counted: at most table_bytes
+    return _measured(aligned, byte_path, piece_path, documents.sparkSession.sparkContext.broadcast((shards, size[1])))
