@@ -48,35 +48,50 @@ def compress(ids: np.ndarray, base: int = BASE, least: int = LEAST_PAIRS) -> tup
     seq = ids.astype(np.uint32)
     lefts, rights = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
     size = np.ones(base, np.uint32)
+    # Replacing takes from the counts of pairs of older ids and never adds to them, so a pair that was not frequent
+    # is counted again only beside a new nonterminal.
+    live = np.ones(len(seq), bool)
     while len(seq) > 1:
         # Every second pair of a run of equal ids; of other pairs, all.
         same = seq[1:] == seq[:-1]
-        place = np.arange(len(same))
-        run = np.maximum.accumulate(np.where(same, 0, place + 1))  # where the run that a place is in begins
-        at = np.flatnonzero(~same | ((place - run) % 2 == 0))
+        counted = live[:-1]
+        if same.any():
+            place = np.arange(len(same))
+            run = np.maximum.accumulate(np.where(same, 0, place + 1))  # where the run that a place is in begins
+            counted = counted & (~same | ((place - run) % 2 == 0))
+        at = np.flatnonzero(counted)
         pairs = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
-        found, counts = np.unique(pairs, return_counts=True)
-        often = np.flatnonzero(counts >= least)
+        ordered = np.sort(pairs)
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]]))
+        counts = np.diff(np.append(first, len(ordered)))
+        often, counts = ordered[first[counts >= least]], counts[counts >= least]
         if not len(often):
             break
         role = np.zeros(len(size), np.int8)  # 1: a pair's left id, 2: a right id, 3: both sides of one pair
-        chosen = []
-        for pair in found[often[np.lexsort((often, -counts[often]))]].tolist():
+        chosen = np.zeros(len(often), bool)
+        order = np.argsort(-counts, kind="stable")
+        for k, pair in zip(order.tolist(), often[order].tolist()):
             a, b = pair >> 32, pair & 0xFFFFFFFF
             if a == b and role[a] == 0:
                 role[a] = 3
-                chosen.append(pair)
+                chosen[k] = True
             elif a != b and role[a] < 2 and role[b] in (0, 2):
                 role[a], role[b] = 1, 2
-                chosen.append(pair)
-        picked = np.sort(np.array(chosen, np.uint64))
-        rule = np.searchsorted(picked, pairs)
-        rule[rule == len(picked)] = 0
-        hit = picked[rule] == pairs
-        at, rule = at[hit], rule[hit]
+                chosen[k] = True
+        which = np.searchsorted(often, pairs)
+        which[which == len(often)] = 0
+        frequent = often[which] == pairs
+        live[:-1] &= same
+        live[at[frequent]] = True
+        hit = frequent & chosen[which]
+        at, rule = at[hit], (np.cumsum(chosen) - 1)[which[hit]]
+        picked = often[chosen]
         left, right = (picked >> np.uint64(32)).astype(np.uint32), (picked & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         seq[at] = (len(size) + rule).astype(np.uint32)
-        seq = np.delete(seq, at + 1)
+        live[at], live[at - (at > 0)] = True, True
+        left_over = np.ones(len(seq), bool)
+        left_over[at + 1] = False
+        seq, live = seq[left_over], live[left_over]
         size = np.concatenate([size, size[left] + size[right]])
         lefts.append(left)
         rights.append(right)
