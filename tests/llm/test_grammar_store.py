@@ -44,3 +44,24 @@ def test_ranges_of_stored_documents(spark, sf_dir):
         parts = [np.frombuffer(block[n], "<u4") for n in ("ids", "lefts", "rights", "lengths")]
         for doc_id, start, stop in list(zip(block["doc_ids"], [0, *block["ends"]], block["ends"]))[::7]:
             assert G.expand_range(*parts, start, stop, block["base"]).tolist() == whole[doc_id]
+
+
+def test_encoder_remembers_little():
+    """What a worker remembers of new chunks stays small, with the same ids as the library's."""
+    encoder = G.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert encoder.chunks.most <= 100_000
+    small = G.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 50)
+    for _ in range(40):
+        text = " ".join("".join(RNG.choices("abcdeé", k=RNG.randint(1, 9))) for _ in range(60))
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(small.of(text), "<u4").tolist() == want and small.of(text) == encoder.of(text)
+    assert len(small.chunks.new) + len(small.chunks.old) < 4 * 120
+
+
+@pytest.mark.parametrize("ids", [RNG.choices(range(k), k=4000) for k in (1, 2, 3, 6)] + [sorted(RNG.choices(range(40), k=4000))])
+def test_pairs_that_become_frequent_are_found(ids):
+    """No pair is frequent when compression ends, also beside nonterminals of later rounds."""
+    seq, lefts, rights, _ = G.compress(np.array(ids, np.uint32))
+    assert (G.expand(seq, lefts, rights) == np.array(ids)).all()
+    pairs = list(zip(seq.tolist(), seq[1:].tolist()))
+    assert all(pairs.count(p) < 2 * G.LEAST_PAIRS for p in set(pairs))

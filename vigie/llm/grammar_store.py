@@ -35,6 +35,8 @@ from vigie.llm.chunks import Remembered, blank_of, kept
 BASE = 1 << 16
 BLOCK_IDS = 1 << 18
 LEAST_PAIRS = 16
+#: Chunks a worker remembers, to twice as many: 100 000 cost a tenth more time than 500 000 and 150 MB less.
+REMEMBERED = 100_000
 END_ID = 0
 
 BLOCKS = (
@@ -134,7 +136,7 @@ class Encoder:
     CHUNK = re.compile(rf"[{blank_of()}]*[^{blank_of()}]+|[{blank_of()}]+")
     JOINABLE = re.compile(rf"[{blank_of()}]+[^{blank_of()}]+")
 
-    def __init__(self, path: str, remembered: int = 500_000):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
