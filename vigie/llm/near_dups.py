@@ -9,9 +9,13 @@ candidate pair that decides something is verified by the exact similarity.
 
 Groups of thousands of copies never meet as pairs. Equal texts are one node. In a band's bucket,
 each node is compared with one of the bucket's nodes, another in each fifth of the bands. Classes
-are the connected components of verified pairs; only where a bucket then still holds several
-classes, the nodes outside its largest class are compared with the rest, except pairs that the
-triangle inequality rules out (one minus the similarity is a metric).
+are the connected components of verified pairs. Where a bucket then still holds several classes,
+windows tell which pairs are left. A window that few nodes hold is rare: nodes of two classes that
+share one are compared, a few pairs a window. Any other pair shares none, so each side's rare windows
+stand alone in it and bound its similarity from above; a copy that is edited too much is thereby
+near nothing, whatever it is compared with. Each node is compared with the bucket's plainest, that
+with the least weight in rare windows, and last the nodes outside the largest class with the rest,
+except pairs that this bound or the triangle inequality (one minus the similarity is a metric) rules out.
 """
 
 from __future__ import annotations
@@ -32,6 +36,10 @@ SIMILAR = 0.8
 BANDS = 25
 ROWS = 5
 LEADERS = 5
+#: A window is rare if at most so many nodes of mixed buckets hold it.
+RARE = 8
+#: For rounding, where a bound decides.
+SLACK = 1e-9
 
 
 def signatures(value: np.ndarray, text: np.ndarray, weight: np.ndarray, n_texts: int, size: int) -> np.ndarray:
@@ -129,6 +137,77 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(work, "a long, b long, similarity double")
 
 
+def windows_of(texts: DataFrame) -> DataFrame:
+    """``node, label, total, heaviest, value, weight``: the windows of every text and their weights."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                value, text, weight = _weighted(part.column(2).to_pylist())
+                ends = np.searchsorted(text, np.arange(part.num_rows + 1))
+                own = [weight[a:b] for a, b in zip(ends, ends[1:])]
+                places = pa.array(ends.astype(np.int32))
+                yield pa.record_batch(
+                    [
+                        part.column(0), part.column(1), pa.array([w.sum() for w in own], pa.float64()),
+                        pa.array([w.max(initial=0) for w in own], pa.float64()),
+                        pa.ListArray.from_arrays(places, pa.array(value.view(np.int64))),
+                        pa.ListArray.from_arrays(places, pa.array(weight, pa.float64())),
+                    ],
+                    ["node", "label", "total", "heaviest", "value", "weight"],
+                )
+
+    schema = "node long, label long, total double, heaviest double, value array<long>, weight array<double>"
+    return texts.select("node", "label", "text").mapInArrow(work, schema)
+
+
+def most_alike(x: str, y: str) -> Column:
+    """An upper bound for the similarity of two texts that share no rare window.
+
+    Columns named by a side: ``total`` weight, ``rest`` of it in windows that are not rare, not 0, and ``heaviest``
+    weight; no weight is below 1. A common window i adds at most 1 / (own_x / x_i + total_y / y_i), which is
+    concave and homogeneous in its weights, so all add at most what their sums give; x_i sum to ``rest_x`` at most,
+    and y_i to ``rest_y`` and to ``heaviest_y`` times that.
+    """
+
+    def one(a: str, b: str) -> Column:
+        common_b = F.least(F.col(f"rest_{b}"), F.col(f"heaviest_{b}") * F.col(f"rest_{a}"))
+        return 1 / ((F.col(f"total_{a}") - F.col(f"rest_{a}")) / F.col(f"rest_{a}") + F.col(f"total_{b}") / common_b)
+
+    return F.least(one(x, y), one(y, x))
+
+
+def _side(name: str) -> list[Column]:
+    """The columns of a node as one side of a pair."""
+    return [F.col(c).alias(f"{c}_{name}") for c in ("node", "label", "total", "rest", "heaviest", "near")]
+
+
+def _several(named: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several labels."""
+    spans = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    return named.join(spans, "key")
+
+
+def _by_rare_windows(mixed: DataFrame, texts: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``node, total, rest, heaviest`` of the nodes of mixed buckets, and the pairs ``a, b`` of two labels
+    that share a bucket and a rare window."""
+    nodes = common.stored(mixed.groupBy("node", "label").agg(F.collect_set("key").alias("keys")), folder, "mixed-nodes")  # at most BANDS
+    held = common.stored(windows_of(nodes.select("node", "label").join(texts, "node")), folder, "windows")
+    each = held.select("node", "label", F.explode(F.arrays_zip("value", "weight")).alias("w")).select("node", "label", "w.value", "w.weight")
+    few = each.groupBy("value").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    rare = common.stored(each.join(few.where(F.col("n") <= RARE), "value").drop("n"), folder, "rare")
+    own = rare.groupBy("node").agg(F.sum("weight").alias("own"))
+    bounds = held.join(own, "node", "left").select("node", "total", (F.col("total") - F.coalesce("own", F.lit(0.0))).alias("rest"), "heaviest")
+    bounds = common.stored(bounds, folder, "bounds")
+    holders = rare.where("low < high").groupBy("value").agg(F.collect_list(F.struct("node", "label")).alias("who"))  # at most RARE
+    pairs = F.transform("who", lambda x: F.transform(
+        F.filter("who", lambda y: (x["node"] < y["node"]) & (x["label"] != y["label"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b"))))
+    sharing = holders.select(F.explode(F.flatten(pairs)).alias("p")).select("p.a", "p.b").distinct()
+    left, right = nodes.select(F.col("node").alias("a"), F.col("keys").alias("ka")), nodes.select(F.col("node").alias("b"), F.col("keys").alias("kb"))
+    return bounds, sharing.join(left, "a").join(right, "b").where(F.arrays_overlap("ka", "kb")).select("a", "b")
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -161,28 +240,41 @@ def _class_of_texts(known: DataFrame, folder: str) -> DataFrame:
     links = checked.where(F.col("similarity") >= SIMILAR).select("a", "b")
     label = components(links, folder, "one")
 
-    # Buckets that still hold several classes: their smaller classes against all others.
-    named = shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    spans = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    mixed = named.join(spans, "key").select("key", "leader", "node", "label", *_ordered("leader", "node"))
-    mixed = mixed.join(checked, ["a", "b"], "left").select(
+    # Buckets that still hold several classes: pairs by rare windows, and each node with the bucket's plainest.
+    mixed = _several(shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    mixed = mixed.select("key", "leader", "node", "label", *_ordered("leader", "node")).join(checked, ["a", "b"], "left").select(
         "key", "leader", "node", "label", F.when(F.col("leader") == F.col("node"), 1.0).otherwise(F.col("similarity")).alias("near")
     )
     mixed = common.stored(mixed, folder, "mixed")
-    most = mixed.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", "n").alias("main"))
-    outside = mixed.join(most, "key").where("label <> main").select(
-        "key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("near").alias("nx"))
-    others = mixed.join(most, "key").select(
-        "key", "leader", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("near").alias("ny"), (F.col("label") == F.col("main")).alias("in_main"))
+    bounds, sharing = _by_rare_windows(mixed, texts, folder)
+    # Without a rare window in common, the similarity is at most rest / total.
+    bounded = common.stored(mixed.join(bounds, "node").where(F.col("rest") >= (SIMILAR - SLACK) * F.col("total")), folder, "bounded")
+    plainest = bounded.groupBy("key").agg(F.min_by(F.struct(*_side("y")), F.struct(F.col("total") / F.col("rest"), "node")).alias("y"))
+    alike = most_alike("x", "y") >= SIMILAR - SLACK
+    central = bounded.select("key", *_side("x")).join(plainest.select("key", "y.*"), "key").where((F.col("label_x") != F.col("label_y")) & alike)
+    known_pairs = checked.select("a", "b")
+    central = central.select(*_ordered("node_x", "node_y")).union(sharing).distinct().join(known_pairs, ["a", "b"], "left_anti")
+    central = common.stored(central, folder, "central")
+    checked2 = common.stored(verified(central, texts), folder, "checked2")
+    more = checked2.where(F.col("similarity") >= SIMILAR).select("a", "b")
+    label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), folder, "two")
+
+    # Where there are several classes even now: the smaller ones against all others.
+    left = _several(bounded.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    left = common.stored(left, folder, "left")
+    most = left.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", "n").alias("main"))
+    left = left.join(most, "key")
+    outside = left.where("label <> main").select("key", *_side("x"))
+    others = left.select("key", "leader", *_side("y"), (F.col("label") == F.col("main")).alias("in_main"))
     second = (
         outside.join(others, "key")
-        .where("lx <> ly AND x <> leader AND y <> leader AND (in_main OR x < y)")
-        .where(F.abs(F.col("nx") - F.col("ny")) <= 1 - SIMILAR + 1e-9)
-        .select(*_ordered("x", "y")).distinct().join(checked, ["a", "b"], "left_anti")
+        .where("label_x <> label_y AND node_x <> leader AND node_y <> leader AND (in_main OR node_x < node_y)")
+        .where((F.abs(F.col("near_x") - F.col("near_y")) <= 1 - SIMILAR + SLACK) & alike)
+        .select(*_ordered("node_x", "node_y")).distinct().join(known_pairs.union(checked2.select("a", "b")), ["a", "b"], "left_anti")
     )
     second = common.stored(second, folder, "second")
-    more = common.stored(verified(second, texts), folder, "checked2").where(F.col("similarity") >= SIMILAR).select("a", "b")
-    label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), folder, "two")
+    more = common.stored(verified(second, texts), folder, "checked3").where(F.col("similarity") >= SIMILAR).select("a", "b")
+    label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), folder, "three")
 
     # Rows take the label of their text; a text in no group is alone. The class is named by its smallest document.
     place = signed.select("row", "doc_id", "digest").join(member, "row", "left").withColumn("node", F.coalesce("node", "row"))
