@@ -243,7 +243,8 @@ def contaminated(
         F.array_sort(F.collect_set("item_at")).alias("places"),  # no more than the item has
         F.max(F.exists("fills", lambda f: f["i"] != f["d"])).alias("changed"),
     ).withColumn("windows", F.size("places").cast("long"))
-    steps = F.zip_with(F.slice("places", 2, F.size("places")), F.col("places"), lambda b, a: F.least(b - a, F.lit(width)))
+    # The last place has none after it; `least` alone would make a whole window of that null.
+    steps = F.zip_with(F.slice("places", 2, F.size("places")), F.col("places"), lambda b, a: F.when(b.isNotNull(), F.least(b - a, F.lit(width))))
     covered = width + F.aggregate(steps, F.lit(0), lambda total, step: total + F.coalesce(step, F.lit(0)))
     judged = (
         copies.join(F.broadcast(totals) if small else totals, "item_id")
