@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from vigie.llm import common, grammar_store as G, queries
@@ -65,3 +66,29 @@ def test_pairs_that_become_frequent_are_found(ids):
     assert (G.expand(seq, lefts, rights) == np.array(ids)).all()
     pairs = list(zip(seq.tolist(), seq[1:].tolist()))
     assert all(pairs.count(p) < 2 * G.LEAST_PAIRS for p in set(pairs))
+
+
+def test_words_are_solved_once_in_many_texts():
+    """Words that come again are encoded once, whatever marks follow them and however many words come once between."""
+    encoder, solved = G.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 400), []
+    encoder.chunks.solve = lambda new, solve=encoder.chunks.solve: solved.extend(new) or solve(new)
+    common_words = ["".join(RNG.choices("abcde", k=7)) for _ in range(100)]
+    for step in range(12):
+        texts = []
+        for _ in range(4):
+            once = ["".join(RNG.choices("vwxyz", k=12)) for _ in range(60)]
+            texts.append("".join(f" {w}{RNG.choice(['', ',', '.', '!!'])}" for w in [*common_words, *once]))
+        want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.of_many(pa.array(texts))] == [e.ids for e in want]
+    assert max(solved.count(f" {w}") for w in common_words) == 1 and not any(w.endswith((",", ".", "!")) for w in solved)
+    assert len(encoder.chunks.once) + len(encoder.chunks.once_before) < 4 * 700
+
+
+def test_texts_of_any_white_space_and_marks():
+    """Whole texts cut at blanks have the ids of the library, with white space, special tokens and letters of any kind."""
+    encoder = G.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 50)
+    parts = [*"    \n\t\r\xa0　\x85\x1caZé'’1½.ª漢", "  ", "'s", "'ll", "!!", "<|endoftext|>", "<|", "|>", "\U0001f600", "é", "the", "\x00", "​"]
+    texts = ["", None, " ", "a ", "a  ", " \n", "\n ", "a \n b", "a\n \nb", *("".join(RNG.choices(parts, k=RNG.randint(0, 25))) for _ in range(4000))]
+    want = [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.of_many(pa.array(texts))] == want
+    assert list(encoder.of_many(pa.array(texts).slice(9, 50))) == list(encoder.of_many(pa.array(texts)))[9:59]

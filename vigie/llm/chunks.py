@@ -49,3 +49,28 @@ class Remembered:
         if len(new) > self.most:
             self.old, self.new = new, {}
         return found
+
+
+class RememberedIfMet(Remembered):
+    """As before, but what was asked for once does not push out what is asked for again: an answer is
+    kept with the last ``most`` to twice as many new ones, and once met again with as many others of its kind."""
+
+    def __init__(self, solve: Callable[[list[str]], list], most: int):
+        super().__init__(solve, most)
+        self.once: dict = {}
+        self.once_before: dict = {}
+
+    def get(self, pieces: list[str]) -> list:
+        new, old, once, before = self.new, self.old, self.once, self.once_before
+        missing = set(pieces).difference(new)
+        unsolved = list(missing.difference(old, once, before))
+        for p in missing.difference(unsolved):
+            new[p] = old[p] if p in old else (once if p in once else before).pop(p)
+        if unsolved:
+            once.update(zip(unsolved, self.solve(unsolved), strict=True))
+        found = [new[p] if p in new else once[p] for p in pieces]
+        if len(new) > self.most:
+            self.old, self.new = new, {}
+        if len(once) > self.most:
+            self.once_before, self.once = once, {}
+        return found

@@ -16,6 +16,7 @@ and the grammar: ``base``, ``lefts, rights, lengths`` (little-endian 32-bit) and
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -24,19 +25,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigie.llm import common
-from vigie.llm.chunks import Remembered, blank_of, kept
+from vigie.llm.chunks import RememberedIfMet, blank_of, kept
 
 #: Where no vocabulary is given, ids are below this.
 BASE = 1 << 16
 BLOCK_IDS = 1 << 18
 LEAST_PAIRS = 16
-#: Chunks a worker remembers, to twice as many: 100 000 cost a tenth more time than 500 000 and 150 MB less.
-REMEMBERED = 100_000
+#: Chunks met once and chunks met again that a worker remembers, to twice as many of each.
+REMEMBERED = 50_000
+#: Texts are cut this many bytes at a time, or one if it is larger, and their pieces solved this many at a time.
+SLICE_BYTES = 2 << 20
+SOLVED_TOGETHER = 10_000
 END_ID = 0
 
 BLOCKS = (
@@ -45,24 +50,52 @@ BLOCKS = (
 )
 
 
+def _places(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys a sorted array without repeats holds, and where.
+
+    A table by hash answers all but the keys of cells that two known ones share.
+    """
+    bits = max(len(known) - 1, 1).bit_length() + 4
+    factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
+    table, own = np.full(1 << bits, -1, np.int32), (known * factor >> shift).view(np.int64)
+    table[own] = np.arange(len(known))
+    shared = own[table[own] != np.arange(len(known))]
+    cell = (keys * factor >> shift).view(np.int64)
+    if len(shared):
+        table[shared] = -2
+    found = table[cell]
+    again = np.flatnonzero(found == -2) if len(shared) else shared
+    if len(again):
+        found[again] = np.minimum(np.searchsorted(known, keys[again]), len(known) - 1)
+    at = np.flatnonzero(found >= 0)
+    found = found[at]
+    right = np.flatnonzero(known[found] == keys[at])
+    return at[right], found[right]
+
+
 def compress(ids: np.ndarray, base: int = BASE, least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids, and left side, right side and expanded length of each rule; plain ids are below ``base``."""
     seq = ids.astype(np.uint32)
     lefts, rights = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
     size = np.ones(base, np.uint32)
     # Replacing takes from the counts of pairs of older ids and never adds to them, so a pair that was not frequent
-    # is counted again only beside a new nonterminal.
-    live = np.ones(len(seq), bool)
-    while len(seq) > 1:
+    # is counted again only beside a new nonterminal. ``live`` are the places of all other pairs, and of all equal ones.
+    live = np.arange(len(seq) - 1)
+    while len(live):
         # Every second pair of a run of equal ids; of other pairs, all.
-        same = seq[1:] == seq[:-1]
-        counted = live[:-1]
+        left, right = seq[live], seq[live + 1]
+        pairs, same = left.astype(np.uint64) << np.uint64(32) | right, left == right
+        at = live
         if same.any():
-            place = np.arange(len(same))
-            run = np.maximum.accumulate(np.where(same, 0, place + 1))  # where the run that a place is in begins
-            counted = counted & (~same | ((place - run) % 2 == 0))
-        at = np.flatnonzero(counted)
-        pairs = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+            place = live[same]
+            begins = np.concatenate([[True], place[1:] != place[:-1] + 1])  # where the run that a place is in begins
+            run = place[np.maximum.accumulate(np.where(begins, np.arange(len(place)), 0))]
+            second = (place - run) % 2 == 1
+            if second.any():
+                counted = np.ones(len(live), bool)
+                counted[np.flatnonzero(same)[second]] = False
+                counted = np.flatnonzero(counted)
+                at, pairs = live[counted], pairs[counted]
         ordered = np.sort(pairs)
         first = np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]]))
         counts = np.diff(np.append(first, len(ordered)))
@@ -80,20 +113,20 @@ def compress(ids: np.ndarray, base: int = BASE, least: int = LEAST_PAIRS) -> tup
             elif a != b and role[a] < 2 and role[b] in (0, 2):
                 role[a], role[b] = 1, 2
                 chosen[k] = True
-        which = np.searchsorted(often, pairs)
-        which[which == len(often)] = 0
-        frequent = often[which] == pairs
-        live[:-1] &= same
-        live[at[frequent]] = True
-        hit = frequent & chosen[which]
-        at, rule = at[hit], (np.cumsum(chosen) - 1)[which[hit]]
+        there, which = _places(often, pairs)
+        at, hit = at[there], np.flatnonzero(chosen[which])
+        rule = (np.cumsum(chosen) - 1)[which[hit]]
         picked = often[chosen]
         left, right = (picked >> np.uint64(32)).astype(np.uint32), (picked & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        again = np.zeros(len(seq), bool)
+        again[live[same]] = again[at] = True
+        at = at[hit]
         seq[at] = (len(size) + rule).astype(np.uint32)
-        live[at], live[at - (at > 0)] = True, True
+        again[at - (at > 0)] = True
         left_over = np.ones(len(seq), bool)
         left_over[at + 1] = False
-        seq, live = seq[left_over], live[left_over]
+        left_over = np.flatnonzero(left_over)
+        seq, live = seq[left_over], np.flatnonzero(again[left_over[:-1]])
         size = np.concatenate([size, size[left] + size[right]])
         lefts.append(left)
         rights.append(right)
@@ -101,18 +134,32 @@ def compress(ids: np.ndarray, base: int = BASE, least: int = LEAST_PAIRS) -> tup
 
 
 def expand(seq: np.ndarray, lefts: np.ndarray, rights: np.ndarray, base: int = BASE) -> np.ndarray:
-    """The plain ids of a grammar sequence."""
-    while True:
-        inner = seq >= base
-        if not inner.any():
-            return seq
-        at = np.cumsum(inner) - inner + np.arange(len(seq))
-        out = np.empty(len(seq) + int(inner.sum()), np.uint32)
-        rule = seq[inner] - np.uint32(base)
-        out[at[~inner]] = seq[~inner]
-        out[at[inner]] = lefts[rule]
-        out[at[inner] + 1] = rights[rule]
-        seq = out
+    """The plain ids of a grammar sequence. Every rule that it uses is expanded once."""
+    if not len(seq):
+        return seq
+    used = np.zeros(base + len(lefts), bool)
+    used[seq] = True
+    rules = np.flatnonzero(used[base:])
+    plain, owner = rules.astype(np.uint32) + np.uint32(base), np.arange(len(rules))
+    while (deeper := plain >= base).any():
+        at = np.cumsum(deeper) - deeper + np.arange(len(plain))
+        out = np.empty(len(plain) + int(deeper.sum()), np.uint32)
+        rule = plain[deeper] - np.uint32(base)
+        out[at[~deeper]] = plain[~deeper]
+        out[at[deeper]] = lefts[rule]
+        out[at[deeper] + 1] = rights[rule]
+        plain, owner = out, np.repeat(owner, 1 + deeper)
+    # Each entry is a run of this: the used rules' ids one after another, then every plain id.
+    source = np.concatenate([plain, np.arange(base, dtype=np.uint32)])
+    sizes = np.bincount(owner, minlength=len(rules))
+    length, start = np.ones(base + len(lefts), np.int64), np.empty(base + len(lefts), np.int64)
+    length[base + rules], start[base + rules] = sizes, np.cumsum(sizes) - sizes
+    start[:base] = np.arange(len(plain), len(source))
+    length, start = length[seq], start[seq]
+    ends = np.cumsum(length)
+    place = np.repeat(start - ends + length, length)
+    place += np.arange(len(place))
+    return source[place]
 
 
 def expand_range(seq: np.ndarray, lefts: np.ndarray, rights: np.ndarray, lengths: np.ndarray, start: int, stop: int, base: int = BASE) -> np.ndarray:
@@ -130,18 +177,38 @@ class Encoder:
     A chunk is a run of white space and what follows it up to the next white space. No token of
     the vocabulary's cutting pattern crosses a chunk's end, so chunks are encoded once and remembered.
     New chunks are laid end to end and encoded in one call; a token stands for a known number of
-    bytes, so the ids are cut where the chunks end.
+    bytes, so the ids are cut where the chunks end. Many texts at a time are cut at blanks by Arrow, and
+    their distinct pieces looked up once; marks behind a word are parted from it, as the pattern does.
     """
 
     CHUNK = re.compile(rf"[{blank_of()}]*[^{blank_of()}]+|[{blank_of()}]+")
+    #: White space in which a blank is not the last: the cutting pattern may keep that blank with what stands before it.
+    _BLANKS = re.sub(r"\\u(....)", r"\\x{\1}", blank_of())
+    MIDST = f"[{_BLANKS}] ([{_BLANKS}]|$)"
     JOINABLE = re.compile(rf"[{blank_of()}]+[^{blank_of()}]+")
 
+    #: A word of letters that are old in Unicode, or of digits; no added token may stand in one.
+    LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u0233"
+    WORD = re.compile(rf" ?(?:[{LETTERS}]+|[0-9]+)")
+    ENDS = frozenset(re.findall(rf"[{LETTERS}0-9]", "".join(map(chr, range(0x250)))))
+    MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks = Remembered(self._encode, remembered)
+        self.chunks = RememberedIfMet(self._encode, remembered)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        known = self._cuts_as_known()
+        #: Marks that the cutting pattern parts from a word before them, and that no added token holds.
+        self.marks = "".join(set(self.MARKS).difference(*added)) if known else ""
+        self.ends: dict[str, bytes] = {}
+        #: For words that are cut already: the same model, which parts them at line breaks.
+        self.of_words = Tokenizer(self.tokenizer.model) if known and not any(map(self.WORD.fullmatch, added)) else None
+        if self.of_words:
+            self.of_words.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.CharDelimiterSplit("\n"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # A byte-level vocabulary writes one character for each byte; added tokens are plain text.
         self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=END_ID) + 1
         self.n_bytes = np.zeros(self.size, np.int64)
@@ -150,26 +217,49 @@ class Encoder:
         for number, token in self.tokenizer.get_added_tokens_decoder().items():
             self.n_bytes[number] = len(token.content.encode())
 
+    def _cuts_as_known(self) -> bool:
+        parts = json.loads(self.tokenizer.to_str())
+        cutting = parts["pre_tokenizer"] or {}
+        return (
+            parts["normalizer"] is None and parts["model"]["type"] == "BPE" and not parts["model"]["dropout"]
+            and (cutting.get("type"), cutting.get("add_prefix_space"), cutting.get("use_regex")) == ("ByteLevel", False, True)
+        )
+
     def _one_by_one(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
+        if not self.of_words:
+            return self._others(chunks)
+        words = [c for c in chunks if self.WORD.fullmatch(c)]
+        found = dict(zip(words, self._together(words, self.of_words, "\n"), strict=True))
+        if len(words) < len(chunks):
+            others = [c for c in chunks if c not in found]
+            found |= zip(others, self._others(others), strict=True)
+        return [found[c] for c in chunks]
+
+    def _others(self, chunks: list[str]) -> list[bytes]:
         # Chunks that open with white space and close without it stay chunks when they are joined.
         joined = [c for c in chunks if self.JOINABLE.fullmatch(c)]
         if len(joined) == len(chunks):
-            return self._together(chunks)
-        found = dict(zip(joined, self._together(joined), strict=True))
-        rest = [c for c in chunks if c not in found]
+            return self._together(chunks, self.tokenizer)
+        # Others may hold several chunks.
+        parts = {c: self.CHUNK.findall(c) for c in set(chunks).difference(joined)}
+        inside = {p for found in parts.values() for p in found}
+        joined = list({*joined, *(p for p in inside if self.JOINABLE.fullmatch(p))})
+        found = dict(zip(joined, self._together(joined, self.tokenizer), strict=True))
+        rest = list(inside.difference(found))
         found |= zip(rest, self._one_by_one(rest), strict=True)
+        found |= {c: b"".join([found[p] for p in own]) for c, own in parts.items()}
         return [found[c] for c in chunks]
 
-    def _together(self, chunks: list[str]) -> list[bytes]:
+    def _together(self, chunks: list[str], tokenizer, between: str = "") -> list[bytes]:
         if not chunks:
             return []
-        ids = array("I", self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids).tobytes()
+        ids = array("I", tokenizer.encode_batch_fast([between.join(chunks)], add_special_tokens=False)[0].ids).tobytes()
         ends = np.cumsum(self.n_bytes[np.frombuffer(ids, np.uint32)])
-        wanted = np.cumsum([len(c.encode()) for c in chunks])
+        wanted = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
         cut = np.searchsorted(ends, wanted)
         # A chunk's end inside a token, or bytes that no token stands for: take the plain way.
         if not len(ends) or ends[-1] != wanted[-1] or (ends[cut] != wanted).any():
@@ -177,9 +267,60 @@ class Encoder:
         cuts = [0, *((cut + 1) * 4).tolist()]
         return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _distinct(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks; marks at the end of a word are solved apart, so words are met again."""
+        stems, ends, behind = [c.rstrip(self.marks) for c in chunks], self.ends, {}
+        for i in np.flatnonzero(np.fromiter(map(len, stems), np.int64) < np.fromiter(map(len, chunks), np.int64)).tolist():
+            stem = stems[i]
+            if stem[-1:] in self.ENDS:
+                behind[i] = chunks[i][len(stem):]
+            else:
+                stems[i] = chunks[i]
+        solved = self.chunks.get(stems)
+        if len(ends) > SOLVED_TOGETHER:
+            ends.clear()
+        new = list(set(behind.values()).difference(ends))
+        ends.update(zip(new, self._one_by_one(new), strict=True))
+        for i, end in behind.items():
+            solved[i] += ends[end]
+        return solved
+
     def of(self, text: str) -> bytes:
         return b"".join(self.chunks.get(self.CHUNK.findall(text)))
 
+    def of_many(self, texts: pa.Array) -> Iterator[bytes]:
+        """Each text's ids, a slice of texts at a time: cut before every blank, distinct pieces solved once."""
+        texts = pc.fill_null(texts, "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, "right")))
+            yield from self._slice(texts.slice(at, stop - at))
+            at = stop
+
+    def _slice(self, texts: pa.Array) -> Iterator[bytes]:
+        # A blank in the midst or at the end of white space may not begin a token.
+        hard = pc.match_substring_regex(texts, self.MIDST)
+        whole = {i: self.of(texts[i].as_py()) for i in pc.indices_nonzero(hard).to_pylist()}
+        cut = pc.split_pattern(pc.if_else(hard, "", texts) if whole else texts, " ")
+        bounds = cut.offsets.to_numpy()
+        words = cut.values.slice(bounds[0], bounds[-1] - bounds[0])
+        bounds = (bounds - bounds[0]).astype(np.int64)
+        # The first of a text stands without a blank.
+        firsts = words.take(pa.array(bounds[:-1])).to_pylist()
+        words = words.dictionary_encode()
+        distinct = [" " + w for w in words.dictionary.to_pylist()] + firsts
+        which = words.indices.to_numpy().copy()
+        which[bounds[:-1]] = np.arange(len(distinct) - len(firsts), len(distinct))
+        solved = []
+        for k in range(0, len(distinct), SOLVED_TOGETHER):
+            solved += self._distinct(distinct[k:k + SOLVED_TOGETHER])
+        ids = pa.array(solved, pa.large_binary()).take(pa.array(which))
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[bounds]
+        data = memoryview(ids.buffers()[2] or b"")
+        for i, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
+            yield whole[i] if i in whole else bytes(data[a:b])
+
 
 def write_store(documents: DataFrame, path: str, folder: str) -> None:
     """Encode every whole text, append the end id, and write the blocks in ascending order of id.
@@ -204,10 +345,9 @@ def write_store(documents: DataFrame, path: str, folder: str) -> None:
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = encoder.of(text.as_py() or "") + end_id
-                held.append(data)
-                size += len(data) // 4
+            for doc_id, data in zip(batch.column(0).to_pylist(), encoder.of_many(batch.column(1)), strict=True):
+                held += [data, end_id]
+                size += len(data) // 4 + 1
                 ids.append(doc_id)
                 ends.append(size)
                 if size >= BLOCK_IDS:
