@@ -129,6 +129,18 @@ def test_loaded_tables_hold_no_orphans_and_serve_every_export(spark, sf_dir):
     assert again.loaded == [] and again.version != result.version
 
 
+def test_keys_of_all_cases_are_not_broadcast(spark):
+    root = work_folder(spark, "test")
+    cases = spark.range(1000).selectExpr("id AS operation_id", *[f"'{i}' AS c{i}" for i in range(30)])
+    sinks.write_table(cases, f"{root}/operations")
+    sinks.write_table(spark.range(990, 1010).selectExpr("id AS operation_id", "id AS flotteur_id"), f"{root}/flotteurs")
+    data = FolderData(spark, root)
+    found = q_data.with_their_case({n: data.table(n) for n in ("operations", "flotteurs")}, data.cases())
+    assert found["operations"].count() == 1000 and ids(found["flotteurs"]) == list(range(990, 1000))
+    for df in found.values():
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 # --- inferred types ---------------------------------------------------------
 @pytest.mark.parametrize("values,kind", [
     (["1", " 2", "-3"], "bigint"), (["1", None], "double"), (["1", "2.5"], "double"), (["1e5", ".5", "inf"], "double"),
